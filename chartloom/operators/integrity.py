@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.operators.ordinal import dense_index
+from chartloom.session import materialize
 
 
 def with_parent(child: DataFrame, parent: DataFrame, key: str, keep_null: bool = False) -> DataFrame:
@@ -59,7 +60,8 @@ def reassign_round_robin(
 
     Replaces the key of every row. Only for data in which no reference matches at all.
     """
-    people = dense_index(patients.select("patient_fhir_id"), ["patient_fhir_id"], "_idx")
+    ids = dense_index(patients.select("patient_fhir_id"), ["patient_fhir_id"], "_idx")
+    people = materialize(ids, "patient-index")
     n = people.count()
     if n == 0:
         return observations.limit(0)

@@ -34,14 +34,15 @@ def dense_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame
 
 
 def running_total(
-    df: DataFrame, group: str, order: str, value: str, name: str, block: int = 65_536
+    df: DataFrame, group: str, order: str, value: str, name: str, block_bits: int = 16
 ) -> DataFrame:
     """Running sum of ``value`` per ``group`` by the integer ``order``, unique in its group.
 
-    A group may hold most rows, so it is cut into blocks of consecutive ``order`` values: sums
-    within blocks run in parallel, and only block totals are summed in sequence.
+    A group may hold most rows, so it is cut into blocks of 2^``block_bits`` consecutive ``order``
+    values: sums within blocks run in parallel, and only block totals are summed in sequence.
+    ``df`` is read twice and best a stored table.
     """
-    blocked = df.withColumn("_block", F.floor(F.col(order) / F.lit(block)))
+    blocked = df.withColumn("_block", F.shiftright(order, block_bits))
     earlier = W.partitionBy(group).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     starts = (
         blocked.groupBy(group, "_block")

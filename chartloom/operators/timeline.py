@@ -16,22 +16,23 @@ def name_and_flag(observations: DataFrame, terms: DataFrame) -> DataFrame:
     """Observations with ``test_name`` and ``clinical_flag``; every observation is kept."""
     names = terms.select("loinc_code", "display_name")
     own = [c for c in observations.columns if c != "display_name"]
+    flag = clinical_flag(F.col("loinc_code"), F.col("display_name"), F.col("result_value"))
     return (
         observations.select(own)
+        .withColumn("result_value", to_number(F.col("result_value")))
         .join(names, "loinc_code", "left")
         .withColumns(
-            {
-                "test_name": F.coalesce("display_name", F.lit(UNKNOWN_TEST)),
-                "clinical_flag": clinical_flag(
-                    F.col("loinc_code"), F.col("display_name"), to_number(F.col("result_value"))
-                ),
-            }
+            {"test_name": F.coalesce("display_name", F.lit(UNKNOWN_TEST)), "clinical_flag": flag}
         )
     )
 
 
 def timeline(patients: DataFrame, observations: DataFrame, terms: DataFrame) -> DataFrame:
-    """Unordered; sort at the consumer with :func:`newest_first`."""
+    """Unordered; sort at the consumer with :func:`newest_first`.
+
+    Patients and terms should be stored tables: their size then decides the join, and where they
+    are too large to broadcast, partitions of a hot patient or code are split.
+    """
     people = patients.select("patient_fhir_id", "gender", "birth_date")
     return name_and_flag(observations, terms).join(people, "patient_fhir_id").select(TIMELINE_COLUMNS)
 

@@ -9,6 +9,7 @@ from chartloom.functions.text import null_to_na
 from chartloom.operators import nested, paging
 from chartloom.operators.governance import OBSERVATION, PATIENT
 from chartloom.schemas import LINEAGE
+from chartloom.session import materialize
 
 
 def inspect_patients(bundles: DataFrame, n: int = 3) -> DataFrame:
@@ -28,6 +29,10 @@ def inspect_observations(bundles: DataFrame, n: int = 3) -> DataFrame:
 
 
 def chain_report(pages: DataFrame, total: int = 50) -> DataFrame:
-    """Pages a fetch of ``total`` records per type keeps, with the running number of records."""
-    chain = paging.until_stop(pages, [PATIENT.lower(), OBSERVATION.lower()])
+    """Pages a fetch of ``total`` records per type keeps, with the running number of records.
+
+    The page table, one short row per bundle, is stored first, so the bundles are read once.
+    """
+    stored = materialize(pages, "pages")
+    chain = paging.until_stop(stored, [PATIENT.lower(), OBSERVATION.lower()])
     return paging.within_budget(chain, total)

@@ -37,15 +37,14 @@ class Staged:
         log_rejects(self.rejects, rejects_path)
 
 
-def stage_governed(spark: SparkSession, *patterns: str, multi_line: bool = True) -> Staged:
-    """Valid patients, valid observations and rejects from one pass over the JSON.
+def routed(bundles: DataFrame) -> DataFrame:
+    """Checked flat records of both types with their ``route``: patient, observation or reject.
 
-    The flat records are stored once, split by route; each output then reads its own part.
+    Fields that the types do not share are NULL for the other one.
     """
-    tagged = gov.tag(resources(read_bundles(spark, *patterns, multi_line=multi_line)))
+    tagged = gov.tag(resources(bundles))
     route = F.when(F.col("rule").isNotNull(), F.lit("reject")).otherwise(F.lower("resourceType"))
-    # Fields the two types do not share are NULL for the other one; id stays for the rejects.
-    flat = tagged.select(
+    return tagged.select(
         *LINEAGE,
         "resourceType",
         "id",
@@ -54,14 +53,27 @@ def stage_governed(spark: SparkSession, *patterns: str, multi_line: bool = True)
         *observation_fields()[1:],
         route.alias("route"),
     )
-    stored = materialize(flat, "staged", ["route"])
+
+
+def split_routes(stored: DataFrame) -> Staged:
+    """The three outputs of stored routed records."""
     patients = stored.filter("route = 'patient'").withColumnRenamed("id", "patient_fhir_id")
     observations = stored.filter("route = 'observation'").withColumnRenamed("id", "obs_id")
-    rejects = gov.rejects(stored.filter("route = 'reject'"))
-    if multi_line:
-        rejects = rejects.unionByName(gov.corrupt_files(empty_files(spark, *patterns)))
     return Staged(
         patients.select(*LINEAGE, *STAGED_PATIENT),
         observations.select(*LINEAGE, *STAGED_OBSERVATION),
-        rejects,
+        gov.rejects(stored.filter("route = 'reject'")),
     )
+
+
+def stage_governed(spark: SparkSession, *patterns: str, multi_line: bool = True) -> Staged:
+    """Valid patients, valid observations and rejects from one pass over the JSON.
+
+    The flat records are stored once, split by route; each output then reads its own part.
+    """
+    flat = routed(read_bundles(spark, *patterns, multi_line=multi_line))
+    staged = split_routes(materialize(flat, "staged", ["route"]))
+    if multi_line:
+        events = gov.corrupt_files(empty_files(spark, *patterns))
+        staged.rejects = staged.rejects.unionByName(events)
+    return staged

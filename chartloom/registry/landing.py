@@ -101,7 +101,7 @@ def page_url(resource_type: str, page: Column) -> Column:
 
 def _bundles(entries: DataFrame, resource_type: str) -> DataFrame:
     """Pages of ``entries(key, entry)``, closed by an empty page and one without ``entry``."""
-    page = F.floor(F.col("key") / F.lit(PAGE_SIZE)).cast("bigint")
+    page = F.expr(f"key div {PAGE_SIZE}")
     filled = (
         entries.withColumn("page", page)
         .groupBy("page")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chartloom.operators import paging as ops
 from chartloom.registry import roles
+from chartloom.session import materialize
 
 BUDGET = 1_500
 TYPES = ["click", "view", "error", "signup", "purchase"]
@@ -16,11 +17,12 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per event type, pages of 50 ids: readings below 80 are the entries; a page whose total is
     high has no next link."""
     events = roles.table(spark, sf_dir, "events")
-    page = F.floor(F.col("event_id") / 50).cast("bigint")
-    return events.groupBy(F.col("event_type").alias("resource_type"), page.alias("page")).agg(
+    page = F.expr("event_id div 50")
+    found = events.groupBy(F.col("event_type").alias("resource_type"), page.alias("page")).agg(
         F.count_if(F.col("value") < 80).alias("n_entries"),
         F.when(F.max("value") < 230, F.concat(F.lit("?page="), page + 1)).alias("next_url"),
     )
+    return materialize(found, "pages")
 
 
 def page_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ def scan_bundle_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def observation_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = stage_observations(bundles(spark, sf_dir, "Observation"))
-    return staged.select(STAGED_OBSERVATION).filter(F.col("obs_id").isNotNull())
+    return staged.select(STAGED_OBSERVATION)
 
 
 def patient_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,12 +88,12 @@ def bundle_entry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nested_first_element(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = stage_observations(bundles(spark, sf_dir, "Observation"))
     shown = staged.select("obs_id", "loinc_code", "display_name", "result_value", "unit")
-    return _number(shown.filter(F.col("obs_id") != ""))
+    return _number(shown)
 
 
 def fallback_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = stage_observations(bundles(spark, sf_dir, "Observation"))
-    return staged.select("obs_id", "effective_datetime").filter(F.col("obs_id") != "")
+    return staged.select("obs_id", "effective_datetime")
 
 
 def next_link_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,8 +214,8 @@ SELECT CAST(page AS VARCHAR) AS page, n_entries FROM page
 UNION ALL SELECT CAST(last + 1 AS VARCHAR), 0 FROM ends
 UNION ALL SELECT CAST(last + 2 AS VARCHAR), 0 FROM ends""",
     "nested_first_element": f"""{_RAW}
-SELECT obs_id, loinc_code, display_name, result_value, unit FROM raw WHERE obs_id <> ''""",
-    "fallback_datetime": f"{_RAW} SELECT obs_id, effective_datetime FROM raw WHERE obs_id <> ''",
+SELECT obs_id, loinc_code, display_name, result_value, unit FROM raw""",
+    "fallback_datetime": f"{_RAW} SELECT obs_id, effective_datetime FROM raw",
     "next_link_lookup": f"""{_PAGES},
 every AS (SELECT page FROM page UNION ALL SELECT last + 1 FROM ends UNION ALL SELECT last + 2 FROM ends)
 SELECT CAST(page AS VARCHAR) AS page,
@@ -232,7 +232,7 @@ FROM numbered WHERE src_pos < 3""",
     "patient_projection": f"{_RAW} SELECT * FROM people",
     "observation_projection": f"""{_RAW}
 SELECT * EXCLUDE (event_id) REPLACE (CAST(result_value AS VARCHAR) AS result_value)
-FROM raw WHERE obs_id IS NOT NULL""",
+FROM raw""",
     "route_by_type": f"""{_TAGGED}
 SELECT 'Observation' AS resource_type, coalesce(rule, 'VALID') AS rule, count(*) AS n
 FROM tagged GROUP BY 2 UNION ALL SELECT 'Patient', 'VALID', count(*) FROM people""",

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Few output partitions per task: write them side by side instead of sorting first.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.sql.session.timeZone": "UTC",
 }
 

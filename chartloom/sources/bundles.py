@@ -3,43 +3,45 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.schemas import BUNDLE
 
 
-def _present(spark: SparkSession, patterns: list[str]) -> list[str]:
-    """The patterns that match at least one file."""
-    found = []
-    for pattern in patterns:
-        try:
-            spark.read.format("binaryFile").load(pattern)
-            found.append(pattern)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-    return found
+_EMPTY = (
+    "src_file string, src_offset bigint, src_row bigint, bundle_id string, entry array<string>, "
+    "link string, corrupt string"
+)
 
 
-def read_bundles(spark: SparkSession, *patterns: str, multi_line: bool = True) -> DataFrame:
-    """Scan bundle files: ``bundle_id, entry, link, corrupt`` and the source position.
+def _load(reader: DataFrameReader, patterns: list[str]) -> DataFrame | None:
+    """The files of those patterns that match any; one listing unless a pattern matches none."""
+    try:
+        return reader.load(patterns)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    if len(patterns) == 1:
+        return None
+    found = [p for p in patterns if _load(reader, [p]) is not None]
+    return reader.load(found) if found else None
 
-    ``multi_line`` reads one pretty-printed bundle per file, which one task must hold; without it
-    every line is a bundle and large files are split. Bad JSON gives one row with ``corrupt`` set
-    and leaves its neighbours alone. Patterns without files give no rows.
-    """
-    paths = _present(spark, list(patterns))
-    if not paths:
-        return spark.createDataFrame(
-            [],
-            "src_file string, src_offset bigint, src_row bigint, bundle_id string, "
-            "entry array<string>, link string, corrupt string",
-        )
-    raw = spark.read.schema(BUNDLE).option("multiLine", multi_line).json(paths)
+
+def with_source(raw: DataFrame) -> DataFrame:
+    """Add the file name and the offset of the split to a file scan."""
     return raw.select(
         F.col("_metadata.file_name").alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_offset"),
+        *raw.columns,
+    )
+
+
+def as_bundles(raw: DataFrame) -> DataFrame:
+    """Bundles with their source position, from a scan with the bundle schema."""
+    return raw.select(
+        "src_file",
+        "src_offset",
         F.monotonically_increasing_id().alias("src_row"),
         F.col("id").alias("bundle_id"),
         "entry",
@@ -48,12 +50,25 @@ def read_bundles(spark: SparkSession, *patterns: str, multi_line: bool = True) -
     )
 
 
+def read_bundles(spark: SparkSession, *patterns: str, multi_line: bool = True) -> DataFrame:
+    """Scan bundle files: ``bundle_id, entry, link, corrupt`` and the source position.
+
+    ``multi_line`` reads one pretty-printed bundle per file, which one task must hold; without it
+    every line is a bundle and large files are split. Bad JSON gives one row with ``corrupt`` set
+    and leaves its neighbours alone. Patterns without files give no rows.
+    """
+    reader = spark.read.format("json").schema(BUNDLE).option("multiLine", multi_line)
+    raw = _load(reader, list(patterns))
+    if raw is None:
+        return spark.createDataFrame([], _EMPTY)
+    return as_bundles(with_source(raw))
+
+
 def empty_files(spark: SparkSession, *patterns: str) -> DataFrame:
     """Names of files of no bytes, which a scan passes over. No content is read."""
-    paths = _present(spark, list(patterns))
-    if not paths:
+    scan = _load(spark.read.format("binaryFile"), list(patterns))
+    if scan is None:
         return spark.createDataFrame([], "src_file string")
-    scan = spark.read.format("binaryFile").load(paths)
     listed = spark.createDataFrame([(name,) for name in scan.inputFiles()], "path string")
     file_name = F.substring_index("path", "/", -1)
     decoded = F.url_decode(F.replace(file_name, F.lit("+"), F.lit("%2B")))

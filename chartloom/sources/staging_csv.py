@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chartloom.functions.text import na_to_null
 from chartloom.functions.typed import to_number
+from chartloom.sources.bundles import with_source
 
 
 def read_staging(
@@ -24,12 +25,12 @@ def read_staging(
         .csv(path)
     )
     values = [na_to_null(F.col(f"`{c}`")) for c in raw.columns]
-    return raw.select(
+    return with_source(raw).select(
         *[
             (to_number(v) if c in numeric else v).alias(c)
             for c, v in zip(raw.columns, values)
         ],
-        F.col("_metadata.file_name").alias("src_file"),
-        F.col("_metadata.file_block_start").alias("src_offset"),
+        "src_file",
+        "src_offset",
         F.monotonically_increasing_id().alias("src_row"),
     )

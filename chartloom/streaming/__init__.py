@@ -1,0 +1 @@
+"""The governed staging job over newly landed bundles only."""

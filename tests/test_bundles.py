@@ -1,0 +1,240 @@
+"""Reading bundles: broken files, odd shapes, missing parts, rules."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from records import bundle, coded, observation, patient, rows, write
+
+from chartloom.operators import governance as gov
+from chartloom.operators import nested, paging
+from chartloom.plans.inspection import chain_report, inspect_observations, inspect_patients
+from chartloom.plans.staging import stage_governed, stage_observations, stage_patients
+from chartloom.schemas import LINEAGE, STAGED_OBSERVATION
+from chartloom.sources.bundles import read_bundles
+from chartloom.streaming.landing import stage_new, staged
+
+FIELDS = ["loinc_code", "display_name", "result_value", "unit", "effective_datetime"]
+
+
+def fields_of(spark, tmp_path, resource):
+    path = write(tmp_path / "one", a=bundle(resource))
+    return tuple(stage_observations(read_bundles(spark, path)).select(FIELDS).collect()[0])
+
+
+@pytest.mark.parametrize(
+    "given,expected",
+    [
+        ({}, (None,) * 5),
+        ({"code": {"text": "Blood Pressure"}}, (None,) * 5),
+        ({"code": {"coding": []}}, (None,) * 5),
+        ({"code": {"coding": {"code": "x"}}, "issued": "2024"}, (None, None, None, None, "2024")),
+        ({"code": None, "valueQuantity": None}, (None,) * 5),
+        ({"code": coded("8302-2")}, ("8302-2", None, None, None, None)),
+        (
+            {"code": {"coding": [{"code": "a", "display": "A"}, {"code": "b"}]}},
+            ("a", "A", None, None, None),
+        ),
+        ({"valueQuantity": {"value": 150.0, "unit": "mmHg"}}, (None, None, "150.0", "mmHg", None)),
+        ({"valueQuantity": {"value": 37}}, (None, None, "37", None, None)),
+        ({"valueInteger": 5, "component": [{"valueQuantity": {"value": 1}}]}, (None,) * 5),
+        ({"effectiveDateTime": "2024-01-02", "issued": "2023"}, (None,) * 4 + ("2024-01-02",)),
+        ({"effectiveDateTime": None, "issued": "2023"}, (None,) * 4 + ("2023",)),
+        ({"code": coded("é-1", "Körpergröße")}, ("é-1", "Körpergröße", None, None, None)),
+    ],
+)
+def test_observation_fields(spark, tmp_path, given, expected):
+    assert fields_of(spark, tmp_path, observation(**given)) == expected
+
+
+@pytest.mark.parametrize(
+    "address,expected",
+    [
+        (..., None),
+        ([], None),
+        ([{"city": "x"}], None),
+        ([{"postalCode": "AB1"}, {"postalCode": "ZZ9"}], "AB1"),
+        ({"postalCode": "AB1"}, None),
+    ],
+)
+def test_postal_code(spark, tmp_path, address, expected):
+    path = write(tmp_path, a=bundle(patient(address=address)))
+    found = stage_patients(read_bundles(spark, path)).select("postal_code").collect()
+    assert [r[0] for r in found] == [expected]
+
+
+def test_one_odd_field_spoils_neither_record_nor_file(spark, tmp_path):
+    odd = observation("o1", code="not an object", valueQuantity=[1], issued="2024")
+    path = write(tmp_path, a=bundle(odd, observation("o2"), links="none"))
+    read = read_bundles(spark, path)
+    assert gov.corrupt_bundles(read).isEmpty()
+    assert rows(stage_observations(read), "obs_id", "effective_datetime") == [("o1", "2024"), ("o2", None)]
+
+
+def test_corrupt_and_empty_files_are_isolated(spark, tmp_path):
+    path = write(
+        tmp_path / "with space+plus",
+        a=bundle(patient("p1")),
+        cut='{"resourceType": "Bundle", "entry": [{"resource": {"resourceType": "Patient"',
+        nothing="",
+        none={"resourceType": "Bundle"},
+        hollow=bundle(),
+    )
+    staged_ = stage_governed(spark, path)
+    assert rows(staged_.patients, "patient_fhir_id") == [("p1",)]
+    message = "CORRUPT FILE: Malformed JSON structure in file "
+    assert rows(staged_.rejects, "severity", "rule", "file_name", "message") == [
+        ("ERROR", "CORRUPT_FILE", "cut.json", message + "cut.json"),
+        ("ERROR", "CORRUPT_FILE", "nothing.json", message + "nothing.json"),
+    ]
+    counts = nested.entry_counts(read_bundles(spark, path))
+    assert rows(counts.filter("src_file <> 'cut.json'"), "src_file", "n_entries") == [
+        ("a.json", 1),
+        ("hollow.json", 0),
+        ("none.json", 0),
+    ]
+
+
+def test_missing_input(spark, tmp_path):
+    nothing = str(tmp_path / "nowhere" / "*.json")
+    read = read_bundles(spark, nothing)
+    assert stage_patients(read).isEmpty()
+    here = write(tmp_path / "here", a=bundle(patient()))
+    assert read_bundles(spark, nothing, here).count() == 1
+    staged_ = stage_governed(spark, nothing)
+    assert staged_.patients.isEmpty() and staged_.rejects.isEmpty()
+
+
+def test_glob_selects_by_name(spark, tmp_path):
+    write(tmp_path, patient_page_1=bundle(patient()), observation_page_1=bundle(observation()))
+    read = read_bundles(spark, str(tmp_path / "patient_page_*.json"))
+    assert rows(read, "src_file") == [("patient_page_1.json",)]
+
+
+def test_rules_and_messages(spark, tmp_path):
+    path = write(
+        tmp_path,
+        a=bundle(
+            patient("p1"),
+            patient(...),
+            patient(""),
+            observation("o1"),
+            observation(""),
+            observation(..., subject=...),
+            observation("o2", subject=...),
+            observation("o3", subject=None),
+            observation("o4", reference=""),
+            observation("o5", reference=None),
+            {"resourceType": "Device", "id": ""},
+            {},
+            None,
+        ),
+    )
+    found = stage_governed(spark, path)
+    assert rows(found.patients, "patient_fhir_id") == [("p1",)]
+    assert rows(found.observations, "obs_id") == [("o1",)]
+    no_id = "IG VALIDATION FAILURE [%s]: Missing mandatory 'id' in file a.json"
+    no_subject = (
+        "IG VALIDATION FAILURE [Observation]: Missing mandatory 'subject.reference' "
+        "for Observation ID '%s' in file a.json"
+    )
+    assert rows(found.rejects, "message") == sorted(
+        [(no_id % "Patient",)] * 2
+        + [(no_id % "Observation",)] * 2
+        + [(no_subject % f"o{i}",) for i in (2, 3, 4, 5)]
+    )
+    assert rows(found.rejects.select("severity").distinct()) == [("WARNING",)]
+    assert found.patients.count() + found.observations.count() + found.rejects.count() == 10
+
+
+def test_lines_and_pages_give_the_same_records(spark, tmp_path):
+    bundles = [bundle(*[observation(f"o{i}-{j}") for j in range(3)]) for i in range(4)]
+    pages = write(tmp_path / "pages", **{f"p{i}": b for i, b in enumerate(bundles)})
+    lines = write(tmp_path / "lines", all="\n".join(json.dumps(b) for b in bundles))
+    one = stage_observations(read_bundles(spark, pages))
+    two = stage_observations(read_bundles(spark, lines, multi_line=False))
+    assert rows(one, *STAGED_OBSERVATION) == rows(two, *STAGED_OBSERVATION)
+    in_order = [r[0] for r in two.orderBy(*LINEAGE).select("obs_id").collect()]
+    assert in_order == [f"o{i}-{j}" for i in range(4) for j in range(3)]
+
+
+def test_file_order_survives_splitting(spark, tmp_path, conf):
+    conf("spark.sql.files.maxPartitionBytes", "2000")
+    conf("spark.sql.files.openCostInBytes", "1")
+    ids = [f"o{i:04d}" for i in range(400)]
+    path = write(tmp_path, all="\n".join(json.dumps(bundle(observation(i))) for i in ids))
+    read = read_bundles(spark, path, multi_line=False)
+    assert read.rdd.getNumPartitions() > 10
+    found = stage_observations(read).orderBy(*LINEAGE).select("obs_id").collect()
+    assert [r[0] for r in found] == ids
+
+
+def test_entries_are_parsed_once(spark, tmp_path):
+    path = write(tmp_path, a=bundle(observation()))
+    plan = gov.valid(gov.tag(nested.resources(read_bundles(spark, path))), "Observation")
+    text = plan.select(nested.observation_fields())._jdf.queryExecution().executedPlan().toString()
+    assert text.count("from_json") == 1
+
+
+def test_inspection_samples_three_per_file(spark, tmp_path):
+    many = [patient(f"p{i}", gender=... if i else "female") for i in range(5)]
+    path = write(tmp_path, a=bundle(*many), b=bundle(observation("o1", valueQuantity={"value": 1})))
+    read = read_bundles(spark, path)
+    assert rows(inspect_patients(read), "patient_fhir_id", "gender") == [
+        ("o1", "N/A"),
+        ("p0", "female"),
+        ("p1", "N/A"),
+        ("p2", "N/A"),
+    ]
+    assert ("o1", "N/A", "1", "N/A") in rows(
+        inspect_observations(read), "obs_id", "loinc_code", "result_value", "unit"
+    )
+
+
+def chain(spark, tmp_path, sizes, last=None):
+    """Pages of the given sizes, linked up to page ``last``."""
+    files = {}
+    for i, n in enumerate(sizes, 1):
+        links = [{"relation": "self", "url": "s"}]
+        if i != last:
+            links += [{"relation": "next", "url": f"u{i + 1}"}, {"relation": "next", "url": "other"}]
+        files[f"patient_page_{i}"] = bundle(*[patient(f"{i}-{j}") for j in range(n)], links=links)
+    read = read_bundles(spark, write(tmp_path, **files))
+    return paging.page_table(read, F.lit("patient"), paging.page_from_file(F.col("src_file")))
+
+
+@pytest.mark.parametrize(
+    "sizes,last,total,kept",
+    [
+        ([10, 10, 10], 3, 50, [1, 2, 3]),
+        ([10, 10, 10, 10, 10, 10], None, 50, [1, 2, 3, 4, 5]),
+        ([10, 10, 10, 10, 9, 10, 10], None, 50, [1, 2, 3, 4, 5, 6]),
+        ([10, 0, 10], None, 50, [1]),
+        ([10, 10, 10], 2, 50, [1, 2]),
+        ([0, 10], None, 50, []),
+        ([60, 10], None, 50, [1]),
+        ([10] * 12, None, 115, list(range(1, 13))),
+    ],
+)
+def test_page_chain(spark, tmp_path, sizes, last, total, kept):
+    report = chain_report(chain(spark, tmp_path, sizes, last), total).orderBy("page").collect()
+    assert [r["page"] for r in report] == kept
+    assert [r["collected"] for r in report] == [sum(sizes[:i]) for i in kept]
+
+
+def test_first_next_link(spark, tmp_path):
+    pages = chain(spark, tmp_path, [1, 1], last=2)
+    assert rows(pages, "page", "next_url") == [(1, "u2"), (2, None)]
+
+
+def test_new_files_are_staged_once(spark, tmp_path):
+    folder, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    write(tmp_path / "in", a=bundle(patient("p1"), observation("o1"), patient("")))
+    stage_new(spark, folder, out, check).awaitTermination()
+    write(tmp_path / "in", b=bundle(observation("o2")), c='{"entry": [')
+    for _ in range(2):
+        stage_new(spark, folder, out, check).awaitTermination()
+    found = staged(spark, out)
+    assert rows(found.patients, "patient_fhir_id") == [("p1",)]
+    assert rows(found.observations, "obs_id") == [("o1",), ("o2",)]
+    assert rows(found.rejects, "rule") == [("CORRUPT_FILE",), ("MISSING_ID",)]

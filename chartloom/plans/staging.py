@@ -66,13 +66,17 @@ def split_routes(stored: DataFrame) -> Staged:
     )
 
 
-def stage_governed(spark: SparkSession, *patterns: str, multi_line: bool = True) -> Staged:
+def stage_bundles(bundles: DataFrame) -> Staged:
     """Valid patients, valid observations and rejects from one pass over the JSON.
 
     The flat records are stored once, split by route; each output then reads its own part.
     """
-    flat = routed(read_bundles(spark, *patterns, multi_line=multi_line))
-    staged = split_routes(materialize(flat, "staged", ["route"]))
+    return split_routes(materialize(routed(bundles), "staged", ["route"]))
+
+
+def stage_governed(spark: SparkSession, *patterns: str, multi_line: bool = True) -> Staged:
+    """Staged bundle files, files of no bytes among the rejects."""
+    staged = stage_bundles(read_bundles(spark, *patterns, multi_line=multi_line))
     if multi_line:
         events = gov.corrupt_files(empty_files(spark, *patterns))
         staged.rejects = staged.rejects.unionByName(events)

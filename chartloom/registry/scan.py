@@ -11,11 +11,11 @@ from chartloom.operators import nested, paging
 from chartloom.plans.inspection import inspect_observations
 from chartloom.plans.staging import stage_governed, stage_observations, stage_patients
 from chartloom.registry import roles
-from chartloom.registry.landing import bundles, landing
+from chartloom.registry.landing import bundles, landing, pages
 from chartloom.schemas import STAGED_OBSERVATION, STAGED_PATIENT
 from chartloom.session import work_path
 from chartloom.sinks.files import land_lines, land_pages, write_staging
-from chartloom.sources.bundles import read_bundles
+from chartloom.sources.bundles import read_bundles, read_landed
 from chartloom.sources.staging_csv import read_staging
 
 
@@ -168,6 +168,17 @@ def landing_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads landed as a table, staged from there; records and readings per page."""
+    path = work_path(spark, "landed")
+    land_pages(pages(spark, sf_dir), path)
+    staged = stage_observations(read_landed(spark, path))
+    page = paging.page_from_file(F.col("src_file"))
+    return staged.groupBy(page.alias("page")).agg(
+        F.count("*").alias("n"), F.count("result_value").alias("n_values")
+    )
+
+
 QUERIES = {
     "scan_bundle_files": scan_bundle_files,
     "scan_corrupt_isolated": scan_corrupt_isolated,
@@ -185,6 +196,7 @@ QUERIES = {
     "governance_rejects": governance_rejects,
     "governance_single_pass": governance_single_pass,
     "landing_partitioned": landing_partitioned,
+    "landed_pages": landed_pages,
 }
 
 _RAW = f"WITH raw AS ({roles.RAW_SQL}), people AS (SELECT {', '.join(roles.PATIENT)} FROM customer)"
@@ -197,6 +209,9 @@ _PAGES = """
 WITH page AS (SELECT event_id // 100 AS page, count(*) AS n_entries FROM events GROUP BY 1),
 ends AS (SELECT max(page) AS last FROM page)"""
 SQL = {
+    "landed_pages": f"""{_RAW}
+SELECT event_id // 100 AS page, count(*) AS n, count(result_value) AS n_values
+FROM raw GROUP BY event_id // 100""",
     "scan_bundle_files": f"{_RAW} SELECT * EXCLUDE (event_id) FROM raw",
     "scan_corrupt_isolated": """
 SELECT 'ERROR' AS severity, 'CORRUPT_FILE' AS rule,

@@ -8,28 +8,19 @@ from pyspark.sql import types as T
 # the bundle. Sorting on these columns gives back file order for any number of tasks.
 LINEAGE = ["src_file", "src_offset", "src_row", "src_pos"]
 
-# One bundle. Entries and links stay raw text, so that a mistyped field spoils that field and not
-# the file, and nothing is parsed that is not asked for.
-BUNDLE = T.StructType(
-    [
-        T.StructField("id", T.StringType()),
-        T.StructField("entry", T.ArrayType(T.StringType())),
-        T.StructField("link", T.StringType()),
-        T.StructField("_corrupt_record", T.StringType()),
-    ]
-)
-LINKS = "ARRAY<STRUCT<relation: STRING, url: STRING>>"
-
 # One entry, narrowed to the fields that are read. Values keep their written form.
 ENTRY = (
-    "resource STRUCT<"
+    "STRUCT<resource: STRUCT<"
     "resourceType: STRING, id: STRING, gender: STRING, birthDate: STRING, "
     "address: ARRAY<STRUCT<postalCode: STRING>>, "
     "subject: STRUCT<reference: STRING>, "
     "code: STRUCT<coding: ARRAY<STRUCT<code: STRING, display: STRING>>>, "
     "valueQuantity: STRUCT<value: STRING, unit: STRING>, "
-    "effectiveDateTime: STRING, issued: STRING>"
+    "effectiveDateTime: STRING, issued: STRING>>"
 )
+# One bundle. Links stay raw text until they are asked for.
+BUNDLE = f"id STRING, entry ARRAY<{ENTRY}>, link STRING, _corrupt_record STRING"
+LINKS = "ARRAY<STRUCT<relation: STRING, url: STRING>>"
 
 STAGED_PATIENT = ["patient_fhir_id", "gender", "birth_date", "postal_code"]
 STAGED_OBSERVATION = [

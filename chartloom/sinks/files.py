@@ -39,9 +39,13 @@ def land_pages(pages: DataFrame, path: str) -> None:
 
 
 def land_lines(pages: DataFrame, path: str) -> None:
-    """Land raw bundles as text, one per line, by resource type; splittable by the JSON reader."""
+    """Land raw bundles as text, one per line, by resource type; splittable by the JSON reader.
+
+    Line breaks of pretty-printed JSON become blanks; within JSON strings there are none.
+    """
+    line = F.translate("payload", "\r\n", "  ").alias("payload")
     (
-        pages.select(F.lower("resource_type").alias("resource_type"), "payload")
+        pages.select(F.lower("resource_type").alias("resource_type"), line)
         .write.mode("overwrite")
         .partitionBy("resource_type")
         .text(path)

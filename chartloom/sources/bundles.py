@@ -6,13 +6,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.schemas import BUNDLE
+from chartloom.schemas import BUNDLE, ENTRY
 
 
 _EMPTY = (
-    "src_file string, src_offset bigint, src_row bigint, bundle_id string, entry array<string>, "
-    "link string, corrupt string"
+    f"src_file STRING, src_offset BIGINT, src_row BIGINT, bundle_id STRING, entry ARRAY<{ENTRY}>, "
+    "link STRING, corrupt BOOLEAN"
 )
+_CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+# For records that do not fit the schema: entries as raw text, so that each is parsed by itself.
+_LOOSE = "entry ARRAY<STRING>, unreadable STRING"
 
 
 def _load(reader: DataFrameReader, patterns: list[str]) -> DataFrame | None:
@@ -38,15 +41,23 @@ def with_source(raw: DataFrame) -> DataFrame:
 
 
 def as_bundles(raw: DataFrame) -> DataFrame:
-    """Bundles with their source position, from a scan with the bundle schema."""
+    """Bundles with their source position, from a scan with the bundle schema.
+
+    Nearly all records fit the schema and are parsed once, by the scan. The text of those that do
+    not is parsed again entry by entry: a mistyped field is then NULL by itself, and only bad JSON
+    is corrupt.
+    """
+    misfit = F.col("_corrupt_record")
+    again = F.from_json(misfit, _LOOSE, {"columnNameOfCorruptRecord": "unreadable"})
+    one_by_one = F.transform(again["entry"], lambda e: F.from_json(e, ENTRY))
     return raw.select(
         "src_file",
         "src_offset",
         F.monotonically_increasing_id().alias("src_row"),
         F.col("id").alias("bundle_id"),
-        "entry",
+        F.when(misfit.isNull(), F.col("entry")).otherwise(one_by_one).alias("entry"),
         "link",
-        F.col("_corrupt_record").alias("corrupt"),
+        (misfit.isNotNull() & again["unreadable"].isNotNull()).alias("corrupt"),
     )
 
 
@@ -54,16 +65,30 @@ def read_bundles(spark: SparkSession, *patterns: str, multi_line: bool = True) -
     """Scan bundle files: ``bundle_id, entry, link, corrupt`` and the source position.
 
     ``multi_line`` reads one pretty-printed bundle per file, which one task must hold; without it
-    every line is a bundle and large files are split. Bad JSON gives one row with ``corrupt`` set
-    and leaves its neighbours alone. Patterns without files give no rows.
+    every line is a bundle and large files are split. Bad JSON gives one ``corrupt`` row and leaves
+    its neighbours alone. Patterns without files give no rows.
     """
-    reader = spark.read.format("json").schema(BUNDLE).option("multiLine", multi_line)
+    reader = spark.read.format("json").schema(BUNDLE).options(multiLine=multi_line, **_CORRUPT)
     raw = _load(reader, list(patterns))
     if raw is None:
         return spark.createDataFrame([], _EMPTY)
     return as_bundles(with_source(raw))
 
 
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """Bundles of landed payloads, with file names in the form ``observation_page_3.json``.
+
+    Parsed inside a generator, below which no filter is pushed that would parse again.
+    """
+    landed = spark.read.schema("resource_type STRING, page BIGINT, payload STRING").parquet(path)
+    name = F.format_string("%s_page_%d.json", "resource_type", "page")
+    parsed = F.from_json("payload", BUNDLE, _CORRUPT)
+    raw = landed.select(
+        name.alias("src_file"), F.lit(0).cast("bigint").alias("src_offset"), F.inline(F.array(parsed))
+    )
+    return as_bundles(raw)
+
+
 def empty_files(spark: SparkSession, *patterns: str) -> DataFrame:
     """Names of files of no bytes, which a scan passes over. No content is read."""
     scan = _load(spark.read.format("binaryFile"), list(patterns))

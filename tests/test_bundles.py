@@ -9,9 +9,15 @@ from records import bundle, coded, observation, patient, rows, write
 from chartloom.operators import governance as gov
 from chartloom.operators import nested, paging
 from chartloom.plans.inspection import chain_report, inspect_observations, inspect_patients
-from chartloom.plans.staging import stage_governed, stage_observations, stage_patients
+from chartloom.plans.staging import (
+    stage_bundles,
+    stage_governed,
+    stage_observations,
+    stage_patients,
+)
 from chartloom.schemas import LINEAGE, STAGED_OBSERVATION
-from chartloom.sources.bundles import read_bundles
+from chartloom.sinks.files import land_lines, land_pages
+from chartloom.sources.bundles import read_bundles, read_landed
 from chartloom.streaming.landing import stage_new, staged
 
 FIELDS = ["loinc_code", "display_name", "result_value", "unit", "effective_datetime"]
@@ -169,11 +175,55 @@ def test_file_order_survives_splitting(spark, tmp_path, conf):
     assert [r[0] for r in found] == ids
 
 
-def test_entries_are_parsed_once(spark, tmp_path):
-    path = write(tmp_path, a=bundle(observation()))
-    plan = gov.valid(gov.tag(nested.resources(read_bundles(spark, path))), "Observation")
-    text = plan.select(nested.observation_fields())._jdf.queryExecution().executedPlan().toString()
-    assert text.count("from_json") == 1
+def test_landed_payloads_read_like_files(spark, tmp_path):
+    """Payloads kept unchanged in a table, with a broken one among them."""
+    good = json.dumps(bundle(observation("o1", code=coded("c")), patient("", address={})), indent=2)
+    pages = spark.createDataFrame(
+        [("Observation", 1, good), ("Observation", 2, good[:-9]), ("Patient", 1, json.dumps(bundle(patient())))],
+        "resource_type string, page int, payload string",
+    )
+    land_pages(pages, str(tmp_path / "landed"))
+    stored = spark.read.parquet(str(tmp_path / "landed"))
+    assert rows(stored.filter("resource_type = 'observation'"), "payload") == [(good,), (good[:-9],)]
+    found = stage_bundles(read_landed(spark, str(tmp_path / "landed")))
+    assert rows(found.observations, "obs_id", "loinc_code", "src_file") == [
+        ("o1", "c", "observation_page_1.json")
+    ]
+    assert rows(found.patients, "patient_fhir_id") == [("p1",)]
+    assert rows(found.rejects, "rule", "file_name") == [
+        ("CORRUPT_FILE", "observation_page_2.json"),
+        ("MISSING_ID", "observation_page_1.json"),
+    ]
+
+
+def test_pretty_pages_land_as_lines(spark, tmp_path):
+    payload = json.dumps(bundle(observation("o1", code=coded("c", "two\nlines"))), indent=2)
+    page = spark.createDataFrame([("Observation", 1, payload)], "resource_type string, page int, payload string")
+    land_lines(page, str(tmp_path / "lines"))
+    read = read_bundles(spark, str(tmp_path / "lines" / "resource_type=observation"), multi_line=False)
+    assert rows(stage_observations(read), "obs_id", "display_name") == [("o1", "two\nlines")]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_misfits_and_fits_read_alike(spark, tmp_path, multi_line):
+    """A misfit entry sends its whole bundle down the slow path; the others come out the same."""
+    good = [
+        observation(f"o{i}", code=coded(f"c{i}", 'q"uo\\te'), valueQuantity={"value": i + 0.50, "unit": "ü"})
+        for i in range(3)
+    ]
+    odd = [patient("p1", address={"postalCode": "x"}), observation("o9", subject=["x"]), {}, None]
+    fits, misfits = bundle(*good), bundle(*good, *odd, entry_count=1)
+    misfits["entry"] += [None, "text", 7, {"resource": "text"}]
+    text = {k: json.dumps(v) for k, v in {"fits": fits, "misfits": misfits}.items()}
+    read = read_bundles(spark, write(tmp_path, **text), multi_line=multi_line)
+    staged_ = stage_observations(read)
+    assert rows(staged_.filter("src_file = 'fits.json'"), *STAGED_OBSERVATION) == rows(
+        staged_.filter("src_file = 'misfits.json' AND obs_id <> 'o9'"), *STAGED_OBSERVATION
+    )
+    assert rows(staged_.filter("obs_id = 'o9'"), "patient_reference") == [(None,)]
+    assert rows(stage_patients(read), "patient_fhir_id", "postal_code") == [("p1", None)]
+    assert gov.corrupt_bundles(read).isEmpty()
+    assert rows(nested.entry_counts(read), "n_entries") == [(11,), (3,)]
 
 
 def test_inspection_samples_three_per_file(spark, tmp_path):

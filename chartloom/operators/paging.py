@@ -26,10 +26,14 @@ def page_table(bundles: DataFrame, resource_type: Column, page: Column) -> DataF
 
 
 def page_from_file(file_name: Column) -> Column:
-    """Number in names such as ``observation_page_3.json``."""
+    """Number in names such as ``observation_page_12.json``."""
     return F.nullif(F.regexp_extract(file_name, r"_page_(\d+)", 1), F.lit("")).cast("bigint")
 
 
+def type_from_file(file_name: Column) -> Column:
+    return F.substring_index(file_name, "_page_", 1)
+
+
 def running_records(pages: DataFrame) -> DataFrame:
     """Records so far per resource type, up to and including each page."""
     return running_total(pages, "resource_type", "page", "n_entries", "collected")

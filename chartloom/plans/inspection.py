@@ -1,4 +1,4 @@
-"""Looking at bundles and page chains before anything is staged."""
+"""Looking at bundles before anything is staged."""
 
 from __future__ import annotations
 
@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.functions.text import null_to_na
-from chartloom.operators import nested, paging
-from chartloom.operators.governance import OBSERVATION, PATIENT
+from chartloom.operators import nested
 from chartloom.schemas import LINEAGE
-from chartloom.session import materialize
 
 
 def inspect_patients(bundles: DataFrame, n: int = 3) -> DataFrame:
@@ -26,13 +24,3 @@ def inspect_observations(bundles: DataFrame, n: int = 3) -> DataFrame:
     )
     shown = ["obs_id", "loinc_code", "result_value", "unit"]
     return sample.select(*LINEAGE, "bundle_id", *[null_to_na(F.col(c)).alias(c) for c in shown])
-
-
-def chain_report(pages: DataFrame, total: int = 50) -> DataFrame:
-    """Pages a fetch of ``total`` records per type keeps, with the running number of records.
-
-    The page table, one short row per bundle, is stored first, so the bundles are read once.
-    """
-    stored = materialize(pages, "pages")
-    chain = paging.until_stop(stored, [PATIENT.lower(), OBSERVATION.lower()])
-    return paging.within_budget(chain, total)

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from chartloom.operators import paging
 from chartloom.plans import inspection, reports
+from chartloom.plans.constraints import violations
+from chartloom.plans.fetched import chain_report, land_chain
 from chartloom.plans.load import delete_patients, load_tables
 from chartloom.plans.staging import stage_governed
 from chartloom.registry import roles
 from chartloom.registry.landing import bundles, landing
+from chartloom.registry.landing import pages as raw_pages
 from chartloom.registry.timeline import parts
 from chartloom.schemas import STAGED_OBSERVATION, STAGED_PATIENT, TIMELINE_COLUMNS
 from chartloom.session import work_path
@@ -20,6 +23,9 @@ from chartloom.sinks.tables import Tables
 from chartloom.sources.staging_csv import read_staging
 
 
+BUDGET = 750
+
+
 def _tables(spark: SparkSession) -> Tables:
     return Tables(spark, work_path(spark, "tables"))
 
@@ -166,11 +172,34 @@ def job_inspect_paging(spark: SparkSession, sf_dir: str) -> DataFrame:
             for kind in ("observation", "patient")
         ]
     )
-    kept = inspection.chain_report(pages, total=750).groupBy("resource_type")
-    chain = kept.agg(F.max("collected").alias("n"))
+    chain = chain_report(pages, BUDGET).groupBy("resource_type").agg(F.max("collected").alias("n"))
     return sampled.unionByName(chain.withColumn("report", F.lit("collected")))
 
 
+def job_land_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages landed within the budget, and the length of what they hold."""
+    path = work_path(spark, "chain")
+    land_chain(raw_pages(spark, sf_dir), path, BUDGET)
+    landed = spark.read.parquet(path)
+    return landed.groupBy("resource_type").agg(
+        F.count("*").alias("n_pages"), F.min("page").alias("first"), F.max("page").alias("last")
+    )
+
+
+def constraint_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables filled without any cleaning: patients in debt missing, those with little twice."""
+    tables = _tables(spark)
+    customers = roles.table(spark, sf_dir, "customer").filter("c_acctbal > 0")
+    tables.append("fhir_patients", customers.selectExpr(*roles.PATIENT))
+    tables.append("fhir_patients", customers.filter("c_acctbal < 500").selectExpr(*roles.PATIENT))
+    observations = roles.observations(spark, sf_dir)
+    seen = observations.select("loinc_code", "display_name").distinct()
+    tables.append("terminology_lookup", seen.filter("loinc_code <> '39156-5'"))
+    loose = "CASE WHEN result_value > 200 THEN NULL ELSE patient_fhir_id END AS patient_fhir_id"
+    tables.append("fhir_observations", observations.selectExpr("obs_id", loose, "loinc_code"))
+    return violations(tables)
+
+
 QUERIES = {
     "table_append_defaults": table_append_defaults,
     "reload_idempotent": reload_idempotent,
@@ -181,6 +210,8 @@ QUERIES = {
     "job_delete": job_delete,
     "job_timeline_reports": job_timeline_reports,
     "job_inspect_paging": job_inspect_paging,
+    "job_land_chain": job_land_chain,
+    "constraint_audit": constraint_audit,
 }
 
 _RAW = f"raw AS ({roles.RAW_SQL})"
@@ -196,6 +227,11 @@ _LOAD = f"""{roles.BASE}, loaded AS (
 _REASSIGNED = roles.TIMELINE_BODY.replace("JOIN obs o", "JOIN dealt o").replace(
     "JOIN terms t", "JOIN nan_terms t"
 )
+_RUNNING = """
+WITH page AS (SELECT 'observation' AS kind, event_id // 100 AS page, count(*) AS n FROM events GROUP BY 2
+  UNION ALL SELECT 'patient', c_custkey // 100, count(*) FROM customer GROUP BY 2),
+running AS (SELECT *, sum(n) OVER (PARTITION BY kind ORDER BY page ROWS UNBOUNDED PRECEDING) AS so_far
+            FROM page)"""
 SQL = {
     "table_append_defaults": f"""
 WITH pat AS (SELECT {', '.join(roles.PATIENT)} FROM customer)
@@ -248,13 +284,31 @@ UNION ALL SELECT 'kpis', 'flagged_observations', count(*) FROM tl
 UNION ALL SELECT 'kpis', 'tests_mapped', count(DISTINCT test_name) FROM tl
 UNION ALL SELECT 'timeline', 'timed', count(effective_datetime) FROM tl
 UNION ALL SELECT 'audit_list', clinical_flag, count(*) FROM newest GROUP BY clinical_flag""",
-    "job_inspect_paging": """
-WITH page AS (SELECT 'observation' AS kind, event_id // 100 AS page, count(*) AS n FROM events GROUP BY 2
-  UNION ALL SELECT 'patient', c_custkey // 100, count(*) FROM customer GROUP BY 2),
-running AS (SELECT *, sum(n) OVER (PARTITION BY kind ORDER BY page ROWS UNBOUNDED PRECEDING) AS so_far
-            FROM page)
+    "constraint_audit": f"""
+WITH obs AS ({roles.OBSERVATION_SQL}),
+once AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_acctbal FROM customer WHERE c_acctbal > 0),
+patient AS (SELECT id FROM once UNION ALL SELECT id FROM once WHERE c_acctbal < 500),
+term AS (SELECT DISTINCT loinc_code, display_name FROM obs WHERE loinc_code <> '39156-5'),
+reading AS (SELECT obs_id, loinc_code,
+                   CASE WHEN result_value > 200 THEN NULL ELSE patient_fhir_id END AS id FROM obs)
+SELECT 'fhir_patients' AS table_name, 'patient_fhir_id' AS column_name, 'PRIMARY KEY' AS rule,
+       id AS value, count(*) AS n_rows FROM patient GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT 'terminology_lookup', 'loinc_code', 'PRIMARY KEY', loinc_code, count(*)
+FROM term GROUP BY loinc_code HAVING count(*) > 1
+UNION ALL SELECT 'terminology_lookup', 'display_name', 'NOT NULL', NULL, count(*)
+FROM term WHERE display_name IS NULL HAVING count(*) > 0
+UNION ALL SELECT 'fhir_observations', 'patient_fhir_id', 'NOT NULL', NULL, count(*)
+FROM reading WHERE id IS NULL HAVING count(*) > 0
+UNION ALL SELECT 'fhir_observations', 'patient_fhir_id', 'FOREIGN KEY', id, count(*)
+FROM reading WHERE id NOT IN (SELECT id FROM patient) GROUP BY id
+UNION ALL SELECT 'fhir_observations', 'loinc_code', 'FOREIGN KEY', loinc_code, count(*)
+FROM reading WHERE loinc_code NOT IN (SELECT loinc_code FROM term) GROUP BY loinc_code""",
+    "job_land_chain": f"""{_RUNNING}
+SELECT kind AS resource_type, count(*) AS n_pages, min(page) AS first, max(page) AS last
+FROM running WHERE so_far - n < {BUDGET} GROUP BY kind""",
+    "job_inspect_paging": f"""{_RUNNING}
 SELECT 'sample' AS report, 'patient' AS resource_type, CAST(sum(least(n, 3)) AS BIGINT) AS n
 FROM page WHERE kind = 'patient'
 UNION ALL
-SELECT 'collected', kind, CAST(max(so_far) AS BIGINT) FROM running WHERE so_far - n < 750 GROUP BY kind""",
+SELECT 'collected', kind, CAST(max(so_far) AS BIGINT) FROM running WHERE so_far - n < {BUDGET} GROUP BY kind""",
 }

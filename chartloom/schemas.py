@@ -74,6 +74,20 @@ TABLES = {
     "terminology_lookup": TERMS,
     "fhir_observations": OBSERVATIONS,
 }
+# Constraints of the stored tables (fixed values): table and column; for references also the parent.
+PRIMARY_KEYS = [
+    ("fhir_patients", "patient_fhir_id"),
+    ("terminology_lookup", "loinc_code"),
+    ("fhir_observations", "obs_id"),
+]
+NOT_NULL = [
+    ("terminology_lookup", "display_name"),
+    ("fhir_observations", "patient_fhir_id"),
+]
+FOREIGN_KEYS = [
+    ("fhir_observations", "patient_fhir_id", "fhir_patients"),
+    ("fhir_observations", "loinc_code", "terminology_lookup"),
+]
 TIMELINE_VIEW = "vw_patient_clinical_timeline"
 TIMELINE_COLUMNS = [
     "patient_fhir_id",

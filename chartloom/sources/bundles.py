@@ -75,20 +75,26 @@ def read_bundles(spark: SparkSession, *patterns: str, multi_line: bool = True) -
     return as_bundles(with_source(raw))
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Bundles of landed payloads, with file names in the form ``observation_page_3.json``.
+def parse_pages(pages: DataFrame) -> DataFrame:
+    """Bundles of raw ``payload`` text per ``resource_type`` and ``page``, which name the source
+    file: ``observation_page_12.json``.
 
     Parsed inside a generator, below which no filter is pushed that would parse again.
     """
-    landed = spark.read.schema("resource_type STRING, page BIGINT, payload STRING").parquet(path)
-    name = F.format_string("%s_page_%d.json", "resource_type", "page")
+    name = F.format_string("%s_page_%d.json", F.lower("resource_type"), "page")
     parsed = F.from_json("payload", BUNDLE, _CORRUPT)
-    raw = landed.select(
+    raw = pages.select(
         name.alias("src_file"), F.lit(0).cast("bigint").alias("src_offset"), F.inline(F.array(parsed))
     )
     return as_bundles(raw)
 
 
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """Bundles of a landed table of pages."""
+    landed = spark.read.schema("resource_type STRING, page BIGINT, payload STRING")
+    return parse_pages(landed.parquet(path))
+
+
 def empty_files(spark: SparkSession, *patterns: str) -> DataFrame:
     """Names of files of no bytes, which a scan passes over. No content is read."""
     scan = _load(spark.read.format("binaryFile"), list(patterns))

@@ -8,7 +8,8 @@ from records import bundle, coded, observation, patient, rows, write
 
 from chartloom.operators import governance as gov
 from chartloom.operators import nested, paging
-from chartloom.plans.inspection import chain_report, inspect_observations, inspect_patients
+from chartloom.plans.fetched import chain_report, land_chain
+from chartloom.plans.inspection import inspect_observations, inspect_patients
 from chartloom.plans.staging import (
     stage_bundles,
     stage_governed,
@@ -272,6 +273,25 @@ def test_page_chain(spark, tmp_path, sizes, last, total, kept):
     assert [r["collected"] for r in report] == [sum(sizes[:i]) for i in kept]
 
 
+def test_land_the_kept_pages(spark, tmp_path):
+    """Both types, one cut by its budget, one by an empty page; payloads stay as they are."""
+    following = [{"relation": "next", "url": "u"}]
+    made = [
+        (kind, page, json.dumps(bundle(*[maker(f"{page}-{j}") for j in range(n)], links=following), indent=1))
+        for kind, maker, sizes in (
+            ("Patient", patient, [2, 2, 2, 2]),
+            ("Observation", observation, [1, 0, 1]),
+            ("Device", patient, [1]),
+        )
+        for page, n in enumerate(sizes, 1)
+    ]
+    pages = spark.createDataFrame(made, "resource_type string, page int, payload string")
+    land_chain(pages, str(tmp_path / "kept"), total=5)
+    stored = spark.read.parquet(str(tmp_path / "kept"))
+    assert rows(stored, "resource_type", "page") == [("observation", 1), ("patient", 1), ("patient", 2), ("patient", 3)]
+    assert {r.payload for r in stored.collect()} <= {m[2] for m in made}
+
+
 def test_first_next_link(spark, tmp_path):
     pages = chain(spark, tmp_path, [1, 1], last=2)
     assert rows(pages, "page", "next_url") == [(1, "u2"), (2, None)]

@@ -1,4 +1,8 @@
-"""Known counts of a real corpus of bundles, when ``BUNDLE_CORPUS`` names its folder."""
+"""Known results on a given corpus of bundles.
+
+Runs when ``CORPUS_BUNDLES`` (a file pattern), ``CORPUS_PATIENTS`` and ``CORPUS_OBSERVATIONS`` (the
+staging files expected of them) are set.
+"""
 
 import os
 
@@ -11,13 +15,15 @@ from chartloom.plans.staging import stage_governed
 from chartloom.schemas import STAGED_OBSERVATION, STAGED_PATIENT
 from chartloom.sinks.tables import Tables
 
-FOLDER = os.environ.get("BUNDLE_CORPUS", "")
-pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no corpus given")
+BUNDLES = os.environ.get("CORPUS_BUNDLES", "")
+PATIENTS_CSV = os.environ.get("CORPUS_PATIENTS", "")
+OBSERVATIONS_CSV = os.environ.get("CORPUS_OBSERVATIONS", "")
+pytestmark = pytest.mark.skipif(not BUNDLES, reason="no corpus given")
 
 
 @pytest.fixture(scope="module")
 def staged(spark):
-    return stage_governed(spark, f"{FOLDER}/raw_fhir/*.json")
+    return stage_governed(spark, BUNDLES)
 
 
 def _bag(df, columns):
@@ -28,11 +34,11 @@ def _bag(df, columns):
 def test_staging(spark, staged):
     assert staged.patients.count() == 60 and staged.observations.count() == 60
     assert staged.rejects.isEmpty()
-    for df, name, columns in (
-        (staged.patients, "patients_clean", STAGED_PATIENT),
-        (staged.observations, "observations_clean", STAGED_OBSERVATION),
+    for df, path, columns in (
+        (staged.patients, PATIENTS_CSV, STAGED_PATIENT),
+        (staged.observations, OBSERVATIONS_CSV, STAGED_OBSERVATION),
     ):
-        expected = spark.read.option("header", True).option("escape", '"').csv(f"{FOLDER}/{name}.csv")
+        expected = spark.read.option("header", True).option("escape", '"').csv(path)
         assert _bag(df, columns) == _bag(expected, columns)
 
 

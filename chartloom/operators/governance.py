@@ -55,7 +55,9 @@ def _message() -> Column:
 def rejects(tagged: DataFrame) -> DataFrame:
     """Quarantine rows of tagged records that fail a rule."""
     return tagged.filter(F.col("rule").isNotNull()).select(
-        F.when(F.col("rule") == CORRUPT, F.lit("ERROR")).otherwise(F.lit("WARNING")).alias("severity"),
+        F.when(F.col("rule") == CORRUPT, F.lit("ERROR"))
+        .otherwise(F.lit("WARNING"))
+        .alias("severity"),
         "rule",
         F.col("resourceType").alias("resource_type"),
         F.col("id").alias("resource_id"),
@@ -67,9 +69,8 @@ def rejects(tagged: DataFrame) -> DataFrame:
 def corrupt_files(files: DataFrame) -> DataFrame:
     """Quarantine rows of files known to be unreadable (column ``src_file``)."""
     none = F.lit(None).cast("string")
-    return rejects(
-        files.select("src_file", none.alias("resourceType"), none.alias("id"), F.lit(CORRUPT).alias("rule"))
-    )
+    rule = F.lit(CORRUPT).alias("rule")
+    return rejects(files.select("src_file", none.alias("resourceType"), none.alias("id"), rule))
 
 
 def corrupt_bundles(bundles: DataFrame) -> DataFrame:

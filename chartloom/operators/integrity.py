@@ -14,7 +14,9 @@ from chartloom.operators.ordinal import dense_index
 from chartloom.session import materialize
 
 
-def with_parent(child: DataFrame, parent: DataFrame, key: str, keep_null: bool = False) -> DataFrame:
+def with_parent(
+    child: DataFrame, parent: DataFrame, key: str, keep_null: bool = False
+) -> DataFrame:
     """Rows whose key exists in ``parent``; ``keep_null`` also keeps rows without a key."""
     keys = parent.select(F.col(key).alias("_key"))
     if not keep_null:

@@ -44,10 +44,11 @@ def running_total(
     """
     blocked = df.withColumn("_block", F.shiftright(order, block_bits))
     earlier = W.partitionBy(group).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_total").over(earlier), F.lit(0))
     starts = (
         blocked.groupBy(group, "_block")
         .agg(F.sum(value).alias("_total"))
-        .select(group, "_block", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))
+        .select(group, "_block", before.alias("_start"))
     )
     so_far = W.partitionBy(group, "_block").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     return (

@@ -34,7 +34,8 @@ def timeline(patients: DataFrame, observations: DataFrame, terms: DataFrame) ->
     are too large to broadcast, partitions of a hot patient or code are split.
     """
     people = patients.select("patient_fhir_id", "gender", "birth_date")
-    return name_and_flag(observations, terms).join(people, "patient_fhir_id").select(TIMELINE_COLUMNS)
+    named = name_and_flag(observations, terms)
+    return named.join(people, "patient_fhir_id").select(TIMELINE_COLUMNS)
 
 
 def newest_first(df: DataFrame) -> DataFrame:

@@ -44,6 +44,8 @@ def load_tables(
     if on_no_match not in ("drop", "reassign"):
         raise ValueError("on_no_match is 'drop' or 'reassign'")
     order = order or [c for c in LINEAGE if c in observations.columns]
+    if not order:
+        raise ValueError("name the columns that tell which of repeated records is first")
     tables.reset()
 
     people = keep_first(clean_patients(patients), ["patient_fhir_id"], order)
@@ -51,10 +53,12 @@ def load_tables(
     people = tables.read("fhir_patients")
 
     # One shuffle by id, one join; both kinds of row are stored, by kind, and read from there.
-    first = keep_first(clean_observations(observations, null_code), ["obs_id"], order)
-    marked = mark_parent(first, people, "patient_fhir_id", "known")
+    needed = dict.fromkeys([*OBSERVATIONS.fieldNames(), "display_name", "src_file", *order])
+    cleaned = pick(clean_observations(observations, null_code), list(needed))
+    marked = mark_parent(keep_first(cleaned, ["obs_id"], order), people, "patient_fhir_id", "known")
     stored = materialize(marked, "observations", ["known"])
-    tables.replace("terminology_lookup", terminology(stored, order).filter("loinc_code IS NOT NULL"))
+    terms = terminology(stored, order).filter("loinc_code IS NOT NULL")
+    tables.replace("terminology_lookup", terms)
 
     known = stored.filter("known")
     reassign = on_no_match == "reassign" and known.isEmpty()

@@ -20,7 +20,9 @@ def audit(patients: DataFrame, observations: DataFrame, terms: DataFrame) -> dic
     }
 
 
-def dashboard(patients: DataFrame, observations: DataFrame, terms: DataFrame) -> dict[str, DataFrame]:
+def dashboard(
+    patients: DataFrame, observations: DataFrame, terms: DataFrame
+) -> dict[str, DataFrame]:
     """Typed timeline, indicators and two distributions; the counts are made once and stored."""
     counts = materialize(reports.activity(patients, observations, terms), "activity")
     rows = timeline(patients, observations, terms)

@@ -33,7 +33,8 @@ def reference_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def column_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wanted columns, some of which the table lacks; the reference column by what exists."""
-    lines = roles.table(spark, sf_dir, "lineitem").withColumnRenamed("l_suppkey", "patient_reference")
+    lines = roles.table(spark, sf_dir, "lineitem")
+    lines = lines.withColumnRenamed("l_suppkey", "patient_reference")
     reference = ops.reference_column(lines)
     wanted = ["l_orderkey", "l_linenumber", "l_colour", "l_quantity", "l_weight", reference]
     return ops.pick(lines, wanted)

@@ -20,7 +20,8 @@ def fk_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations whose patient and code both exist."""
     people, observations, terms = parts(spark, sf_dir)
     kept = ops.with_parent(observations, people, "patient_fhir_id")
-    return ops.with_parent(kept, terms, "loinc_code").select("obs_id", "patient_fhir_id", "loinc_code")
+    kept = ops.with_parent(kept, terms, "loinc_code")
+    return kept.select("obs_id", "patient_fhir_id", "loinc_code")
 
 
 def fk_semi_nullable(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +78,8 @@ def cascade_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.duplicate_keys(roles.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+    lines = roles.table(spark, sf_dir, "lineitem")
+    return ops.duplicate_keys(lines, ["l_orderkey", "l_linenumber"])
 
 
 def notnull_violations(spark: SparkSession, sf_dir: str) -> DataFrame:

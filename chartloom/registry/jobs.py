@@ -48,9 +48,9 @@ def _sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     people = roles.table(spark, sf_dir, "customer").filter("c_acctbal > 0")
     people = people.selectExpr("0 AS pass", "c_custkey AS place", *roles.PATIENT)
     events = roles.table(spark, sf_dir, "events")
-    staged = events.selectExpr(
-        "0 AS pass", "event_id AS place", *roles.OBSERVATION, f"{roles.DIRTY_REFERENCE} AS patient_reference"
-    ).drop("patient_fhir_id")
+    reference = f"{roles.DIRTY_REFERENCE} AS patient_reference"
+    staged = events.selectExpr("0 AS pass", "event_id AS place", *roles.OBSERVATION, reference)
+    staged = staged.drop("patient_fhir_id")
     again = staged.withColumns({"pass": F.lit(1), "result_value": F.lit(None).cast("double")})
     return people, staged.unionByName(again)
 
@@ -223,10 +223,6 @@ _RULE = (
 _LOAD = f"""{roles.BASE}, loaded AS (
   SELECT o.* FROM obs o JOIN events e ON e.event_id = o.event_id
   WHERE e.event_type <> 'signup' AND o.patient_fhir_id IN (SELECT patient_fhir_id FROM pat))"""
-# The view's query, over observations dealt out in turn and terms with the text code 'nan'.
-_REASSIGNED = roles.TIMELINE_BODY.replace("JOIN obs o", "JOIN dealt o").replace(
-    "JOIN terms t", "JOIN nan_terms t"
-)
 _RUNNING = """
 WITH page AS (SELECT 'observation' AS kind, event_id // 100 AS page, count(*) AS n FROM events GROUP BY 2
   UNION ALL SELECT 'patient', c_custkey // 100, count(*) FROM customer GROUP BY 2),
@@ -252,7 +248,7 @@ WITH {_RAW}, pat AS (SELECT {', '.join(roles.PATIENT)} FROM customer),
 obs AS (SELECT *, replace(replace(patient_reference, 'Patient/', ''), 'urn:uuid:', '')
                AS patient_fhir_id
         FROM raw WHERE coalesce(obs_id, '') <> '' AND coalesce(patient_reference, '') <> ''),
-terms AS ({roles.TERM_SQL}), tl AS ({roles.TIMELINE_BODY})
+terms AS ({roles.TERM_SQL}), tl AS ({roles.timeline_sql()})
 SELECT loinc_code, clinical_flag, count(*) AS n FROM tl GROUP BY loinc_code, clinical_flag""",
     "job_load": f"""{_LOAD}
 SELECT obs_id, 'LOADED' AS rule, patient_fhir_id, loinc_code, result_value FROM loaded
@@ -266,7 +262,7 @@ dealt AS (SELECT o.* REPLACE (p.patient_fhir_id AS patient_fhir_id)
           FROM o JOIN p ON o.j % (SELECT count(*) FROM pat) = p.i),
 nan_terms AS (SELECT * FROM terms UNION ALL
               SELECT 'nan', 'Unknown Display Name' WHERE EXISTS (SELECT 1 FROM obs WHERE loinc_code IS NULL))
-{_REASSIGNED}""",
+{roles.timeline_sql("dealt", "nan_terms")}""",
     "job_delete": f"""{_LOAD}
 SELECT 'fhir_patients' AS output, count(*) AS n FROM pat WHERE coalesce(gender, '') <> 'building'
 UNION ALL SELECT 'fhir_observations', count(*) FROM loaded WHERE patient_fhir_id NOT IN

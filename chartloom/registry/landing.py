@@ -114,11 +114,12 @@ def _bundles(entries: DataFrame, resource_type: str) -> DataFrame:
             ).alias("entry"),
         )
     )
+    none = F.lit(None).cast("string")
     ends = entries.agg(F.max(page).alias("last")).select(
         F.inline(
             F.array(
                 F.struct((F.col("last") + 1).alias("page"), F.lit('"entry":[]').alias("entry")),
-                F.struct((F.col("last") + 2).alias("page"), F.lit(None).cast("string").alias("entry")),
+                F.struct((F.col("last") + 2).alias("page"), none.alias("entry")),
             )
         )
     )
@@ -130,10 +131,8 @@ def _bundles(entries: DataFrame, resource_type: str) -> DataFrame:
         page_url(resource_type, F.col("page") + 1),
         F.lit('"}'),
     )
-    closed = F.col("entry").isNull()
-    links = F.concat(
-        F.lit("["), here, F.when(closed, F.lit("")).otherwise(F.concat(F.lit(","), after)), F.lit("]")
-    )
+    onward = F.when(F.col("entry").isNull(), F.lit("")).otherwise(F.concat(F.lit(","), after))
+    links = F.concat(F.lit("["), here, onward, F.lit("]"))
     return filled.unionByName(ends).select(
         F.lit(resource_type).alias("resource_type"),
         "page",

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chartloom.functions.flags import FLAG_RULES
+
 PATIENT = [
     "CAST(c_custkey AS STRING) AS patient_fhir_id",
     "CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE lower(c_mktsegment) END AS gender",
@@ -98,30 +100,30 @@ SELECT loinc_code, coalesce(display_name, 'Unknown Display Name') AS display_nam
          row_number() OVER (PARTITION BY loinc_code ORDER BY event_id) AS rn
   FROM obs) WHERE rn = 1 AND loinc_code IS NOT NULL"""
 
-# The first three as common table expressions.
+# Patients, observations and terms as common table expressions.
 BASE = f"WITH pat AS ({PATIENT_SQL}), obs AS ({OBSERVATION_SQL}), terms AS ({TERM_SQL})"
-TIMELINE_BODY = """
-SELECT p.patient_fhir_id, p.gender, p.birth_date, o.obs_id, o.loinc_code,
-       coalesce(t.display_name, 'Unknown Test') AS test_name,
-       o.result_value, o.unit, o.effective_datetime,
-       CASE
-         WHEN (o.loinc_code LIKE '%8480-6%' OR lower(t.display_name) LIKE '%systolic%')
-              AND o.result_value > 140 THEN 'High Blood Pressure'
-         WHEN (o.loinc_code LIKE '%8480-6%' OR lower(t.display_name) LIKE '%systolic%')
-              AND o.result_value < 90 THEN 'Low Blood Pressure'
-         WHEN (o.loinc_code LIKE '%8462-4%' OR lower(t.display_name) LIKE '%diastolic%')
-              AND o.result_value > 90 THEN 'High Blood Pressure'
-         WHEN (o.loinc_code LIKE '%39156-5%' OR lower(t.display_name) LIKE '%body mass index%')
-              AND o.result_value >= 30 THEN 'Obese'
-         WHEN (o.loinc_code LIKE '%39156-5%' OR lower(t.display_name) LIKE '%body mass index%')
-              AND o.result_value >= 25 THEN 'Overweight'
-         WHEN (o.loinc_code LIKE '%8867-4%' OR lower(t.display_name) LIKE '%heart rate%')
-              AND o.result_value > 100 THEN 'Tachycardia'
-         WHEN (o.loinc_code LIKE '%8867-4%' OR lower(t.display_name) LIKE '%heart rate%')
-              AND o.result_value < 60 THEN 'Bradycardia'
-         WHEN (o.loinc_code LIKE '%8310-5%' OR lower(t.display_name) LIKE '%body temperature%')
-              AND o.result_value > 38 THEN 'Fever'
-         ELSE 'Normal / Unflagged' END AS clinical_flag
-FROM pat p JOIN obs o ON p.patient_fhir_id = o.patient_fhir_id
-LEFT JOIN terms t ON o.loinc_code = t.loinc_code"""
-TIMELINE_SQL = f"{BASE}, tl AS ({TIMELINE_BODY})"
+
+_RULES = ", ".join(
+    f"({place}, '{code}', '{name}', '{sign}', {limit}, '{flag}')"
+    for place, (code, name, sign, limit, flag) in enumerate(FLAG_RULES)
+)
+
+
+def timeline_sql(readings: str = "obs", names: str = "terms") -> str:
+    """The timeline in SQL: the rules as a table, of which the first that applies gives the flag."""
+    return f"""
+SELECT pat.patient_fhir_id, gender, birth_date, obs_id, reading.loinc_code,
+       coalesce(display_name, 'Unknown Test') AS test_name, result_value, unit, effective_datetime,
+       coalesce((SELECT arg_min(flag, place)
+                 FROM (VALUES {_RULES}) AS rule(place, code_part, name_part, sign, cut, flag)
+                 WHERE (contains(reading.loinc_code, code_part)
+                        OR contains(lower(display_name), name_part))
+                   AND CASE sign WHEN '>' THEN result_value > cut WHEN '<' THEN result_value < cut
+                       ELSE result_value >= cut END),
+                'Normal / Unflagged') AS clinical_flag
+FROM (SELECT * EXCLUDE (display_name) FROM {readings}) AS reading
+JOIN pat USING (patient_fhir_id)
+LEFT JOIN {names} AS named ON named.loinc_code = reading.loinc_code"""
+
+
+TIMELINE_SQL = f"{BASE}, tl AS ({timeline_sql()})"

@@ -44,9 +44,11 @@ def scan_corrupt_isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spark.read.text(whole)
     cut = lines.select("resource_type", F.expr("left(value, length(value) - 1)").alias("payload"))
     land_lines(cut, broken)
-    read = read_bundles(spark, f"{whole}/resource_type=*", f"{broken}/resource_type=*", multi_line=False)
+    folders = (f"{whole}/resource_type=*", f"{broken}/resource_type=*")
+    read = read_bundles(spark, *folders, multi_line=False)
     events = gov.rejects(gov.tag(nested.resources(read)))
-    kinds = events.filter(F.col("rule") == gov.CORRUPT).groupBy("severity", "rule").agg(F.count("*").alias("n"))
+    corrupt = events.filter(F.col("rule") == gov.CORRUPT)
+    kinds = corrupt.groupBy("severity", "rule").agg(F.count("*").alias("n"))
     records = (
         nested.resources(read)
         .filter(F.col("resourceType").isNotNull())
@@ -111,9 +113,9 @@ def bundle_sample3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def route_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both types out of the mixed landing, with the rule each record fails."""
     tagged = gov.tag(nested.resources(bundles(spark, sf_dir)))
-    return tagged.groupBy(
-        F.col("resourceType").alias("resource_type"), F.coalesce("rule", F.lit("VALID")).alias("rule")
-    ).agg(F.count("*").alias("n"))
+    rule = F.coalesce("rule", F.lit("VALID")).alias("rule")
+    kinds = tagged.groupBy(F.col("resourceType").alias("resource_type"), rule)
+    return kinds.agg(F.count("*").alias("n"))
 
 
 def governance_valid(spark: SparkSession, sf_dir: str) -> DataFrame:

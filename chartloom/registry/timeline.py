@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from chartloom.operators.conform import terminology
 from chartloom.operators.timeline import newest_first, normalise

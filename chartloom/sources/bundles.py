@@ -83,9 +83,8 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     """
     name = F.format_string("%s_page_%d.json", F.lower("resource_type"), "page")
     parsed = F.from_json("payload", BUNDLE, _CORRUPT)
-    raw = pages.select(
-        name.alias("src_file"), F.lit(0).cast("bigint").alias("src_offset"), F.inline(F.array(parsed))
-    )
+    start = F.lit(0).cast("bigint").alias("src_offset")
+    raw = pages.select(name.alias("src_file"), start, F.inline(F.array(parsed)))
     return as_bundles(raw)
 
 

@@ -20,9 +20,31 @@ SETTINGS = {
 }
 
 
-def build_session(app_name: str = "chartloom", **extra: str) -> SparkSession:
+_MB = 1 << 20
+
+
+def sized(input_bytes: int) -> dict[str, str]:
+    """Task sizes for a job over ``input_bytes``.
+
+    Shuffle partitions grow with the input, to some 256 MB each, which a task can sort in memory;
+    adaptive execution merges those that turn out small. Past a few terabytes scan tasks grow as
+    well, since a shuffle has scan tasks times partitions many blocks.
+    """
+    partitions = min(max(200, input_bytes // (256 * _MB)), 50_000)
+    scan = 128 * _MB if input_bytes < 4 * _MB * _MB else 512 * _MB
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(scan),
+    }
+
+
+def build_session(
+    app_name: str = "chartloom", input_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """A session with these settings, task sizes by ``input_bytes`` if given, and ``extra``."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SETTINGS, **extra}.items():
+    sizes = sized(input_bytes) if input_bytes is not None else {}
+    for key, value in {**SETTINGS, **sizes, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

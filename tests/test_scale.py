@@ -147,6 +147,25 @@ def test_scan_reads_only_what_is_asked(spark):
     assert "LessThanOrEqual(c_acctbal,0.0)" in text
 
 
+@pytest.mark.parametrize(
+    "size,partitions,scan_mb",
+    [(10**9, 200, 128), (10**12, 3725, 128), (10**14, 50_000, 512)],
+)
+def test_task_sizes(size, partitions, scan_mb):
+    found = session.sized(size)
+    assert found["spark.sql.shuffle.partitions"] == str(partitions)
+    assert found["spark.sql.files.maxPartitionBytes"] == str(scan_mb << 20)
+
+
+def test_short_lists_are_not_sorted_whole(spark):
+    from chartloom.registry import QUERIES
+
+    for name in ("flagged_top10", "preview5"):
+        df = QUERIES[name](spark, "/root/testdata/sf0.001")
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
+
+
 def test_shared_folder(spark, conf):
     named = spark.conf.get("spark.checkpoint.dir")
     assert session.shared_dir(spark) == named.rstrip("/")

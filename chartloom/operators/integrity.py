@@ -47,12 +47,13 @@ def mark_parent(child: DataFrame, parent: DataFrame, key: str, mark: str) -> Dat
 
 
 def no_overlap(child: DataFrame, parent: DataFrame, key: str) -> bool:
-    """Whether no key of ``child`` exists in ``parent``; stops at the first that does."""
-    return with_parent(child.select(key), parent, key).isEmpty()
+    """Whether no key of ``child`` exists in ``parent``. Repeats are gone before the join."""
+    return with_parent(child.select(key).distinct(), parent, key).isEmpty()
 
 
 def common_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    return left.select(key).intersect(right.select(key))
+    """Keys on both sides. Without the first step the rows of a hot key would all be shuffled."""
+    return left.select(key).distinct().intersect(right.select(key))
 
 
 def reassign_round_robin(

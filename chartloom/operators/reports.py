@@ -42,10 +42,14 @@ def activity(patients: DataFrame, observations: DataFrame, terms: DataFrame) ->
     return with_parent(counts, patients, "patient_fhir_id")
 
 
-def kpis(activity: DataFrame) -> DataFrame:
-    """One row: distinct patients, observations, flagged observations, distinct tests."""
+def kpis(activity: DataFrame, approximate: bool = False) -> DataFrame:
+    """One row: distinct patients, observations, flagged observations, distinct tests.
+
+    ``approximate`` estimates the number of patients, without a shuffle by patient.
+    """
+    distinct = F.approx_count_distinct if approximate else F.count_distinct
     return activity.agg(
-        F.count_distinct("patient_fhir_id").alias("total_patients"),
+        distinct("patient_fhir_id").alias("total_patients"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_observations"),
         F.coalesce(F.sum(F.when(F.col("clinical_flag") != UNFLAGGED, F.col("n"))), F.lit(0)).alias(
             "flagged_observations"

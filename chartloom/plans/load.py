@@ -36,6 +36,8 @@ def load_tables(
 ) -> Loaded:
     """Clean, keep the first record per id, derive terms, load; a second run gives the same.
 
+    Old observations go first and new ones come last, so none is ever without its patient.
+
     Observations of unknown patients are not loaded but returned as quarantine rows. With
     ``on_no_match='reassign'``, and only if no reference at all matches a patient, observations
     are dealt out to the patients in turn instead. Codes need no check of their own, as the terms
@@ -46,7 +48,7 @@ def load_tables(
     order = order or [c for c in LINEAGE if c in observations.columns]
     if not order:
         raise ValueError("name the columns that tell which of repeated records is first")
-    tables.reset()
+    tables.clear("fhir_observations")
 
     people = keep_first(clean_patients(patients), ["patient_fhir_id"], order)
     tables.replace("fhir_patients", people)

@@ -1,7 +1,7 @@
 """Landed bundles made from the given tables, as input of the scan queries.
 
 ``event_id`` and ``c_custkey`` are unique, so ``PAGE_SIZE`` consecutive keys bound every page. The
-landing is written once per session and table folder, in the shared folder.
+bundles are written once per session and table folder, in the shared folder.
 """
 
 from __future__ import annotations
@@ -10,13 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.registry import roles
-from chartloom.session import work_path
+from chartloom.session import materialize, work_path
 from chartloom.sinks.files import land_lines
 from chartloom.sources.bundles import read_bundles
 
 PAGE_SIZE = 100
 
-_landed: dict[tuple[str, str], str] = {}
+_pages: dict[tuple[str, str], DataFrame] = {}
+_lines: dict[tuple[str, str], str] = {}
 
 
 def _quoted(c: str | Column) -> Column:
@@ -145,8 +146,7 @@ def _bundles(entries: DataFrame, resource_type: str) -> DataFrame:
     )
 
 
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw bundles: ``resource_type, page, payload``."""
+def _make_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = roles.table(spark, sf_dir, "events").selectExpr(
         "event_id AS key", "event_type", "value", *roles.RAW_OBSERVATION
     )
@@ -157,14 +157,22 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw bundles, stored: ``resource_type, page, payload``."""
+    key = (spark.conf.get("spark.app.id"), sf_dir)
+    if key not in _pages:
+        _pages[key] = materialize(_make_pages(spark, sf_dir), "raw-pages")
+    return _pages[key]
+
+
 def landing(spark: SparkSession, sf_dir: str) -> str:
     """Folder with one line per bundle, by resource type."""
     key = (spark.conf.get("spark.app.id"), sf_dir)
-    if key not in _landed:
+    if key not in _lines:
         path = work_path(spark, "landing")
         land_lines(pages(spark, sf_dir), path)
-        _landed[key] = path
-    return _landed[key]
+        _lines[key] = path
+    return _lines[key]
 
 
 def bundles(spark: SparkSession, sf_dir: str, resource_type: str = "*") -> DataFrame:

@@ -174,7 +174,7 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads landed as a table, staged from there; records and readings per page."""
     path = work_path(spark, "landed")
     land_pages(pages(spark, sf_dir), path)
-    staged = stage_observations(read_landed(spark, path))
+    staged = stage_observations(read_landed(spark, path, "Observation"))
     page = paging.page_from_file(F.col("src_file"))
     return staged.groupBy(page.alias("page")).agg(
         F.count("*").alias("n"), F.count("result_value").alias("n_values")

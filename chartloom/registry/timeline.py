@@ -37,26 +37,26 @@ def timeline_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # One written form per event type: zone Z, offset, no zone, date only, unreadable.
-_TEXT = """event_id,
-  CASE event_type WHEN 'click' THEN replace(CAST(ts AS STRING), ' ', 'T') || 'Z'
-    WHEN 'view' THEN replace(CAST(ts AS STRING), ' ', 'T') || '+02:00'
-    WHEN 'error' THEN CAST(ts AS STRING)
-    WHEN 'signup' THEN substr(CAST(ts AS STRING), 1, 10)
-    ELSE 'about ' || substr(CAST(ts AS STRING), 1, 10) END AS effective_datetime,
-  CASE event_type WHEN 'click' THEN substr(CAST(ts AS STRING), 1, 10)
-    WHEN 'view' THEN substr(CAST(ts AS STRING), 1, 7) WHEN 'error' THEN 'unknown'
-    ELSE substr(CAST(ts AS STRING), 1, 4) END AS birth_date,
-  CASE event_type WHEN 'click' THEN 'NaN' WHEN 'view' THEN '>' || CAST(value AS STRING)
-    ELSE CAST(value AS STRING) END AS result_value"""
+_TEXT = [
+    "event_id",
+    """CASE event_type WHEN 'click' THEN replace(CAST(ts AS STRING), ' ', 'T') || 'Z'
+         WHEN 'view' THEN replace(CAST(ts AS STRING), ' ', 'T') || '+02:00'
+         WHEN 'error' THEN CAST(ts AS STRING)
+         WHEN 'signup' THEN substr(CAST(ts AS STRING), 1, 10)
+         ELSE 'about ' || substr(CAST(ts AS STRING), 1, 10) END AS effective_datetime""",
+    """CASE event_type WHEN 'click' THEN substr(CAST(ts AS STRING), 1, 10)
+         WHEN 'view' THEN substr(CAST(ts AS STRING), 1, 7) WHEN 'error' THEN 'unknown'
+         ELSE substr(CAST(ts AS STRING), 1, 4) END AS birth_date""",
+    """CASE event_type WHEN 'click' THEN 'NaN' WHEN 'view' THEN '>' || CAST(value AS STRING)
+         ELSE CAST(value AS STRING) END AS result_value""",
+]
 
 
 def typed_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = roles.table(spark, sf_dir, "events").selectExpr(*_split(_TEXT))
-    return normalise(text)
-
-
-def _split(select_list: str) -> list[str]:
-    return [part.strip() for part in select_list.split(",\n")]
+    """Typed columns; the date is written out, as dates come back differently from each engine."""
+    text = roles.table(spark, sf_dir, "events").selectExpr(*_TEXT)
+    typed = normalise(text)
+    return typed.withColumn("birth_date", typed["birth_date"].cast("string"))
 
 
 QUERIES = {
@@ -74,9 +74,9 @@ FROM tl""",
 SELECT * FROM tl ORDER BY effective_datetime DESC NULLS LAST, obs_id""",
     "typed_normalise": """
 SELECT event_id,
-  CASE event_type WHEN 'click' THEN CAST(ts AS DATE)
+  CAST(CASE event_type WHEN 'click' THEN CAST(ts AS DATE)
     WHEN 'view' THEN CAST(date_trunc('month', ts) AS DATE) WHEN 'error' THEN NULL
-    ELSE CAST(date_trunc('year', ts) AS DATE) END AS birth_date,
+    ELSE CAST(date_trunc('year', ts) AS DATE) END AS VARCHAR) AS birth_date,
   CASE event_type WHEN 'click' THEN ts WHEN 'view' THEN ts - INTERVAL 2 HOUR
     WHEN 'error' THEN ts WHEN 'signup' THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) END
     AS effective_datetime,

@@ -44,10 +44,13 @@ class Tables:
         """Reset and reload; ``df`` must not read the table it replaces."""
         fit(df, TABLES[name]).write.mode("overwrite").parquet(self.path(name))
 
+    def clear(self, name: str) -> None:
+        self.replace(name, self.spark.createDataFrame([], TABLES[name]))
+
     def reset(self) -> None:
         """All tables empty, children before parents."""
         for name in reversed(TABLES):
-            self.replace(name, self.spark.createDataFrame([], TABLES[name]))
+            self.clear(name)
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(self.path(name))

@@ -88,10 +88,12 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     return as_bundles(raw)
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Bundles of a landed table of pages."""
-    landed = spark.read.schema("resource_type STRING, page BIGINT, payload STRING")
-    return parse_pages(landed.parquet(path))
+def read_landed(spark: SparkSession, path: str, resource_type: str | None = None) -> DataFrame:
+    """Bundles of a landed table of pages; those of one type without touching the others."""
+    landed = spark.read.schema("resource_type STRING, page BIGINT, payload STRING").parquet(path)
+    if resource_type is not None:
+        landed = landed.filter(F.col("resource_type") == resource_type.lower())
+    return parse_pages(landed)
 
 
 def empty_files(spark: SparkSession, *patterns: str) -> DataFrame:

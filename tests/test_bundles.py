@@ -186,6 +186,9 @@ def test_landed_payloads_read_like_files(spark, tmp_path):
     land_pages(pages, str(tmp_path / "landed"))
     stored = spark.read.parquet(str(tmp_path / "landed"))
     assert rows(stored.filter("resource_type = 'observation'"), "payload") == [(good,), (good[:-9],)]
+    only = read_landed(spark, str(tmp_path / "landed"), "Patient")
+    plan = only._jdf.queryExecution().executedPlan().toString()
+    assert "(resource_type" in plan[plan.index("PartitionFilters") :] and only.count() == 1
     found = stage_bundles(read_landed(spark, str(tmp_path / "landed")))
     assert rows(found.observations, "obs_id", "loinc_code", "src_file") == [
         ("o1", "c", "observation_page_1.json")

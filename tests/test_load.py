@@ -4,13 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 from records import bundle, coded, observation, patient, rows, write
 
-from chartloom.operators import conform, integrity
+from chartloom.operators import conform, integrity, reports
 from chartloom.operators.timeline import newest_first
 from chartloom.plans import reports as report_plans
 from chartloom.plans.load import delete_patients, load_tables
 from chartloom.plans.staging import stage_governed
-from chartloom.schemas import LINEAGE, TIMELINE_COLUMNS, TIMELINE_VIEW
-from chartloom.sinks.files import write_staging
+from chartloom.schemas import QUARANTINE, TIMELINE_COLUMNS, TIMELINE_VIEW
+from chartloom.sinks.files import log_rejects, write_staging
 from chartloom.sinks.tables import Tables
 from chartloom.sources.staging_csv import read_staging
 
@@ -249,10 +249,50 @@ def test_from_bundles_to_reports(spark, tmp_path):
     assert not audit["none_flagged"].collect()[0][0]
 
 
+def test_rejects_are_logged_with_their_time(spark, tmp_path):
+    path = write(tmp_path / "in", a=bundle(patient(""), observation("o1", reference="")))
+    found = stage_governed(spark, path)
+    for _ in range(2):
+        log_rejects(found.rejects, str(tmp_path / "log"))
+    logged = spark.read.parquet(str(tmp_path / "log"))
+    assert logged.columns == QUARANTINE.fieldNames()
+    assert logged.count() == 4 and logged.filter("logged_at IS NULL").isEmpty()
+    assert rows(logged.filter("resource_type = 'Observation'"), "resource_id", "file_name") == [
+        ("o1", "a.json")
+    ] * 2
+
+
+def test_load_from_csv(spark, tmp_path):
+    """Staging files of another writer: any column order, order of rows decides."""
+    (tmp_path / "p.csv").write_text("gender,patient_fhir_id\nN/A,Patient/p1\nmale,p1\nfemale,p2\n")
+    (tmp_path / "o.csv").write_text(
+        "obs_id,patient_reference,loinc_code,display_name,result_value\n"
+        'a,Patient/p1,8867-4,"Heart rate, resting",59.9\na,Patient/p2,8867-4,x,100\nb,p2,N/A,N/A,150\n'
+    )
+    tables = Tables(spark, str(tmp_path / "tables"))
+    people = read_staging(spark, str(tmp_path / "p.csv"))
+    load_tables(tables, people, read_staging(spark, str(tmp_path / "o.csv")))
+    assert rows(tables.read("fhir_patients"), "patient_fhir_id", "gender", "postal_code") == [
+        ("p1", None, None),
+        ("p2", "female", None),
+    ]
+    assert rows(tables.timeline(), "obs_id", "test_name", "clinical_flag") == [
+        ("a", "Heart rate, resting", "Bradycardia"),
+        ("b", "Unknown Test", "Normal / Unflagged"),
+    ]
+
+
+def test_order_must_be_known(spark, tmp_path):
+    people, readings = staged(spark, [("o1", "Patient/p1")])
+    with pytest.raises(ValueError):
+        load_tables(Tables(spark, str(tmp_path)), people, readings)
+
+
 def test_reports_of_nothing(spark, tmp_path):
     tables = Tables(spark, str(tmp_path / "t"))
     tables.reset()
     given = [tables.read(n) for n in ("fhir_patients", "fhir_observations", "terminology_lookup")]
     assert rows(report_plans.dashboard(*given)["kpis"]) == [(0, 0, 0, 0)]
     assert report_plans.audit(*given)["none_flagged"].collect()[0][0]
-    assert list(LINEAGE)[0] == "src_file"
+    counts = reports.activity(*given)
+    assert rows(reports.kpis(counts, approximate=True)) == [(0, 0, 0, 0)]

@@ -76,7 +76,7 @@ def corrupt_files(files: DataFrame) -> DataFrame:
 def corrupt_bundles(bundles: DataFrame) -> DataFrame:
     """Bundles whose JSON did not parse. ``entry`` is read along, as a scan of the corrupt-record
     column alone is not allowed."""
-    return bundles.filter(F.col("corrupt") & F.coalesce(F.size("entry") >= 0, F.lit(True)))
+    return bundles.filter(F.col("corrupt") & F.coalesce(F.array_size("entry") >= 0, F.lit(True)))
 
 
 def orphan_rejects(orphans: DataFrame) -> DataFrame:

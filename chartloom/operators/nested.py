@@ -10,7 +10,7 @@ _SOURCE = ["src_file", "src_offset", "src_row", "bundle_id"]
 
 def entry_counts(bundles: DataFrame) -> DataFrame:
     """Entries per bundle; a bundle without ``entry`` has none."""
-    return bundles.select(*_SOURCE, F.coalesce(F.size("entry"), F.lit(0)).alias("n_entries"))
+    return bundles.select(*_SOURCE, F.coalesce(F.array_size("entry"), F.lit(0)).alias("n_entries"))
 
 
 def _first(array: str, field: str) -> Column:

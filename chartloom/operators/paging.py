@@ -20,7 +20,7 @@ def page_table(bundles: DataFrame, resource_type: Column, page: Column) -> DataF
     return bundles.select(
         resource_type.alias("resource_type"),
         page.cast("bigint").alias("page"),
-        F.coalesce(F.size("entry"), F.lit(0)).cast("bigint").alias("n_entries"),
+        F.coalesce(F.array_size("entry"), F.lit(0)).cast("bigint").alias("n_entries"),
         next_url(F.col("link")).alias("next_url"),
     )
 

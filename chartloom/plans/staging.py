@@ -74,10 +74,12 @@ def stage_bundles(bundles: DataFrame) -> Staged:
     return split_routes(materialize(routed(bundles), "staged", ["route"]))
 
 
-def stage_governed(spark: SparkSession, *patterns: str, multi_line: bool = True) -> Staged:
+def stage_governed(
+    spark: SparkSession, *paths: str, names: str | None = None, multi_line: bool = True
+) -> Staged:
     """Staged bundle files, files of no bytes among the rejects."""
-    staged = stage_bundles(read_bundles(spark, *patterns, multi_line=multi_line))
+    staged = stage_bundles(read_bundles(spark, *paths, names=names, multi_line=multi_line))
     if multi_line:
-        events = gov.corrupt_files(empty_files(spark, *patterns))
+        events = gov.corrupt_files(empty_files(spark, *paths, names=names))
         staged.rejects = staged.rejects.unionByName(events)
     return staged

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from chartloom.schemas import BUNDLE, ENTRY
 
-
 _EMPTY = (
     f"src_file STRING, src_offset BIGINT, src_row BIGINT, bundle_id STRING, entry ARRAY<{ENTRY}>, "
     "link STRING, corrupt BOOLEAN"
@@ -18,16 +17,18 @@ _CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"
 _LOOSE = "entry ARRAY<STRING>, unreadable STRING"
 
 
-def _load(reader: DataFrameReader, patterns: list[str]) -> DataFrame | None:
-    """The files of those patterns that match any; one listing unless a pattern matches none."""
+def _load(reader: DataFrameReader, paths: list[str], names: str | None) -> DataFrame | None:
+    """The files of those paths that exist; one listing unless a path is missing."""
+    if names is not None:
+        reader = reader.option("pathGlobFilter", names)
     try:
-        return reader.load(patterns)
+        return reader.load(paths)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    if len(patterns) == 1:
+    if len(paths) == 1:
         return None
-    found = [p for p in patterns if _load(reader, [p]) is not None]
+    found = [p for p in paths if _load(reader, [p], names) is not None]
     return reader.load(found) if found else None
 
 
@@ -61,15 +62,21 @@ def as_bundles(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_bundles(spark: SparkSession, *patterns: str, multi_line: bool = True) -> DataFrame:
+def read_bundles(
+    spark: SparkSession, *paths: str, names: str | None = None, multi_line: bool = True
+) -> DataFrame:
     """Scan bundle files: ``bundle_id, entry, link, corrupt`` and the source position.
 
+    ``paths`` are folders, files or patterns; paths without files give no rows. Of many files in a
+    folder choose by ``names``, such as ``patient_page_*.json``: the folder is then listed at once,
+    where a pattern makes every file a path of its own.
+
     ``multi_line`` reads one pretty-printed bundle per file, which one task must hold; without it
     every line is a bundle and large files are split. Bad JSON gives one ``corrupt`` row and leaves
-    its neighbours alone. Patterns without files give no rows.
+    its neighbours alone.
     """
     reader = spark.read.format("json").schema(BUNDLE).options(multiLine=multi_line, **_CORRUPT)
-    raw = _load(reader, list(patterns))
+    raw = _load(reader, list(paths), names)
     if raw is None:
         return spark.createDataFrame([], _EMPTY)
     return as_bundles(with_source(raw))
@@ -96,9 +103,9 @@ def read_landed(spark: SparkSession, path: str, resource_type: str | None = None
     return parse_pages(landed)
 
 
-def empty_files(spark: SparkSession, *patterns: str) -> DataFrame:
+def empty_files(spark: SparkSession, *paths: str, names: str | None = None) -> DataFrame:
     """Names of files of no bytes, which a scan passes over. No content is read."""
-    scan = _load(spark.read.format("binaryFile"), list(patterns))
+    scan = _load(spark.read.format("binaryFile"), list(paths), names)
     if scan is None:
         return spark.createDataFrame([], "src_file string")
     listed = spark.createDataFrame([(name,) for name in scan.inputFiles()], "path string")

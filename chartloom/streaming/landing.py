@@ -11,13 +11,23 @@ from chartloom.sources.bundles import as_bundles, with_source
 
 
 def stage_new(
-    spark: SparkSession, folder: str, out: str, checkpoint: str, multi_line: bool = True
+    spark: SparkSession,
+    folder: str,
+    out: str,
+    checkpoint: str,
+    names: str = "*",
+    multi_line: bool = True,
 ) -> StreamingQuery:
     """Stage what arrived in ``folder`` since the last run, then stop.
 
     A batch that is run again after a failure overwrites its own folder, so nothing is doubled.
     """
-    scan = spark.readStream.schema(BUNDLE).option("multiLine", multi_line).json(folder)
+    scan = (
+        spark.readStream.schema(BUNDLE)
+        .option("multiLine", multi_line)
+        .option("pathGlobFilter", names)
+        .json(folder)
+    )
 
     def store(batch: DataFrame, batch_id: int) -> None:
         flat = routed(as_bundles(batch))

@@ -112,10 +112,21 @@ def test_missing_input(spark, tmp_path):
     assert staged_.patients.isEmpty() and staged_.rejects.isEmpty()
 
 
+def test_counts_without_ansi_mode(spark, tmp_path, conf):
+    conf("spark.sql.ansi.enabled", "false")
+    read = read_bundles(spark, write(tmp_path, a=bundle(patient()), b={"resourceType": "Bundle"}))
+    assert rows(nested.entry_counts(read), "n_entries") == [(0,), (1,)]
+    pages = paging.page_table(read, F.lit("patient"), F.lit(1))
+    assert rows(pages, "n_entries", "next_url") == [(0, None), (1, None)]
+
+
 def test_glob_selects_by_name(spark, tmp_path):
     write(tmp_path, patient_page_1=bundle(patient()), observation_page_1=bundle(observation()))
-    read = read_bundles(spark, str(tmp_path / "patient_page_*.json"))
-    assert rows(read, "src_file") == [("patient_page_1.json",)]
+    by_pattern = read_bundles(spark, str(tmp_path / "patient_page_*.json"))
+    by_name = read_bundles(spark, str(tmp_path), names="patient_page_*.json")
+    assert rows(by_pattern, "src_file") == rows(by_name, "src_file") == [("patient_page_1.json",)]
+    assert stage_governed(spark, str(tmp_path), names="other_*.json").rejects.isEmpty()
+    assert stage_governed(spark, str(tmp_path), names="obs*").observations.count() == 1
 
 
 def test_rules_and_messages(spark, tmp_path):

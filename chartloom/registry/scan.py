@@ -81,6 +81,14 @@ def csv_roundtrip_na(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(*STAGED_PATIENT, "c_name", "c_acctbal")
 
 
+def csv_export_na(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unchecked staging export as any reader sees it: text, with ``N/A`` for what is missing."""
+    path = work_path(spark, "export")
+    staged = stage_observations(bundles(spark, sf_dir, "Observation"))
+    write_staging(staged.select(STAGED_OBSERVATION), path)
+    return spark.read.option("header", True).csv(path)
+
+
 def bundle_entry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.entry_counts(bundles(spark, sf_dir, "Observation")).select(
         F.col("bundle_id").alias("page"), F.col("n_entries").cast("bigint").alias("n_entries")
@@ -186,6 +194,7 @@ QUERIES = {
     "scan_corrupt_isolated": scan_corrupt_isolated,
     "scan_missing_input": scan_missing_input,
     "csv_roundtrip_na": csv_roundtrip_na,
+    "csv_export_na": csv_export_na,
     "bundle_entry_counts": bundle_entry_counts,
     "nested_first_element": nested_first_element,
     "fallback_datetime": fallback_datetime,
@@ -202,6 +211,9 @@ QUERIES = {
 }
 
 _RAW = f"WITH raw AS ({roles.RAW_SQL}), people AS (SELECT {', '.join(roles.PATIENT)} FROM customer)"
+_EXPORTED = ", ".join(
+    f"nullif(coalesce(CAST({c} AS VARCHAR), 'N/A'), '') AS {c}" for c in STAGED_OBSERVATION
+)
 _RULE = (
     "CASE WHEN coalesce(obs_id, '') = '' THEN 'MISSING_ID'"
     " WHEN coalesce(patient_reference, '') = '' THEN 'MISSING_SUBJECT' END"
@@ -226,6 +238,7 @@ SELECT 'both' AS source,
        (SELECT count(*) FROM events) + (SELECT count(*) FROM customer) AS n_entries
 UNION ALL SELECT 'none', 0""",
     "csv_roundtrip_na": f"SELECT {', '.join(roles.PATIENT)}, c_name, c_acctbal FROM customer",
+    "csv_export_na": f"{_RAW} SELECT {_EXPORTED} FROM raw",
     "bundle_entry_counts": f"""{_PAGES}
 SELECT CAST(page AS VARCHAR) AS page, n_entries FROM page
 UNION ALL SELECT CAST(last + 1 AS VARCHAR), 0 FROM ends

@@ -10,10 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from chartloom.operators.reports import value_counts
+from chartloom.operators.timeline import normalise
 from chartloom.plans.load import load_tables
 from chartloom.plans.staging import stage_governed
-from chartloom.schemas import STAGED_OBSERVATION, STAGED_PATIENT
+from chartloom.schemas import STAGED_OBSERVATION, STAGED_PATIENT, TABLES
 from chartloom.sinks.tables import Tables
+from chartloom.sources.staging_csv import read_staging
 
 BUNDLES = os.environ.get("CORPUS_BUNDLES", "")
 PATIENTS_CSV = os.environ.get("CORPUS_PATIENTS", "")
@@ -31,15 +33,30 @@ def _bag(df, columns):
     return sorted(tuple(r) for r in df.select(filled).collect())
 
 
-def test_staging(spark, staged):
+def test_staging(spark, staged, tmp_path):
     assert staged.patients.count() == 60 and staged.observations.count() == 60
     assert staged.rejects.isEmpty()
-    for df, path, columns in (
-        (staged.patients, PATIENTS_CSV, STAGED_PATIENT),
-        (staged.observations, OBSERVATIONS_CSV, STAGED_OBSERVATION),
+    staged.export(*(str(tmp_path / n) for n in ("p", "o", "r")))
+    for df, name, path, columns in (
+        (staged.patients, "p", PATIENTS_CSV, STAGED_PATIENT),
+        (staged.observations, "o", OBSERVATIONS_CSV, STAGED_OBSERVATION),
     ):
-        expected = spark.read.option("header", True).option("escape", '"').csv(path)
-        assert _bag(df, columns) == _bag(expected, columns)
+        text = spark.read.option("header", True).option("escape", '"')
+        expected, written = text.csv(path), text.csv(str(tmp_path / name))
+        assert expected.columns == written.columns == columns
+        assert _bag(df, columns) == _bag(written, columns) == _bag(expected, columns)
+
+
+def test_load_from_staging_files(spark, tmp_path):
+    """The same counts, with the order of records taken from the files."""
+    tables = Tables(spark, str(tmp_path))
+    people, readings = (read_staging(spark, path) for path in (PATIENTS_CSV, OBSERVATIONS_CSV))
+    load_tables(tables, people, readings, on_no_match="reassign", null_code="nan")
+    sizes = {name: tables.read(name).count() for name in TABLES}
+    assert list(sizes.values()) == [51, 22, 50]
+    timed = normalise(tables.timeline()).filter("effective_datetime IS NOT NULL")
+    assert timed.count() == 29
+    assert tables.timeline().filter("result_value IS NOT NULL").count() == 40
 
 
 def test_strict_load(spark, staged, tmp_path):

@@ -31,9 +31,20 @@ class Staged:
     observations: DataFrame
     rejects: DataFrame
 
-    def export(self, patients_path: str, observations_path: str, rejects_path: str) -> None:
-        write_staging(self.patients.select(STAGED_PATIENT), patients_path)
-        write_staging(self.observations.select(STAGED_OBSERVATION), observations_path)
+    def export(
+        self, patients_path: str, observations_path: str, rejects_path: str, in_order: bool = False
+    ) -> None:
+        """Write the staging files and append to the rejects log.
+
+        ``in_order`` sorts the files by source position, for a load from these files, which takes
+        the first of repeated records. A load from the frames themselves does not need it.
+        """
+        for df, columns, path in (
+            (self.patients, STAGED_PATIENT, patients_path),
+            (self.observations, STAGED_OBSERVATION, observations_path),
+        ):
+            ordered = df.orderBy(*LINEAGE) if in_order else df
+            write_staging(ordered.select(columns), path)
         log_rejects(self.rejects, rejects_path)
 
 

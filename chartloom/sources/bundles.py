@@ -82,6 +82,21 @@ def read_bundles(
     return as_bundles(with_source(raw))
 
 
+def read_pages(spark: SparkSession, *paths: str, names: str | None = None) -> DataFrame:
+    """Page files as raw text, with type and page number from names such as
+    ``observation_page_12.json``; other names are left out."""
+    raw = _load(spark.read.format("text").option("wholetext", True), list(paths), names)
+    if raw is None:
+        return spark.createDataFrame([], "resource_type STRING, page BIGINT, payload STRING")
+    parts = r"^(.+)_page_(\d+)\.json$"
+    name = F.col("_metadata.file_name")
+    return raw.filter(name.rlike(parts)).select(
+        F.regexp_extract(name, parts, 1).alias("resource_type"),
+        F.regexp_extract(name, parts, 2).cast("bigint").alias("page"),
+        F.col("value").alias("payload"),
+    )
+
+
 def parse_pages(pages: DataFrame) -> DataFrame:
     """Bundles of raw ``payload`` text per ``resource_type`` and ``page``, which name the source
     file: ``observation_page_12.json``.

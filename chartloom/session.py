@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Where every partition of the small side is at most this large, hash it and do not sort the
+    # large side. Compressed size: a task holds a few times as much.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Few output partitions per task: write them side by side instead of sorting first.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.sql.session.timeZone": "UTC",

@@ -36,7 +36,8 @@ def dense_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame
 def running_total(
     df: DataFrame, group: str, order: str, value: str, name: str, block_bits: int = 16
 ) -> DataFrame:
-    """Running sum of ``value`` per ``group`` by the integer ``order``, unique in its group.
+    """Running sum of ``value`` per ``group`` by the integer ``order``, unique in its group
+    and never NULL.
 
     A group may hold most rows, so it is cut into blocks of 2^``block_bits`` consecutive ``order``
     values: sums within blocks run in parallel, and only block totals are summed in sequence.

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.schemas import BUNDLE, ENTRY
@@ -32,10 +32,16 @@ def _load(reader: DataFrameReader, paths: list[str], names: str | None) -> DataF
     return reader.load(found) if found else None
 
 
+def _plain(name: Column) -> Column:
+    """A file name without URL escapes."""
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(name.contains("%"), decoded).otherwise(name)
+
+
 def with_source(raw: DataFrame) -> DataFrame:
     """Add the file name and the offset of the split to a file scan."""
     return raw.select(
-        F.col("_metadata.file_name").alias("src_file"),
+        _plain(F.col("_metadata.file_name")).alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_offset"),
         *raw.columns,
     )
@@ -89,7 +95,7 @@ def read_pages(spark: SparkSession, *paths: str, names: str | None = None) -> Da
     if raw is None:
         return spark.createDataFrame([], "resource_type STRING, page BIGINT, payload STRING")
     parts = r"^(.+)_page_(\d+)\.json$"
-    name = F.col("_metadata.file_name")
+    name = _plain(F.col("_metadata.file_name"))
     return raw.filter(name.rlike(parts)).select(
         F.regexp_extract(name, parts, 1).alias("resource_type"),
         F.regexp_extract(name, parts, 2).cast("bigint").alias("page"),
@@ -125,7 +131,6 @@ def empty_files(spark: SparkSession, *paths: str, names: str | None = None) -> D
         return spark.createDataFrame([], "src_file string")
     listed = spark.createDataFrame([(name,) for name in scan.inputFiles()], "path string")
     file_name = F.substring_index("path", "/", -1)
-    decoded = F.url_decode(F.replace(file_name, F.lit("+"), F.lit("%2B")))
-    return listed.select(decoded.alias("src_file")).join(
+    return listed.select(_plain(file_name).alias("src_file")).join(
         scan.select(file_name.alias("src_file")), "src_file", "left_anti"
     )

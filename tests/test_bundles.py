@@ -102,6 +102,13 @@ def test_corrupt_and_empty_files_are_isolated(spark, tmp_path):
     ]
 
 
+def test_file_names_with_odd_characters(spark, tmp_path):
+    names = ["a b", "c+d", "e%20f", "g#h"]
+    write(tmp_path, **{n: "{" for n in names[:2]}, **{n: "" for n in names[2:]})
+    found = stage_governed(spark, str(tmp_path))
+    assert rows(found.rejects, "file_name") == [(f"{n}.json",) for n in names]
+
+
 def test_missing_input(spark, tmp_path):
     nothing = str(tmp_path / "nowhere" / "*.json")
     read = read_bundles(spark, nothing)

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from chartloom import session
 from chartloom.operators import conform, integrity, ordinal, reports
 from chartloom.operators.timeline import timeline
+from chartloom.plans.load import load_tables
 from chartloom.session import materialize
+from chartloom.sinks.tables import Tables
 
 ROWS = 60_000
 
@@ -73,6 +75,27 @@ def test_reference_checks_split_a_hot_patient(skewed, people, small_skew, kind):
     assert "skew=true" in final_plan(df)
 
 
+def test_load_of_skewed_records_is_whole(spark, skewed, people, small_skew, tmp_path):
+    """A third of the rows are of one patient, another third are copies of one observation."""
+    copies = F.when(F.col("n") % 3 == 1, F.lit("copy")).otherwise(F.col("obs_id"))
+    readings = skewed.withColumns(
+        {"obs_id": copies, "patient_reference": F.concat(F.lit("Patient/"), "patient_fhir_id")}
+    ).drop("patient_fhir_id")
+    tables = Tables(spark, str(tmp_path))
+    patients = people.withColumn("n", F.lit(0)).withColumn("postal_code", F.lit(None).cast("string"))
+    result = load_tables(tables, patients, readings, ["n"])
+    expected = {}
+    for i in range(ROWS):
+        patient = "p0" if i % 3 == 0 else f"p{i % 997}"
+        expected.setdefault("copy" if i % 3 == 1 else str(i), patient)
+    known = {f"p{i}" for i in range(900)}
+    loaded = tables.read("fhir_observations").select("obs_id", "patient_fhir_id").collect()
+    assert {tuple(r) for r in loaded} == {(o, p) for o, p in expected.items() if p in known}
+    orphans = result.orphans.select("resource_id").collect()
+    assert {r[0] for r in orphans} == {o for o, p in expected.items() if p not in known}
+    assert len(loaded) + len(orphans) == len(expected)
+
+
 def test_dedup_reduces_before_the_shuffle(spark, conf):
     """A third of the rows share one id; each task passes on one of them."""
     df = spark.range(30_000, numPartitions=16).select(

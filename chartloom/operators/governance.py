@@ -73,12 +73,6 @@ def corrupt_files(files: DataFrame) -> DataFrame:
     return rejects(files.select("src_file", none.alias("resourceType"), none.alias("id"), rule))
 
 
-def corrupt_bundles(bundles: DataFrame) -> DataFrame:
-    """Bundles whose JSON did not parse. ``entry`` is read along, as a scan of the corrupt-record
-    column alone is not allowed."""
-    return bundles.filter(F.col("corrupt") & F.coalesce(F.array_size("entry") >= 0, F.lit(True)))
-
-
 def orphan_rejects(orphans: DataFrame) -> DataFrame:
     """Quarantine rows of observations that refer to no known patient."""
     source = F.col("src_file") if "src_file" in orphans.columns else F.lit(None).cast("string")

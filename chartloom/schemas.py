@@ -19,7 +19,9 @@ ENTRY = (
     "effectiveDateTime: STRING, issued: STRING>>"
 )
 # One bundle. Links stay raw text until they are asked for.
-BUNDLE = f"id STRING, entry ARRAY<{ENTRY}>, link STRING, _corrupt_record STRING"
+BUNDLE = f"STRUCT<id: STRING, entry: ARRAY<{ENTRY}>, link: STRING>"
+# The same with entries as raw text, for bundles in which some entry does not fit.
+LOOSE_BUNDLE = "STRUCT<id: STRING, entry: ARRAY<STRING>, link: STRING>"
 LINKS = "ARRAY<STRUCT<relation: STRING, url: STRING>>"
 
 STAGED_PATIENT = ["patient_fhir_id", "gender", "birth_date", "postal_code"]

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.schemas import BUNDLE, ENTRY
+from chartloom.schemas import BUNDLE, ENTRY, LOOSE_BUNDLE
 
 _EMPTY = (
     f"src_file STRING, src_offset BIGINT, src_row BIGINT, bundle_id STRING, entry ARRAY<{ENTRY}>, "
     "link STRING, corrupt BOOLEAN"
 )
-_CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-# For records that do not fit the schema: entries as raw text, so that each is parsed by itself.
-_LOOSE = "entry ARRAY<STRING>, unreadable STRING"
+_PAGES = "resource_type STRING, page BIGINT, payload STRING"
+_STRICT = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": "misfit",
+    "allowSingleQuotes": "false",
+}
 
 
 def _load(reader: DataFrameReader, paths: list[str], names: str | None) -> DataFrame | None:
@@ -47,25 +52,55 @@ def with_source(raw: DataFrame) -> DataFrame:
     )
 
 
-def as_bundles(raw: DataFrame) -> DataFrame:
-    """Bundles with their source position, from a scan with the bundle schema.
+def as_bundles(texts: DataFrame) -> DataFrame:
+    """Bundles from their text: ``src_file``, ``src_offset`` and ``value``, one bundle each.
 
-    Nearly all records fit the schema and are parsed once, by the scan. The text of those that do
-    not is parsed again entry by entry: a mistyped field is then NULL by itself, and only bad JSON
-    is corrupt.
+    Nearly all bundles fit the schema and are parsed once. Those that do not are parsed again entry
+    by entry: a mistyped field is then NULL by itself, and only bad JSON is corrupt. The text is
+    parsed as the one element of an array with a mark behind it, since anything after the end of a
+    bundle, such as a second bundle, would go unnoticed otherwise.
     """
-    misfit = F.col("_corrupt_record")
-    again = F.from_json(misfit, _LOOSE, {"columnNameOfCorruptRecord": "unreadable"})
-    one_by_one = F.transform(again["entry"], lambda e: F.from_json(e, ENTRY))
-    return raw.select(
+    mark = uuid.uuid4().hex
+    wrapped = F.concat(F.lit('{"b":['), F.col("value"), F.lit(f'],"mark":"{mark}"}}'))
+    parsed = F.from_json(wrapped, f"b ARRAY<{BUNDLE}>, mark STRING, misfit STRING", _STRICT)
+    # Parsed inside a generator, below which no filter is pushed that would parse again.
+    found = texts.select(
         "src_file",
         "src_offset",
         F.monotonically_increasing_id().alias("src_row"),
-        F.col("id").alias("bundle_id"),
-        F.when(misfit.isNull(), F.col("entry")).otherwise(one_by_one).alias("entry"),
-        "link",
-        (misfit.isNotNull() & again["unreadable"].isNotNull()).alias("corrupt"),
+        F.inline(F.array(parsed)),
     )
+    fits = F.col("misfit").isNull()
+    loosely = f"b ARRAY<{LOOSE_BUNDLE}>, mark STRING, misfit STRING"
+    again = F.from_json("misfit", loosely, _STRICT)
+    tight, loose = F.get("b", F.lit(0)), F.get(again["b"], F.lit(0))
+    one_by_one = F.transform(loose["entry"], lambda e: F.from_json(e, ENTRY, _STRICT))
+
+    def whole(bundles: Column, end: Column) -> Column:
+        one = (F.array_size(bundles) == 1) & F.get(bundles, F.lit(0)).isNotNull()
+        return F.coalesce(one & (end == mark), F.lit(False))
+
+    good = F.when(fits, whole(F.col("b"), F.col("mark"))).otherwise(
+        again["misfit"].isNull() & whole(again["b"], again["mark"])
+    )
+
+    def when_good(tight_value: Column, loose_value: Column) -> Column:
+        return F.when(good, F.when(fits, tight_value).otherwise(loose_value))
+
+    return found.select(
+        "src_file",
+        "src_offset",
+        "src_row",
+        when_good(tight["id"], loose["id"]).alias("bundle_id"),
+        when_good(tight["entry"], one_by_one).alias("entry"),
+        when_good(tight["link"], loose["link"]).alias("link"),
+        (~good).alias("corrupt"),
+    )
+
+
+def text_lines(raw: DataFrame, multi_line: bool) -> DataFrame:
+    """Rows of a text scan that hold a bundle: all files, or all lines that are not blank."""
+    return raw if multi_line else raw.filter(F.btrim("value") != "")
 
 
 def read_bundles(
@@ -81,11 +116,10 @@ def read_bundles(
     every line is a bundle and large files are split. Bad JSON gives one ``corrupt`` row and leaves
     its neighbours alone.
     """
-    reader = spark.read.format("json").schema(BUNDLE).options(multiLine=multi_line, **_CORRUPT)
-    raw = _load(reader, list(paths), names)
+    raw = _load(spark.read.format("text").option("wholetext", multi_line), list(paths), names)
     if raw is None:
         return spark.createDataFrame([], _EMPTY)
-    return as_bundles(with_source(raw))
+    return as_bundles(with_source(text_lines(raw, multi_line)))
 
 
 def read_pages(spark: SparkSession, *paths: str, names: str | None = None) -> DataFrame:
@@ -93,7 +127,7 @@ def read_pages(spark: SparkSession, *paths: str, names: str | None = None) -> Da
     ``observation_page_12.json``; other names are left out."""
     raw = _load(spark.read.format("text").option("wholetext", True), list(paths), names)
     if raw is None:
-        return spark.createDataFrame([], "resource_type STRING, page BIGINT, payload STRING")
+        return spark.createDataFrame([], _PAGES)
     parts = r"^(.+)_page_(\d+)\.json$"
     name = _plain(F.col("_metadata.file_name"))
     return raw.filter(name.rlike(parts)).select(
@@ -105,20 +139,17 @@ def read_pages(spark: SparkSession, *paths: str, names: str | None = None) -> Da
 
 def parse_pages(pages: DataFrame) -> DataFrame:
     """Bundles of raw ``payload`` text per ``resource_type`` and ``page``, which name the source
-    file: ``observation_page_12.json``.
-
-    Parsed inside a generator, below which no filter is pushed that would parse again.
-    """
+    file: ``observation_page_12.json``."""
     name = F.format_string("%s_page_%d.json", F.lower("resource_type"), "page")
-    parsed = F.from_json("payload", BUNDLE, _CORRUPT)
     start = F.lit(0).cast("bigint").alias("src_offset")
-    raw = pages.select(name.alias("src_file"), start, F.inline(F.array(parsed)))
-    return as_bundles(raw)
+    return as_bundles(
+        pages.select(name.alias("src_file"), start, F.col("payload").alias("value"))
+    )
 
 
 def read_landed(spark: SparkSession, path: str, resource_type: str | None = None) -> DataFrame:
     """Bundles of a landed table of pages; those of one type without touching the others."""
-    landed = spark.read.schema("resource_type STRING, page BIGINT, payload STRING").parquet(path)
+    landed = spark.read.schema(_PAGES).parquet(path)
     if resource_type is not None:
         landed = landed.filter(F.col("resource_type") == resource_type.lower())
     return parse_pages(landed)

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from chartloom.plans.staging import Staged, routed, split_routes
-from chartloom.schemas import BUNDLE
-from chartloom.sources.bundles import as_bundles, with_source
+from chartloom.sources.bundles import as_bundles, text_lines, with_source
 
 
 def stage_new(
@@ -23,10 +22,10 @@ def stage_new(
     A batch that is run again after a failure overwrites its own folder, so nothing is doubled.
     """
     scan = (
-        spark.readStream.schema(BUNDLE)
-        .option("multiLine", multi_line)
+        spark.readStream.format("text")
+        .option("wholetext", multi_line)
         .option("pathGlobFilter", names)
-        .json(folder)
+        .load(folder)
     )
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -34,7 +33,7 @@ def stage_new(
         flat.write.mode("overwrite").partitionBy("route").parquet(f"{out}/batch={batch_id}")
 
     return (
-        with_source(scan)
+        with_source(text_lines(scan, multi_line))
         .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -74,7 +74,7 @@ def test_one_odd_field_spoils_neither_record_nor_file(spark, tmp_path):
     odd = observation("o1", code="not an object", valueQuantity=[1], issued="2024")
     path = write(tmp_path, a=bundle(odd, observation("o2"), links="none"))
     read = read_bundles(spark, path)
-    assert gov.corrupt_bundles(read).isEmpty()
+    assert read.filter("corrupt").isEmpty()
     assert rows(stage_observations(read), "obs_id", "effective_datetime") == [("o1", "2024"), ("o2", None)]
 
 
@@ -102,6 +102,32 @@ def test_corrupt_and_empty_files_are_isolated(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_bad_json_is_corrupt_as_a_whole(spark, tmp_path, multi_line):
+    """Nothing of a page with more than one bundle is read, and it does not pass unnoticed."""
+    good = json.dumps(bundle(patient("p1")))
+    bad = {
+        "twice": good + good,
+        "list": f"[{good}, {good}]",
+        "pair": f"{good}, {good}",
+        "tail": good + " more",
+        "comma": good + ",",
+        "brace": good + "}",
+        "cut": good[:-1],
+        "single": good.replace('"', "'"),
+        "text": '"text"',
+        "number": "5",
+        "null": "null",
+        "wrapped": good + ']}, {"b": [' + good,
+    }
+    fine = {"fine": good, "spaced": f"  {good}  \n\n", "nan": good.replace('"b"', "NaN")}
+    read = read_bundles(spark, write(tmp_path, **bad, **fine), multi_line=multi_line)
+    assert rows(read.filter("corrupt"), "src_file") == sorted((f"{n}.json",) for n in bad)
+    assert rows(stage_patients(read), "src_file") == sorted((f"{n}.json",) for n in fine)
+    blank = read_bundles(spark, write(tmp_path / "blank", blank=" \n \n"), multi_line=multi_line)
+    assert [r.corrupt for r in blank.collect()] == ([True] if multi_line else [])
+
+
 def test_file_names_with_odd_characters(spark, tmp_path):
     names = ["a b", "c+d", "e%20f", "g#h"]
     write(tmp_path, **{n: "{" for n in names[:2]}, **{n: "" for n in names[2:]})
@@ -218,6 +244,15 @@ def test_landed_payloads_read_like_files(spark, tmp_path):
     ]
 
 
+def test_no_filter_parses_again(spark, tmp_path):
+    path = write(tmp_path, a=bundle(observation()))
+    found = gov.valid(gov.tag(nested.resources(read_bundles(spark, path))), "Observation")
+    plan = found.select(nested.observation_fields())._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    assert sum("Generate inline(array(from_json(" in line for line in lines) == 1
+    assert not [line for line in lines if " Filter " in line and "from_json" in line]
+
+
 def test_pretty_pages_land_as_lines(spark, tmp_path):
     payload = json.dumps(bundle(observation("o1", code=coded("c", "two\nlines"))), indent=2)
     page = spark.createDataFrame([("Observation", 1, payload)], "resource_type string, page int, payload string")
@@ -244,7 +279,7 @@ def test_misfits_and_fits_read_alike(spark, tmp_path, multi_line):
     )
     assert rows(staged_.filter("obs_id = 'o9'"), "patient_reference") == [(None,)]
     assert rows(stage_patients(read), "patient_fhir_id", "postal_code") == [("p1", None)]
-    assert gov.corrupt_bundles(read).isEmpty()
+    assert read.filter("corrupt").isEmpty()
     assert rows(nested.entry_counts(read), "n_entries") == [(11,), (3,)]
 
 

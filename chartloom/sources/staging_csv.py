@@ -15,12 +15,17 @@ def read_staging(
 ) -> DataFrame:
     """Columns by header name, all text; NA tokens become NULL, ``numeric`` columns doubles.
 
-    Adds the source position for keep-first rules. ``multi_line`` allows line breaks within quoted
-    values at one task per file; turn it off for files known to have none, to split them.
+    Adds the source position for keep-first rules. A row with too many or too few values stops the
+    job, where it would else lose or shift values unseen; for that, whole rows are parsed. Not seen
+    is a quote left open in a last column, which then takes in the lines up to the next quote.
+    ``multi_line`` allows line breaks within quoted values at one task per file; turn it off for
+    files that have none, to split them.
     """
     raw = (
         spark.read.option("header", True)
         .option("escape", '"')
+        .option("mode", "FAILFAST")
+        .option("columnPruning", False)
         .option("multiLine", multi_line)
         .csv(path)
     )

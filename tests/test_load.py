@@ -1,6 +1,8 @@
 """Cleaning, loading, references, tables, CSV."""
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from records import bundle, coded, observation, patient, rows, write
 
@@ -184,6 +186,17 @@ def test_csv_keeps_text(spark, tmp_path):
     assert "N/A" in "".join(open(p).read() for p in tmp_path.glob("csv/part-*"))
 
 
+@pytest.mark.parametrize(
+    "rows_,multi_line",
+    [("1,2,3\n", True), ("1\n", True), ('"1,2\n', True), ('1,"2\n3"\n', False), ("1,2,3\n", False)],
+)
+def test_damaged_csv_stops_the_job(spark, tmp_path, rows_, multi_line):
+    file = tmp_path / "obs.csv"
+    file.write_text("obs_id,unit\n0,kg\n" + rows_)
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_staging(spark, str(file), multi_line=multi_line).select("obs_id").collect()
+
+
 def test_csv_by_name_with_na_tokens(spark, tmp_path):
     file = tmp_path / "obs.csv"
     file.write_text('result_value,obs_id,unit\n5,a,N/A\nabc,b,null\n"",c,kg\nNaN,d,""\n')

@@ -13,6 +13,7 @@ from chartloom.plans.load import load_tables
 from chartloom.plans.staging import stage_bundles, stage_governed
 from chartloom.schemas import TABLES
 from chartloom.session import build_session
+from chartloom.sinks.files import log_rejects
 from chartloom.sinks.tables import Tables
 from chartloom.sources.bundles import read_bundles, read_landed, read_pages
 from chartloom.sources.staging_csv import read_staging
@@ -50,8 +51,12 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
     )
     for name in TABLES:
         print(f"{name}:", tables.read(name).count())
+    log_rejects(result.orphans, f"{args.tables}/rejects")
     print("orphans:", result.orphans.count(), "reassigned:", result.reassigned)
-    violations(tables).show(args.rows, truncate=False)
+
+
+def check(spark: SparkSession, args: argparse.Namespace) -> None:
+    violations(Tables(spark, args.tables)).show(args.rows, truncate=False)
 
 
 def _parts(spark: SparkSession, root: str) -> list:
@@ -94,6 +99,7 @@ def parser() -> argparse.ArgumentParser:
     loading = job(load, "staged", "tables")
     loading.add_argument("--on-no-match", choices=["drop", "reassign"], default="drop")
     loading.add_argument("--null-code", help="text for missing codes")
+    job(check, "tables")
     job(audit, "tables")
     job(dashboard, "tables")
     return top

@@ -36,6 +36,10 @@ def test_all_jobs(spark, tmp_path, capsys):
     assert "fhir_patients: 2" in printed and "orphans: 1 reassigned: False" in printed
     stored = Tables(spark, tables).read("fhir_observations")
     assert rows(stored, "effective_datetime") == [(str(2000 + i),) for i in range(40)]
+    logged = spark.read.parquet(f"{tables}/rejects")
+    assert rows(logged, "rule", "resource_id") == [("ORPHAN_PATIENT", "x")]
+    main(["check", tables])
+    assert "PRIMARY KEY" not in capsys.readouterr().out
     main(["audit", tables])
     assert "Fever" in capsys.readouterr().out
     main(["dashboard", tables])

@@ -22,7 +22,8 @@ def with_parent(
     if not keep_null:
         return child.join(keys, F.col(key) == F.col("_key"), "left_semi")
     kind = child.schema[key].dataType
-    none = child.sparkSession.range(1).select(F.lit(None).cast(kind).alias("_key"))
+    one = child.sparkSession.range(0, 1, 1, numPartitions=1)
+    none = one.select(F.lit(None).cast(kind).alias("_key"))
     return child.join(keys.union(none), F.col(key).eqNullSafe(F.col("_key")), "left_semi")
 
 

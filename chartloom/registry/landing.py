@@ -65,9 +65,6 @@ def _observation() -> Column:
         F.lit('"resourceType":"Observation"'),
         _member("id", _quoted("obs_id")),
         F.when(
-            F.col("event_type") != "view",
-            _member("subject", _object(_member("reference", _quoted("patient_reference")))),
-        ).when(
             F.col("patient_reference").isNotNull(),
             _member("subject", _object(_member("reference", _quoted("patient_reference")))),
         ),

@@ -12,7 +12,7 @@ from chartloom.plans.fetched import land_chain
 from chartloom.plans.load import load_tables
 from chartloom.plans.staging import stage_bundles, stage_governed
 from chartloom.schemas import TABLES
-from chartloom.session import build_session
+from chartloom.session import build_session, work_area
 from chartloom.sinks.files import log_rejects
 from chartloom.sinks.tables import Tables
 from chartloom.sources.bundles import read_bundles, read_landed, read_pages
@@ -107,7 +107,9 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(build_session(f"chartloom-{args.job}"), args)
+    spark = build_session(f"chartloom-{args.job}")
+    with work_area(spark):
+        args.run(spark, args)
 
 
 if __name__ == "__main__":

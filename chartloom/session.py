@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,10 +70,33 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+_area: ContextVar[str] = ContextVar("area", default="kept")
+
+
+def _area_path(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/chartloom/{spark.conf.get('spark.app.id', 'app')}/{_area.get()}"
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder, never used before."""
-    app = spark.conf.get("spark.app.id", "app")
-    return f"{shared_dir(spark)}/chartloom/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_area_path(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def work_area(spark: SparkSession) -> Iterator[None]:
+    """Remove what is stored in between at the end of the block.
+
+    What the block is for must be written elsewhere by then. Without a block, stored results stay,
+    as frames may read them as long as the application runs.
+    """
+    outer = _area.set(uuid.uuid4().hex)
+    path = _area_path(spark)
+    try:
+        yield
+    finally:
+        _area.reset(outer)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -1,5 +1,6 @@
 """Plans and operators under skew: one key with a third of the rows, many partitions."""
 
+import os
 import re
 
 import pytest
@@ -196,6 +197,19 @@ def test_shared_folder(spark, conf):
     assert session.work_path(spark, "x") != session.work_path(spark, "x")
 
 
+def test_work_area_leaves_nothing_behind(spark):
+    kept = materialize(spark.range(3), "kept")
+    with pytest.raises(ZeroDivisionError):
+        with session.work_area(spark):
+            inner = session.work_path(spark, "x")
+            spark.range(5).write.parquet(inner)
+            assert os.path.isdir(inner)
+            1 / 0
+    assert not os.path.exists(os.path.dirname(inner))
+    assert kept.count() == 3 and os.path.dirname(inner) != os.path.dirname(kept.inputFiles()[0])
+    assert session.work_path(spark, "y").count("/kept/") == 1
+
+
 class _Cluster:
     """A session on a cluster without the setting."""
 

@@ -52,6 +52,14 @@ def with_source(raw: DataFrame) -> DataFrame:
     )
 
 
+def _parsed(text: Column, bundle: str, how: str) -> Column:
+    """Columns of one parse. It runs inside a generator, so that it runs once, however often its
+    columns are used, and no filter is pushed below it that would parse again."""
+    schema = f"b ARRAY<{bundle}>, mark STRING, misfit STRING"
+    found = F.inline(F.array(F.from_json(text, schema, _STRICT)))
+    return found.alias(f"{how}_b", f"{how}_mark", f"{how}_misfit")
+
+
 def as_bundles(texts: DataFrame) -> DataFrame:
     """Bundles from their text: ``src_file``, ``src_offset`` and ``value``, one bundle each.
 
@@ -62,35 +70,28 @@ def as_bundles(texts: DataFrame) -> DataFrame:
     """
     mark = uuid.uuid4().hex
     wrapped = F.concat(F.lit('{"b":['), F.col("value"), F.lit(f'],"mark":"{mark}"}}'))
-    parsed = F.from_json(wrapped, f"b ARRAY<{BUNDLE}>, mark STRING, misfit STRING", _STRICT)
-    # Parsed inside a generator, below which no filter is pushed that would parse again.
-    found = texts.select(
-        "src_file",
-        "src_offset",
-        F.monotonically_increasing_id().alias("src_row"),
-        F.inline(F.array(parsed)),
+    lineage = ["src_file", "src_offset", "src_row"]
+    found = (
+        texts.withColumn("src_row", F.monotonically_increasing_id())
+        .select(*lineage, _parsed(wrapped, BUNDLE, "tight"))
+        .select("*", _parsed(F.col("tight_misfit"), LOOSE_BUNDLE, "loose"))
     )
-    fits = F.col("misfit").isNull()
-    loosely = f"b ARRAY<{LOOSE_BUNDLE}>, mark STRING, misfit STRING"
-    again = F.from_json("misfit", loosely, _STRICT)
-    tight, loose = F.get("b", F.lit(0)), F.get(again["b"], F.lit(0))
+    fits = F.col("tight_misfit").isNull()
+    tight, loose = F.get("tight_b", F.lit(0)), F.get("loose_b", F.lit(0))
     one_by_one = F.transform(loose["entry"], lambda e: F.from_json(e, ENTRY, _STRICT))
 
-    def whole(bundles: Column, end: Column) -> Column:
-        one = (F.array_size(bundles) == 1) & F.get(bundles, F.lit(0)).isNotNull()
-        return F.coalesce(one & (end == mark), F.lit(False))
+    def whole(how: str) -> Column:
+        one = (F.array_size(f"{how}_b") == 1) & F.get(f"{how}_b", F.lit(0)).isNotNull()
+        end = F.col(f"{how}_misfit").isNull() & (F.col(f"{how}_mark") == mark)
+        return F.coalesce(one & end, F.lit(False))
 
-    good = F.when(fits, whole(F.col("b"), F.col("mark"))).otherwise(
-        again["misfit"].isNull() & whole(again["b"], again["mark"])
-    )
+    good = whole("tight") | whole("loose")
 
     def when_good(tight_value: Column, loose_value: Column) -> Column:
         return F.when(good, F.when(fits, tight_value).otherwise(loose_value))
 
     return found.select(
-        "src_file",
-        "src_offset",
-        "src_row",
+        *lineage,
         when_good(tight["id"], loose["id"]).alias("bundle_id"),
         when_good(tight["entry"], one_by_one).alias("entry"),
         when_good(tight["link"], loose["link"]).alias("link"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chartloom.llm import quality
+from chartloom.llm import probminhash, quality
 from chartloom.llm.cluster import ship
 
 
@@ -17,7 +17,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
+def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_copies(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op5_probminhash": op5_probminhash,
 }
 SQL: dict[str, str] = {}

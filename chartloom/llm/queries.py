@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chartloom.llm import probminhash, quality
+from chartloom.llm import probminhash, quality, superkmer
 from chartloom.llm.cluster import ship
 
 
@@ -21,8 +21,13 @@ def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_copies(_table(spark, sf_dir, "documents"))
 
 
+def op7_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmer.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op5_probminhash": op5_probminhash,
+    "op7_super_kmers": op7_super_kmers,
 }
 SQL: dict[str, str] = {}

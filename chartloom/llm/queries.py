@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chartloom.llm import probminhash, quality, superkmer
+from chartloom.llm import pieces, probminhash, quality, superkmer
 from chartloom.llm.cluster import ship
 
 
+#: Where the piece model lies, on the driver and on every executor.
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,6 +26,10 @@ def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_copies(_table(spark, sf_dir, "documents"))
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.report(_table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 def op7_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.report(_table(spark, sf_dir, "documents"))
 
@@ -28,6 +37,7 @@ def op7_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op5_probminhash": op5_probminhash,
+    "op6_pieces": op6_pieces,
     "op7_super_kmers": op7_super_kmers,
 }
 SQL: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chartloom.llm import pieces, probminhash, quality, superkmer
+from chartloom.llm import chat, mixing, pieces, probminhash, quality, superkmer
 from chartloom.llm.cluster import ship
 
 
@@ -22,6 +22,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
+def op4_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(_table(spark, sf_dir, "documents"))
+
+
 def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_copies(_table(spark, sf_dir, "documents"))
 
@@ -34,10 +38,17 @@ def op7_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.report(_table(spark, sf_dir, "documents"))
 
 
+def op9_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.with_probe(spark, _table(spark, sf_dir, "conversations"))
+    return chat.report(chat.expand(turns))
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op4_entropy_balancing": op4_entropy_balancing,
     "op5_probminhash": op5_probminhash,
     "op6_pieces": op6_pieces,
     "op7_super_kmers": op7_super_kmers,
+    "op9_prefix_targets": op9_prefix_targets,
 }
 SQL: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chartloom.llm import chat, mixing, pieces, probminhash, quality, superkmer
+from chartloom.llm import chat, mixing, packing, pieces, probminhash, quality, superkmer
 from chartloom.llm.cluster import ship
 
 
@@ -18,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op9_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packed_ids": op1_packed_ids,
     "op2_quality_rules": op2_quality_rules,
     "op4_entropy_balancing": op4_entropy_balancing,
     "op5_probminhash": op5_probminhash,

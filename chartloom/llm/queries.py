@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chartloom.llm import chat, mixing, packing, pieces, probminhash, quality, superkmer
+from chartloom.llm import chat, imatch, mixing, packing, pieces, probminhash, quality, superkmer
 from chartloom.llm.cluster import ship
 
 
@@ -26,6 +26,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
+def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.report(_table(spark, sf_dir, "documents"))
+
+
 def op4_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op9_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packed_ids": op1_packed_ids,
     "op2_quality_rules": op2_quality_rules,
+    "op3_imatch": op3_imatch,
     "op4_entropy_balancing": op4_entropy_balancing,
     "op5_probminhash": op5_probminhash,
     "op6_pieces": op6_pieces,

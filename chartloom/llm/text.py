@@ -38,15 +38,15 @@ def _powers(n: int) -> np.ndarray:
 
 
 class Words:
-    """The words of consecutive texts.
+    """The words of consecutive texts; ``kind`` tells which bytes words are made of.
 
     ``data``: bytes of all texts; ``edges``: where each text begins, and the end; ``starts`` and
     ``ends``: bytes of each word; ``first``: each text's first word, and the number of words.
     """
 
-    def __init__(self, data: np.ndarray, edges: np.ndarray):
+    def __init__(self, data: np.ndarray, edges: np.ndarray, kind: np.ndarray = _IN_WORD):
         self.data, self.edges = data, edges
-        inside = _IN_WORD[data]
+        inside = kind[data]
         if len(data):
             opens, closes = inside.copy(), inside.copy()
             opens[1:] &= ~inside[:-1]
@@ -126,5 +126,10 @@ def slices(
             at = to
 
 
-def words_of(batch: pa.RecordBatch, column: str = "text") -> Words:
-    return Words(*texts(batch.column(column)))
+def words_of(batch: pa.RecordBatch, column: str = "text", kind: np.ndarray = _IN_WORD) -> Words:
+    return Words(*texts(batch.column(column)), kind)
+
+
+#: Letters and digits: ASCII ones, and every character beyond ASCII.
+TERM = np.zeros(256, bool)
+TERM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chartloom.llm import chat, imatch, mixing, packing, pieces, probminhash, quality, superkmer
+from chartloom.llm import chat, imatch, mixing, packing, pieces, probminhash, quality, superkmer, toxicity
 from chartloom.llm.cluster import ship
 
 
@@ -46,6 +46,12 @@ def op7_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.report(_table(spark, sf_dir, "documents"))
 
 
+def op8_convolutional_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
 def op9_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.with_probe(spark, _table(spark, sf_dir, "conversations"))
     return chat.report(chat.expand(turns))
@@ -59,6 +65,7 @@ QUERIES = {
     "op5_probminhash": op5_probminhash,
     "op6_pieces": op6_pieces,
     "op7_super_kmers": op7_super_kmers,
+    "op8_convolutional_toxicity": op8_convolutional_toxicity,
     "op9_prefix_targets": op9_prefix_targets,
 }
 SQL: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chartloom.llm import chat, imatch, mixing, packing, pieces, probminhash, quality, superkmer, toxicity
+from chartloom.llm import chat, imatch, langid, mixing, packing, pieces, probminhash, quality, superkmer, toxicity
 from chartloom.llm.cluster import ship
 
 
@@ -57,6 +57,10 @@ def op9_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(chat.expand(turns))
 
 
+def op10_recurrent_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packed_ids": op1_packed_ids,
     "op2_quality_rules": op2_quality_rules,
@@ -67,5 +71,6 @@ QUERIES = {
     "op7_super_kmers": op7_super_kmers,
     "op8_convolutional_toxicity": op8_convolutional_toxicity,
     "op9_prefix_targets": op9_prefix_targets,
+    "op10_recurrent_language_id": op10_recurrent_language_id,
 }
 SQL: dict[str, str] = {}

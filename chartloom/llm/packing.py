@@ -127,20 +127,7 @@ def _pack(path: str, capacity: int, window_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces.load(path)
         width = np.dtype("<u2" if len(model.shown) <= 1 << 16 else "<u4")
-        flat = [np.zeros(0, width)]
-        known: dict[str, np.ndarray] = {}
-        close = np.array([CLOSE_ID], width)
-
-        def ids(stretch: str) -> np.ndarray:
-            found = known.get(stretch)
-            if found is None:
-                found = np.array(model.fresh_ids(stretch), width)
-                if len(stretch) <= pieces.REMEMBER_CHARS:
-                    if len(known) >= pieces.REMEMBER:
-                        known.clear()
-                    known[stretch] = found
-            return found
-
+        arrays = pieces.Arrays(model, width)
         docs: list = []
         held: list[np.ndarray] = []
         size, window = 0, 0
@@ -172,9 +159,8 @@ def _pack(path: str, capacity: int, window_ids: int):
             for doc, text in zip(
                 batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True
             ):
-                parts = [ids(s) for s in model.stretches(text or "")]
                 docs.append(doc)
-                held.append(np.concatenate([*(parts or flat), close]))
+                held.append(arrays.ids(text, CLOSE_ID))
                 size += len(held[-1])
                 if size >= window_ids:
                     yield from close_window()

@@ -25,6 +25,7 @@ from functools import lru_cache
 from heapq import heappop, heappush
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -269,13 +270,39 @@ def report(docs: DataFrame, path: str) -> DataFrame:
     )
 
 
+class Arrays:
+    """Ids of whole texts as arrays; those of short stretches are remembered."""
+
+    def __init__(self, model: Pieces, kind: np.dtype):
+        self.model, self.kind = model, kind
+        self.known: dict[str, np.ndarray] = {}
+
+    def _stretch(self, stretch: str) -> np.ndarray:
+        found = self.known.get(stretch)
+        if found is None:
+            found = np.array(self.model.fresh_ids(stretch), self.kind)
+            if len(stretch) <= REMEMBER_CHARS:
+                if len(self.known) >= REMEMBER:
+                    self.known.clear()
+                self.known[stretch] = found
+        return found
+
+    def ids(self, text: str | None, *more: int) -> np.ndarray:
+        """The ids of ``text``, followed by ``more``."""
+        parts = [self._stretch(s) for s in self.model.stretches(text or "")]
+        return np.concatenate([*parts, np.array(more, self.kind)])
+
+
 def _ids(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = load(path)
+        arrays = Arrays(load(path), np.dtype(np.int32))
         for batch in T.slices(batches):
-            ids = [model.encode(t or "") for t in batch.column("text").to_pylist()]
-            ids = pa.array(ids, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, "ids"])
+            ids = [arrays.ids(t) for t in batch.column("text").to_pylist()]
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, listed], names=[*batch.schema.names, "ids"]
+            )
 
     return run
 

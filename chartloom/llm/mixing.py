@@ -181,22 +181,22 @@ def mix(docs: DataFrame) -> DataFrame:
         copies(docs.select("doc_id", "text", "source"))
         .groupBy("doc_id", "digest", "source")
         .agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
-        .select(*(F.col(c).alias(f"_{c}") for c in ("doc_id", "digest", "source", "copies", "rows")))
+        .select(*(F.col(c).alias(f"_mix_{c}") for c in ("doc_id", "digest", "source", "copies", "rows")))
     )
-    total = materialize(total.where("_copies > 0"), "copies")
-    row = docs.withColumn("_own", F.xxhash64("doc_id", "text"))
+    total = materialize(total.where("_mix_copies > 0"), "copies")
+    row = docs.withColumn("_mix_own", F.xxhash64("doc_id", "text"))
     same = (
-        (F.col("_own") == F.col("_digest"))
-        & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
+        (F.col("_mix_own") == F.col("_mix_digest"))
+        & F.col("doc_id").eqNullSafe(F.col("_mix_doc_id"))
+        & F.col("source").eqNullSafe(F.col("_mix_source"))
     )
     joined = row.join(total.hint("shuffle_hash"), same)
-    share = F.col("_copies")
-    if not total.where("_rows > 1").isEmpty():
-        place = F.row_number().over(W.partitionBy("_digest", "_doc_id", "_source").orderBy("_own"))
-        joined = joined.withColumn("_place", place)
-        share = F.floor(F.col("_copies") / F.col("_rows")) + F.when(
-            F.col("_place") <= F.col("_copies") % F.col("_rows"), 1
+    share = F.col("_mix_copies")
+    if not total.where("_mix_rows > 1").isEmpty():
+        place = F.row_number().over(W.partitionBy("_mix_digest", "_mix_doc_id", "_mix_source").orderBy("_mix_own"))
+        joined = joined.withColumn("_mix_place", place)
+        share = F.floor(F.col("_mix_copies") / F.col("_mix_rows")) + F.when(
+            F.col("_mix_place") <= F.col("_mix_copies") % F.col("_mix_rows"), 1
         ).otherwise(0)
-    repeated = joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), share.cast("int"))))
+    repeated = joined.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(0), share.cast("int"))))
     return repeated.select(*(f"`{c}`" for c in docs.columns))

@@ -227,8 +227,12 @@ def keep_good(docs: DataFrame) -> DataFrame:
     limits = materialize(
         thresholds(materialize(sketches(with_counts(plain)), "quality-sketch")), "quality-limits"
     )
-    names = [f"`{c}`" for c in docs.columns]
-    return judge(with_counts(docs), limits).where("kept").select(*names)
+    rest = [c for c in docs.columns if c not in plain.columns]
+    packed = docs.select(*plain.columns, F.struct(F.lit(0), *(f"`{c}`" for c in rest)).alias("rest"))
+    kept = judge(with_counts(packed), limits).where("kept")
+    return kept.select(
+        *(c if c in plain.columns else F.col(f"rest.`{c}`").alias(c) for c in docs.columns)
+    )
 
 
 def _named(columns: dict[str, Column]) -> list[Column]:

@@ -15,20 +15,22 @@ def read_staging(
 ) -> DataFrame:
     """Columns by header name, all text; NA tokens become NULL, ``numeric`` columns doubles.
 
-    Adds the source position for keep-first rules. A row with too many or too few values stops the
-    job, where it would else lose or shift values unseen; for that, whole rows are parsed. Not seen
+    Adds the source position for keep-first rules. A file whose header differs from the others', also
+    in order, stops the job, and so does a row with too many or too few values, where they would else
+    lose or shift values unseen; for that, whole rows are parsed. Not seen
     is a quote left open in a last column, which then takes in the lines up to the next quote.
     ``multi_line`` allows line breaks within quoted values at one task per file; turn it off for
     files that have none, to split them.
     """
-    raw = (
+    reader = (
         spark.read.option("header", True)
         .option("escape", '"')
         .option("mode", "FAILFAST")
         .option("columnPruning", False)
         .option("multiLine", multi_line)
-        .csv(path)
     )
+    named = reader.csv(path).schema
+    raw = reader.schema(named).option("enforceSchema", False).csv(path)
     values = [na_to_null(F.col(f"`{c}`")) for c in raw.columns]
     return with_source(raw).select(
         *[
@@ -36,6 +38,7 @@ def read_staging(
             for c, v in zip(raw.columns, values)
         ],
         "src_file",
+        "src_path",
         "src_offset",
         F.monotonically_increasing_id().alias("src_row"),
     )

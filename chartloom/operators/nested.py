@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SOURCE = ["src_file", "src_offset", "src_row", "bundle_id"]
+from chartloom.schemas import ADDRESSES, CODINGS
+
+_SOURCE = ["src_file", "src_path", "src_offset", "src_row", "bundle_id"]
 
 
 def entry_counts(bundles: DataFrame) -> DataFrame:
@@ -13,8 +15,10 @@ def entry_counts(bundles: DataFrame) -> DataFrame:
     return bundles.select(*_SOURCE, F.coalesce(F.array_size("entry"), F.lit(0)).alias("n_entries"))
 
 
-def _first(array: str, field: str) -> Column:
-    return F.get(F.col(array), F.lit(0)).getField(field)
+def _first(raw: str, schema: str, field: str) -> Column:
+    """A field of the first element of a list in raw text; what is not a list has none."""
+    is_list = F.col(raw).startswith("[")
+    return F.when(is_list, F.get(F.from_json(raw, schema), F.lit(0)).getField(field))
 
 
 def _explode(bundles: DataFrame, entries: Column) -> DataFrame:
@@ -44,7 +48,7 @@ def patient_fields() -> list[Column]:
         F.col("id").alias("patient_fhir_id"),
         F.col("gender"),
         F.col("birthDate").alias("birth_date"),
-        _first("address", "postalCode").alias("postal_code"),
+        _first("address", ADDRESSES, "postalCode").alias("postal_code"),
     ]
 
 
@@ -52,8 +56,8 @@ def observation_fields() -> list[Column]:
     return [
         F.col("id").alias("obs_id"),
         F.col("subject.reference").alias("patient_reference"),
-        _first("code.coding", "code").alias("loinc_code"),
-        _first("code.coding", "display").alias("display_name"),
+        _first("code.coding", CODINGS, "code").alias("loinc_code"),
+        _first("code.coding", CODINGS, "display").alias("display_name"),
         F.col("valueQuantity.value").alias("result_value"),
         F.col("valueQuantity.unit").alias("unit"),
         F.coalesce("effectiveDateTime", "issued").alias("effective_datetime"),

@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Position of a record in its source: file, byte offset of the split, row in the split, index in
-# the bundle. Sorting on these columns gives back file order for any number of tasks.
-LINEAGE = ["src_file", "src_offset", "src_row", "src_pos"]
+# Position of a record in its source: file name, path, byte offset of the split, row in the split,
+# index in the bundle. Sorting on these columns gives back file order for any number of tasks.
+LINEAGE = ["src_file", "src_path", "src_offset", "src_row", "src_pos"]
 
-# One entry, narrowed to the fields that are read. Values keep their written form.
+# One entry, narrowed to the fields that are read. Values keep their written form, and fields that
+# count only as lists are raw text until then.
 ENTRY = (
     "STRUCT<resource: STRUCT<"
     "resourceType: STRING, id: STRING, gender: STRING, birthDate: STRING, "
-    "address: ARRAY<STRUCT<postalCode: STRING>>, "
+    "address: STRING, "
     "subject: STRUCT<reference: STRING>, "
-    "code: STRUCT<coding: ARRAY<STRUCT<code: STRING, display: STRING>>>, "
+    "code: STRUCT<coding: STRING>, "
     "valueQuantity: STRUCT<value: STRING, unit: STRING>, "
     "effectiveDateTime: STRING, issued: STRING>>"
 )
+ADDRESSES = "ARRAY<STRUCT<postalCode: STRING>>"
+CODINGS = "ARRAY<STRUCT<code: STRING, display: STRING>>"
 # One bundle. Links stay raw text until they are asked for.
 BUNDLE = f"STRUCT<id: STRING, entry: ARRAY<{ENTRY}>, link: STRING>"
 # The same with entries as raw text, for bundles in which some entry does not fit.

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from chartloom.schemas import BUNDLE, ENTRY, LOOSE_BUNDLE
 
 _EMPTY = (
-    f"src_file STRING, src_offset BIGINT, src_row BIGINT, bundle_id STRING, entry ARRAY<{ENTRY}>, "
+    f"src_file STRING, src_path STRING, src_offset BIGINT, src_row BIGINT, bundle_id STRING, entry ARRAY<{ENTRY}>, "
     "link STRING, corrupt BOOLEAN"
 )
+#: Type of page files whose name does not tell.
+UNNAMED = "unnamed"
 _PAGES = "resource_type STRING, page BIGINT, payload STRING"
 _STRICT = {
     "mode": "PERMISSIVE",
@@ -44,9 +46,11 @@ def _plain(name: Column) -> Column:
 
 
 def with_source(raw: DataFrame) -> DataFrame:
-    """Add the file name and the offset of the split to a file scan."""
+    """Add the file name, the whole path, which tells files of one name apart, and the offset of
+    the split to a file scan."""
     return raw.select(
         _plain(F.col("_metadata.file_name")).alias("src_file"),
+        _plain(F.col("_metadata.file_path")).alias("src_path"),
         F.col("_metadata.file_block_start").alias("src_offset"),
         *raw.columns,
     )
@@ -61,16 +65,17 @@ def _parsed(text: Column, bundle: str, how: str) -> Column:
 
 
 def as_bundles(texts: DataFrame) -> DataFrame:
-    """Bundles from their text: ``src_file``, ``src_offset`` and ``value``, one bundle each.
+    """Bundles from their text: ``src_file``, ``src_path``, ``src_offset``, ``value``, one each.
 
-    Nearly all bundles fit the schema and are parsed once. Those that do not are parsed again entry
-    by entry: a mistyped field is then NULL by itself, and only bad JSON is corrupt. The text is
+    Fields that may be lists or not are raw text in the schema, so nearly all bundles fit it and are
+    parsed once. Those that do not are parsed again entry by entry: a mistyped field is then NULL by
+    itself, and only bad JSON is corrupt. The text is
     parsed as the one element of an array with a mark behind it, since anything after the end of a
     bundle, such as a second bundle, would go unnoticed otherwise.
     """
     mark = uuid.uuid4().hex
     wrapped = F.concat(F.lit('{"b":['), F.col("value"), F.lit(f'],"mark":"{mark}"}}'))
-    lineage = ["src_file", "src_offset", "src_row"]
+    lineage = ["src_file", "src_path", "src_offset", "src_row"]
     found = (
         texts.withColumn("src_row", F.monotonically_increasing_id())
         .select(*lineage, _parsed(wrapped, BUNDLE, "tight"))
@@ -125,15 +130,16 @@ def read_bundles(
 
 def read_pages(spark: SparkSession, *paths: str, names: str | None = None) -> DataFrame:
     """Page files as raw text, with type and page number from names such as
-    ``observation_page_12.json``; other names are left out."""
+    ``observation_page_12.json``; files of other names have the type ``UNNAMED`` and no number."""
     raw = _load(spark.read.format("text").option("wholetext", True), list(paths), names)
     if raw is None:
         return spark.createDataFrame([], _PAGES)
     parts = r"^(.+)_page_(\d+)\.json$"
     name = _plain(F.col("_metadata.file_name"))
-    return raw.filter(name.rlike(parts)).select(
-        F.regexp_extract(name, parts, 1).alias("resource_type"),
-        F.regexp_extract(name, parts, 2).cast("bigint").alias("page"),
+    named = name.rlike(parts)
+    return raw.select(
+        F.when(named, F.regexp_extract(name, parts, 1)).otherwise(UNNAMED).alias("resource_type"),
+        F.when(named, F.regexp_extract(name, parts, 2).cast("bigint")).alias("page"),
         F.col("value").alias("payload"),
     )
 
@@ -141,10 +147,12 @@ def read_pages(spark: SparkSession, *paths: str, names: str | None = None) -> Da
 def parse_pages(pages: DataFrame) -> DataFrame:
     """Bundles of raw ``payload`` text per ``resource_type`` and ``page``, which name the source
     file: ``observation_page_12.json``."""
-    name = F.format_string("%s_page_%d.json", F.lower("resource_type"), "page")
+    kind = F.lower("resource_type")
+    named = F.format_string("%s_page_%d.json", kind, "page")
+    name = F.when(F.col("page").isNull(), F.concat(kind, F.lit(".json"))).otherwise(named)
     start = F.lit(0).cast("bigint").alias("src_offset")
     return as_bundles(
-        pages.select(name.alias("src_file"), start, F.col("payload").alias("value"))
+        pages.select(name.alias("src_file"), name.alias("src_path"), start, F.col("payload").alias("value"))
     )
 
 
@@ -157,12 +165,18 @@ def read_landed(spark: SparkSession, path: str, resource_type: str | None = None
 
 
 def empty_files(spark: SparkSession, *paths: str, names: str | None = None) -> DataFrame:
-    """Names of files of no bytes, which a scan passes over. No content is read."""
+    """Name and path of files of no bytes, which a scan passes over. No content is read.
+
+    The listing is the one that Spark keeps on the driver for the scan; files are told apart by
+    path, not by name."""
     scan = _load(spark.read.format("binaryFile"), list(paths), names)
     if scan is None:
-        return spark.createDataFrame([], "src_file string")
+        return spark.createDataFrame([], "src_file string, src_path string")
     listed = spark.createDataFrame([(name,) for name in scan.inputFiles()], "path string")
-    file_name = F.substring_index("path", "/", -1)
-    return listed.select(_plain(file_name).alias("src_file")).join(
-        scan.select(file_name.alias("src_file")), "src_file", "left_anti"
-    )
+
+    def whole(df: DataFrame) -> DataFrame:
+        # Paths of one file come with one or three slashes after the scheme.
+        path = _plain(F.regexp_replace("path", r"^(\w+):/+(?=[^/]*/)", "$1:/"))
+        return df.select(F.substring_index(path, "/", -1).alias("src_file"), path.alias("src_path"))
+
+    return whole(listed).join(whole(scan.select("path")), "src_path", "left_anti")

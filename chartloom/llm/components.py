@@ -30,20 +30,25 @@ def _stars(edges: DataFrame, small: bool) -> DataFrame:
     return hung.where(F.col("u") != F.col("v")).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other at most, and none that others hang on hangs itself."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("up"))
+    )
+    counts = ends.groupBy("x").agg(F.sum("up").alias("up"), F.min("up").alias("low"))
+    return counts.where((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("low") == 0))).isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label) for every node of ``edges`` (u, v); label is the component's smallest node.
+    """(node, label) for the nodes of ``edges`` (u, v) that are not the smallest of their component,
+    which is the label.
 
-    Each round is stored; the loop ends when a round changes nothing, after a number of rounds that
-    grows with the logarithm of the longest chain. Only two totals per round reach the driver.
-    Edges with a null end are ignored, repeated edges count once, no edges give no rows.
+    Each round is stored; the number of rounds grows with the logarithm of the longest chain. Only a
+    yes or no per round reaches the driver. Edges with a null end are ignored, repeated edges count
+    once, no edges give no rows.
     """
     edges = edges.select("u", "v").where(F.col("u") != F.col("v"))
-    seen = None
     while True:
         edges = materialize(_stars(_stars(edges, False), True), "stars")
-        total = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == tuple(total):
-            break
-        seen = tuple(total)
-    leaves = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    return leaves.unionByName(leaves.select(F.col("label").alias("node"), "label").distinct())
+        if _settled(edges):
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))

@@ -10,10 +10,12 @@ register with the probability Jaccard similarity
     J = sum over common d of 1 / sum over d' of max(x[d'] / x[d], y[d'] / y[d]).
 
 Equal texts (same words) become one node first. Nodes that share a band are candidates; each is
-compared, on whole texts, with one pivot of its bucket, never with all members. A pair is linked
-where the exact J, or the exact Jaccard similarity of the distinct elements, reaches 0.8. Buckets
-whose members are then still in different components meet other pivots in further rounds, each with
-an order of its own, as long as a round finds links. Classes are the components of the links.
+compared, on whole texts, with the most central text of its bucket. A pair is linked where the exact
+J, or the exact Jaccard similarity of the distinct elements, reaches 0.8; pairs whose registers agree
+far too little for that are not fetched. Only buckets whose members are then still in different
+components go on: with 64 pivots (all members, in a bucket up to that size), and larger buckets with
+64 others as long as a round finds a link. Members of one component are never compared again, so
+copies are not expanded into pairs. Classes are the components of the links.
 
 Nulls: a null text is an empty one; texts without a word are equal to each other. A null doc_id is
 carried, and never names a class that has another id. Repeated rows are equal texts. An empty table
@@ -25,10 +27,12 @@ from __future__ import annotations
 import hashlib
 from collections import OrderedDict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chartloom.llm import text as T
@@ -39,8 +43,11 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 REGISTERS = BANDS * ROWS
-#: Rounds of pivots at most; one without a new link is the last.
-ROUNDS = 6
+#: Pivots of a bucket in the rounds after the first.
+PIVOTS = 64
+#: Of the 64 registers, how many must agree in their last byte for a pair to be compared. At a
+#: similarity of 0.8 fewer do with a chance of one in a million.
+AGREEING = 36
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -99,6 +106,24 @@ def bands(owner: np.ndarray) -> np.ndarray:
     return value.view(np.int64)
 
 
+def sketch(owner: np.ndarray) -> np.ndarray:
+    """The last byte of each register, eight to a number."""
+    return (T.mix(owner) & np.uint64(0xFF)).astype(np.uint8).view(np.int64)
+
+
+def _agreeing(a: str, b: str) -> Column:
+    """How many bytes two sketches have in common, by bit operations on whole numbers."""
+
+    def differing(i: int) -> str:
+        x = f"({a}[{i}] ^ {b}[{i}])"
+        x = f"({x} | shiftrightunsigned({x}, 4))"
+        x = f"({x} | shiftrightunsigned({x}, 2))"
+        x = f"({x} | shiftrightunsigned({x}, 1))"
+        return f"bit_count({x} & 72340172838076673)"  # 0x0101010101010101
+
+    return F.expr(f"{REGISTERS} - ({' + '.join(differing(i) for i in range(REGISTERS // 8))})")
+
+
 def _digest(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
@@ -118,14 +143,17 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in T.slices(batches):
         words = T.words_of(batch)
         hashes, first = words.hashes(), words.first
-        nodes, found = [], []
+        nodes, found, sketches = [], [], []
         for i in range(batch.num_rows):
             nodes.append(_digest(hashes[first[i] : first[i + 1]]))
             elements, weights = shingles(words, hashes, i)
-            found.append(bands(signature(elements, weights)).tolist() if len(elements) else [])
+            owner = signature(elements, weights) if len(elements) else None
+            found.append([] if owner is None else bands(owner).tolist())
+            sketches.append([] if owner is None else sketch(owner).tolist())
+        lists = [pa.array(x, pa.list_(pa.int64())) for x in (found, sketches)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(found, pa.list_(pa.int64()))],
-            names=["doc_id", "node", "bands"],
+            [batch.column("doc_id"), pa.array(nodes, pa.binary()), *lists],
+            names=["doc_id", "node", "bands", "sketch"],
         )
 
 
@@ -152,7 +180,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links among (a, b, text_a, text_b). The elements of recent pivots are kept at hand."""
+    """The likeness of each (a, b, text_a, text_b); elements of recent pivots are kept at hand."""
     recent: OrderedDict[bytes, tuple] = OrderedDict()
 
     def elements(node, text):
@@ -174,104 +202,160 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(len(a)):
             pair = elements(a[i], text_a[i]), shingles(both, hashes, i)
             like.append(max(similarity(*pair), plain_similarity(*pair)))
-        yield pa.RecordBatch.from_pydict(
-            {"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "likeness": pa.array(like, pa.float64())}
+        kept = batch.select(["a", "a_label", "b", "b_label"])
+        yield pa.RecordBatch.from_arrays(
+            [*kept.columns, pa.array(like, pa.float64())], names=[*kept.schema.names, "likeness"]
         )
 
 
+def _shared(found: DataFrame) -> DataFrame:
+    """(node, sketch, band, value, n) of all bands that several nodes have in common: ``n``."""
+    banded = found.select("node", "sketch", F.posexplode("bands").alias("band", "value")).distinct()
+    common = banded.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
+    return banded.join(common, ["band", "value"])
+
+
+def _central(members: DataFrame) -> DataFrame:
+    """``members`` with how many nodes each shares its bands with, most for a text that others
+    were made from."""
+    central = members.groupBy("node").agg(F.sum("n").alias("central"))
+    return members.join(central, "node")
+
+
 def _pairs(members: DataFrame, number: int) -> DataFrame:
-    """Each member next to the pivot of its bucket, where their components differ.
+    """Members of unsettled buckets next to the pivots of their bucket, where the components differ
+    and the sketches agree enough.
 
-    ``members``: node, label, band, value. In round 0 the pivot is the smallest node, the same
-    for all bands that two texts share, so that few pairs differ between bands; later the member
-    first in an order of the round's own. A pivot is found by aggregation before the join.
+    ``members``: node, sketch, label, band, value, n, central. Round 0 has one pivot per bucket, the
+    most central text; later ones have ``PIVOTS``, in an order of the round's own. These are all of a
+    bucket's members where it has no more, so that only larger ones go on after round 1. Pivots are
+    picked before any join, and what a bucket adds is linear in its members.
     """
-    order = F.col("node") if number == 0 else F.xxhash64("node", F.lit(number))
-    pivots = members.groupBy("band", "value").agg(
-        F.min(F.struct(order.alias("o"), "node", "label")).alias("pivot"),
-        F.min("label").alias("low"),
-        F.max("label").alias("high"),
-    )
-    pivots = pivots.where(F.col("low") != F.col("high")).select(
-        "band", "value", F.col("pivot.node").alias("a"), F.col("pivot.label").alias("a_label")
+    bucket = W.partitionBy("band", "value")
+    if number > 1:
+        members = members.where(F.col("n") > PIVOTS)
+    if number == 0:
+        left = members
+        order = [F.desc("central"), "node"]
+    else:
+        open_ = members.groupBy("band", "value").agg(
+            F.min("label").alias("l"), F.max("label").alias("h")
+        )
+        open_ = open_.where(F.col("l") != F.col("h")).select("band", "value")
+        left = members.join(open_, ["band", "value"])
+        order = [F.xxhash64("node", "band", F.lit(number))]
+    place = F.row_number().over(bucket.orderBy(*order))
+    pivots = left.withColumn("place", place).where(F.col("place") <= (PIVOTS if number else 1))
+    p = pivots.select(
+        F.col("band").alias("p_band"),
+        F.col("value").alias("p_value"),
+        F.col("node").alias("p"),
+        F.col("label").alias("p_label"),
+        F.col("sketch").alias("p_sketch"),
     )
-    return (
-        members.join(pivots, ["band", "value"])
-        .where(F.col("label") != F.col("a_label"))
-        .select("a", F.col("node").alias("b"))
-        .distinct()
+    same = (F.col("band") == F.col("p_band")) & (F.col("value") == F.col("p_value"))
+    near = _agreeing("sketch", "p_sketch") >= AGREEING
+    met = left.join(p, same & (F.col("label") != F.col("p_label")) & near)
+    first = F.col("node") < F.col("p")
+    return met.select(
+        F.when(first, F.col("node")).otherwise(F.col("p")).alias("a"),
+        F.when(first, F.col("p")).otherwise(F.col("node")).alias("b"),
+        F.when(first, F.col("label")).otherwise(F.col("p_label")).alias("a_label"),
+        F.when(first, F.col("p_label")).otherwise(F.col("label")).alias("b_label"),
+    ).distinct()
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text) for (node, owner): one text per node, that of the row with the owner's id."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    with_node = docs.select("doc_id", "text").mapInArrow(
+        _nodes, f"doc_id {kind}, text string, node binary"
     )
+    w = wanted.select(F.col("node").alias("w"), "owner")
+    same = (F.col("node") == F.col("w")) & F.col("doc_id").eqNullSafe(F.col("owner"))
+    return with_node.join(w.hint("shuffle_hash"), same).select("node", "text")
 
 
-def _links(docs: DataFrame, owners: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs whose exact similarity reaches ``SIMILARITY``. One text per node is fetched."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = materialize(owners.join(nodes, "node").select("node", "owner"), "wanted")
-    own = F.col("doc_id").eqNullSafe(F.col("owner"))
-    with_node = docs.select("doc_id", "text").mapInArrow(
-        _nodes, f"doc_id {_type(docs)}, text string, node binary"
-    )
-    fetched = materialize(
-        with_node.join(wanted.withColumnRenamed("node", "n"), (F.col("node") == F.col("n")) & own)
-        .select("node", "text"),
-        "texts",
+def _links(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs whose exact similarity reaches ``SIMILARITY``."""
+    a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    found = pairs.join(a, "a").join(b, "b").select(
+        "a", "a_label", "b", "b_label", "text_a", "text_b"
     )
-    a = fetched.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    b = fetched.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    found = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
-    return found.mapInArrow(_verify, "a binary, b binary, likeness double").where(
-        F.col("likeness") >= SIMILARITY
+    return (
+        found.mapInArrow(
+            _verify, "a binary, a_label binary, b binary, b_label binary, likeness double"
+        )
+        .where(F.col("likeness") >= SIMILARITY)
+        .distinct()
     )
 
 
-def _type(docs: DataFrame) -> str:
-    return docs.schema["doc_id"].dataType.simpleString()
-
-
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (smallest id of the class), class_size, n_links (verified links of the
-    text's node) and node (digest of the words) for every row of ``docs``."""
+    text's node), node (digest of the words) and first (the node whose text has the smallest id)
+    for every row of ``docs``."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
     found = materialize(
         docs.select("doc_id", "text").mapInArrow(
-            _signatures, f"doc_id {_type(docs)}, node binary, bands array<bigint>"
+            _signatures, f"doc_id {kind}, node binary, bands array<bigint>, sketch array<bigint>"
         ),
         "signatures",
     )
-    owners = found.groupBy("node").agg(F.min("doc_id").alias("owner"), F.count("*").alias("copies"))
-    owners = materialize(owners, "owners")
-    banded = found.select("node", F.posexplode("bands").alias("band", "value")).distinct()
-    banded = materialize(banded, "bands")
-    links, labels = None, None
-    for number in range(ROUNDS):
-        if labels is None:
-            members = banded.withColumn("label", F.col("node"))
-        else:
-            members = banded.join(labels, "node", "left").withColumn(
-                "label", F.coalesce("label", "node")
-            )
-        pairs = materialize(_pairs(members, number), "pairs")
+    owners = materialize(
+        found.groupBy("node").agg(F.min("doc_id").alias("owner"), F.count("*").alias("copies")),
+        "owners",
+    )
+    members = materialize(_shared(found), "members")
+    members = materialize(_central(members).withColumn("label", F.col("node")), "members")
+    wanted = materialize(owners.join(members.select("node").distinct(), "node"), "wanted")
+    texts = materialize(_texts(docs, wanted), "texts")
+    degrees, compared, number = [], None, 0
+    while True:
+        pairs = _pairs(members, number)
+        if compared is not None:
+            pairs = pairs.join(compared, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "pairs")
         if pairs.isEmpty():
+            if number:
+                break
+            number += 1
+            continue
+        links = materialize(_links(texts, pairs), "links")
+        if not links.isEmpty():
+            degrees.append(links.select(F.explode(F.array("a", "b")).alias("node")))
+            merged = components(links.select(F.col("a_label").alias("u"), F.col("b_label").alias("v")))
+            merged = merged.select(F.col("node").alias("label"), F.col("label").alias("to"))
+            members = materialize(
+                members.join(merged, "label", "left")
+                .withColumn("label", F.coalesce("to", "label"))
+                .drop("to"),
+                "members",
+            )
+        elif number > 1:
             break
-        new = materialize(_links(docs, owners, pairs), "links")
-        links = new if links is None else links.unionByName(new)
-        if number and new.isEmpty():
-            break
-        labels = materialize(
-            components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels"
-        )
-    if links is None:
-        labels = owners.select("node", F.col("node").alias("label")).limit(0)
-        links = owners.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    ends = links.select(F.explode(F.array("a", "b")).alias("node"))
-    degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
+        done = pairs.select("a", "b")
+        compared = done if compared is None else compared.unionByName(done)
+        number += 1
+    labels = members.select("node", "label").distinct()
     named = owners.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rank = F.struct(F.col("owner").isNull().alias("none"), "owner", "node")
     sizes = named.groupBy("label").agg(
-        F.min("owner").alias("class_id"), F.sum("copies").alias("class_size")
+        F.min(rank).alias("first"), F.sum("copies").alias("class_size")
     )
+    ends = reduce(DataFrame.unionByName, degrees) if degrees else owners.select("node").limit(0)
+    degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
     per_node = materialize(
         named.join(sizes, "label")
         .join(degree, "node", "left")
-        .select("node", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links")),
+        .select(
+            "node",
+            F.col("first.owner").alias("class_id"),
+            F.col("first.node").alias("first"),
+            "class_size",
+            F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        ),
         "classes",
     )
     return found.select("doc_id", "node").join(per_node, "node")
@@ -280,3 +364,30 @@ def classes(docs: DataFrame) -> DataFrame:
 def near_copies(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, class_size, n_links of every row."""
     return classes(docs).select("doc_id", "class_id", "class_size", "n_links")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each class: the one with the smallest id, of several such rows with
+    the same words the first by text. A class without any id keeps one row as well."""
+    rows = materialize(
+        classes(docs).select(
+            "doc_id",
+            "node",
+            ((F.col("node") == F.col("first")) & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept"),
+        ),
+        "kept",
+    )
+    gone = rows.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("node").alias("_gone"))
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    packed = docs.select("doc_id", "text", F.struct(F.lit(0), *(f"`{c}`" for c in rest)).alias("rest"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in packed.schema)
+    with_node = packed.mapInArrow(_nodes, f"{kinds}, node binary")
+    same = (F.col("node") == F.col("_gone")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    left = with_node.join(gone.distinct(), same, "left_anti")
+    repeated = rows.where("kept").groupBy("node").count().where("count > 1")
+    if not repeated.isEmpty():
+        place = F.row_number().over(W.partitionBy("node").orderBy("text"))
+        left = left.withColumn("_place", place).where("_place = 1")
+    return left.select(
+        *(c if c in ("doc_id", "text") else F.col(f"rest.`{c}`").alias(c) for c in docs.columns)
+    )

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chartloom.llm import quality
+from chartloom.llm import mixing, pieces, probminhash, quality, superkmer
 from chartloom.llm.cluster import ship
+from chartloom.llm.queries import PIECE_MODEL
 from chartloom.session import materialize
 
 
@@ -15,11 +17,40 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies the row with the smallest id."""
+    ship(spark)
+    return probminhash.keep_one(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that a document with a smaller id has as well."""
+    ship(spark)
+    return superkmer.remove_repeats(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as the mix takes them, none to two times."""
+    ship(spark)
+    return mixing.mix(docs)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens and ids of each row."""
+    ship(spark)
+    encoded = pieces.encode(docs.select("doc_id", "lang", "source", "text"), PIECE_MODEL)
+    return encoded.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids")
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("mix_sources", mix_sources),
+    ("encode_pieces", encode_pieces),
 ]
 
-#: Sketch-based thresholds, hashing and greedy rounding have no counterpart in SQL.
+#: Sketches, signatures, greedy rounding and merge encoding have no counterpart in SQL.
 ORACLE_SQL = None
 
 

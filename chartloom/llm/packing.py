@@ -1,6 +1,6 @@
 """Packed token rows: best-fit-decreasing with capacity search in a segment tree.
 
-Texts become ids (a closing id after each), documents longer than a row are split into full rows and
+Texts become ids of a byte-level vocabulary (a closing id after each), documents longer than a row are split into full rows and
 a rest, and the pieces are packed into rows of ``LENGTH`` ids: longest piece first, each into the open
 row with the least room that still takes it. Rows are counted by room in a segment tree, so that the
 search takes log2(LENGTH) steps however many rows are open.
@@ -18,21 +18,24 @@ rows are packed each. An empty table gives no block. Other columns are not read.
 
 from __future__ import annotations
 
+import base64
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm import pieces
 from chartloom.llm import text as T
 
 LENGTH = 2048
 WINDOW_IDS = 4 << 20
 #: Rows of a matrix in one record.
 BLOCK_ROWS = 64
-CLOSE_ID = 2
+#: The id after each text, free in the vocabulary.
+CLOSE_ID = 50_256
 
 
 class Rooms:
@@ -123,11 +126,24 @@ def _blocks(docs: list, ids: list[np.ndarray], width: np.dtype, capacity: int) -
         }
 
 
-def _pack(path: str, capacity: int, window_ids: int):
+_loaded: dict[tuple[str, str], tiktoken.Encoding] = {}
+
+
+def load(path: str, pattern: str) -> tiktoken.Encoding:
+    """The byte-level encoding at ``path``, once per process; the file must be on every executor."""
+    if (path, pattern) not in _loaded:
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        _loaded[path, pattern] = tiktoken.Encoding(
+            os.path.basename(path), pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
+        )
+    return _loaded[path, pattern]
+
+
+def _pack(path: str, pattern: str, capacity: int, window_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = pieces.load(path)
-        width = np.dtype("<u2" if len(model.shown) <= 1 << 16 else "<u4")
-        arrays = pieces.Arrays(model, width)
+        model = load(path, pattern)
+        width = np.dtype("<u2" if max(model.max_token_value, CLOSE_ID) < 1 << 16 else "<u4")
         docs: list = []
         held: list[np.ndarray] = []
         size, window = 0, 0
@@ -160,7 +176,7 @@ def _pack(path: str, capacity: int, window_ids: int):
                 batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True
             ):
                 docs.append(doc)
-                held.append(arrays.ids(text, CLOSE_ID))
+                held.append(np.array([*model.encode_ordinary(text or ""), CLOSE_ID], width))
                 size += len(held[-1])
                 if size >= window_ids:
                     yield from close_window()
@@ -170,12 +186,14 @@ def _pack(path: str, capacity: int, window_ids: int):
     return run
 
 
-def pack(docs: DataFrame, path: str, capacity: int = LENGTH, window_ids: int = WINDOW_IDS) -> DataFrame:
+def pack(
+    docs: DataFrame, path: str, pattern: str, capacity: int = LENGTH, window_ids: int = WINDOW_IDS
+) -> DataFrame:
     """One row per block of packed rows: partition and window it belongs to, first_row and n_rows in
     the window, ids and positions (matrices of n_rows x capacity), cu_seqlens and segments."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     packed = docs.select("doc_id", "text").mapInArrow(
-        _pack(path, capacity, window_ids),
+        _pack(path, pattern, capacity, window_ids),
         "window int, first_row int, n_rows int, ids binary, positions binary, "
         f"cu_seqlens array<array<int>>, segments array<struct<doc_id:{kind},offset:bigint,n:int,row:int>>",
     )

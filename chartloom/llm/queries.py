@@ -9,7 +9,8 @@ from chartloom.llm import chat, imatch, langid, mixing, packing, pieces, probmin
 from chartloom.llm.cluster import ship
 
 
-#: Where the piece model lies, on the driver and on every executor.
+#: Where the vocabularies lie, on the driver and on every executor.
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -19,7 +20,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), PIECE_MODEL)
+    return packing.pack(_table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

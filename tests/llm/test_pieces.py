@@ -3,11 +3,12 @@ import random
 
 import numpy as np
 import prose
+import public_tokenizers
 import pytest
 import sentencepiece
 
 from chartloom.llm import packing, pieces
-from chartloom.llm.queries import PIECE_MODEL
+from chartloom.llm.queries import BYTE_RANKS, PIECE_MODEL
 
 
 @pytest.fixture(scope="module")
@@ -88,10 +89,11 @@ def test_best_fit_decreasing():
 
 
 @pytest.mark.parametrize("window", [1 << 30, 300])
-def test_packing_round_trip(table, hostile, library, window):
+def test_packing_round_trip(table, hostile, window):
+    model = packing.load(BYTE_RANKS, public_tokenizers.PATTERN)
     docs = table([prose.text(n, n) for n in (0, 1, 5, 40, 100, 400, 7, 64, 63)] * 3).union(hostile.select("doc_id", "text", "lang", "source", "n_chars"))
     found, rows = {}, 0
-    for b in packing.pack(docs, PIECE_MODEL, 64, window).collect():
+    for b in packing.pack(docs, BYTE_RANKS, public_tokenizers.PATTERN, 64, window).collect():
         ids = np.frombuffer(b.ids, "<u2").reshape(b.n_rows, 64)
         places = np.frombuffer(b.positions, "<u2").reshape(b.n_rows, 64)
         at = {}
@@ -106,7 +108,7 @@ def test_packing_round_trip(table, hostile, library, window):
         rows += b.n_rows
     want = {}
     for r in docs.collect():
-        want.setdefault(r.doc_id, []).extend(library.encode(r.text or "") + [packing.CLOSE_ID])
+        want.setdefault(r.doc_id, []).extend(model.encode_ordinary(r.text or "") + [packing.CLOSE_ID])
     for doc, parts in found.items():
         assert sorted(i for _, p in parts for i in p) == sorted(want[doc])
     single = [d for d in want if sum(o == 0 for o, _ in found[d]) == 1]
@@ -116,4 +118,4 @@ def test_packing_round_trip(table, hostile, library, window):
 
 
 def test_packing_nothing(nothing):
-    assert packing.pack(nothing, PIECE_MODEL).count() == 0
+    assert packing.pack(nothing, BYTE_RANKS, public_tokenizers.PATTERN).count() == 0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from chartloom.plans import inspection, reports
 from chartloom.plans.constraints import violations
@@ -12,7 +12,7 @@ from chartloom.plans.fetched import land_chain
 from chartloom.plans.load import load_tables
 from chartloom.plans.staging import stage_bundles, stage_governed
 from chartloom.schemas import TABLES
-from chartloom.session import build_session, work_area
+from chartloom.session import build_session, input_bytes, sized, work_area
 from chartloom.sinks.files import log_rejects
 from chartloom.sinks.tables import Tables
 from chartloom.sources.bundles import read_bundles, read_landed, read_pages
@@ -26,8 +26,8 @@ def inspect(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def land(spark: SparkSession, args: argparse.Namespace) -> None:
-    land_chain(read_pages(spark, args.raw, names=args.names), args.out, args.total)
-    spark.read.parquet(args.out).groupBy("resource_type").count().show()
+    pages = read_pages(spark, args.raw, names=args.names)
+    land_chain(pages, args.out, args.total, args.types).show(args.rows, truncate=False)
 
 
 def stage(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -36,7 +36,9 @@ def stage(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         staged = stage_governed(spark, args.raw, names=args.names, multi_line=not args.lines)
     places = [f"{args.out}/{name}" for name in ("patients", "observations", "rejects")]
-    staged.export(*places, in_order=True)
+    if not staged.export(*places, in_order=True):
+        print("no input found, nothing written:", args.raw)
+        return
     print("valid patients:", staged.patients.count())
     print("valid observations:", staged.observations.count())
     print("rejects:", staged.rejects.count())
@@ -55,8 +57,20 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
     print("orphans:", result.orphans.count(), "reassigned:", result.reassigned)
 
 
+def _give(args: argparse.Namespace, name: str, df: DataFrame) -> None:
+    """Show the first rows, and write all of them if there is a folder for that."""
+    print(name)
+    if args.out:
+        path = f"{args.out}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        df = df.sparkSession.read.schema(df.schema).parquet(path)
+    df.show(args.rows, truncate=False)
+    if not args.out and (total := df.count()) > args.rows:
+        print(f"shown {args.rows} of {total} rows; --out FOLDER writes all")
+
+
 def check(spark: SparkSession, args: argparse.Namespace) -> None:
-    violations(Tables(spark, args.tables)).show(args.rows, truncate=False)
+    _give(args, "violations", violations(Tables(spark, args.tables)))
 
 
 def _parts(spark: SparkSession, root: str) -> list:
@@ -66,14 +80,12 @@ def _parts(spark: SparkSession, root: str) -> list:
 
 def audit(spark: SparkSession, args: argparse.Namespace) -> None:
     for name, df in reports.audit(*_parts(spark, args.tables)).items():
-        print(name)
-        df.show(args.rows, truncate=False)
+        _give(args, name, df)
 
 
 def dashboard(spark: SparkSession, args: argparse.Namespace) -> None:
     for name, df in reports.dashboard(*_parts(spark, args.tables)).items():
-        print(name)
-        df.show(args.rows, truncate=False)
+        _give(args, name, df)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -93,21 +105,24 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--names", help="pattern for file names in the folder")
         sub.add_argument("--lines", action="store_true", help="every line is a bundle")
         if run is land:
-            sub.add_argument("--total", type=int, default=50, help="records per type")
+            sub.add_argument("--total", type=int, help="records per type; all by default")
+            sub.add_argument("--types", nargs="+", help="resource types; all by default")
         if run is stage:
             sub.add_argument("--landed", action="store_true", help="raw is a landed table")
     loading = job(load, "staged", "tables")
     loading.add_argument("--on-no-match", choices=["drop", "reassign"], default="drop")
     loading.add_argument("--null-code", help="text for missing codes")
-    job(check, "tables")
-    job(audit, "tables")
-    job(dashboard, "tables")
+    for run in (check, audit, dashboard):
+        job(run, "tables").add_argument("--out", help="folder that gets all rows")
     return top
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"chartloom-{args.job}")
+    places = [getattr(args, place, None) for place in ("raw", "staged", "tables")]
+    for key, value in sized(input_bytes(spark, *filter(None, places))).items():
+        spark.conf.set(key, value)
     with work_area(spark):
         args.run(spark, args)
 

@@ -26,6 +26,16 @@ UNFLAGGED = "Normal / Unflagged"
 _TESTS = {">": operator.gt, ">=": operator.ge, "<": operator.lt}
 
 
+def clinical_flag_sql(code: str, display: str, value: str, rules=FLAG_RULES) -> str:
+    """The same as SQL text, for views that outlive a session."""
+    branches = " ".join(
+        f"WHEN (contains({code}, '{part}') OR contains(lower({display}), '{name}'))"
+        f" AND {value} {sign} {limit} THEN '{flag}'"
+        for part, name, sign, limit, flag in rules
+    )
+    return f"CASE {branches} ELSE '{UNFLAGGED}' END"
+
+
 def clinical_flag(code: Column, display: Column, value: Column, rules=FLAG_RULES) -> Column:
     """Flag of one reading. ``value`` must already be a number without NaN.
 

@@ -39,24 +39,25 @@ def running_records(pages: DataFrame) -> DataFrame:
     return running_total(pages, "resource_type", "page", "n_entries", "collected")
 
 
-def within_budget(pages: DataFrame, total: int) -> DataFrame:
-    """Pages fetched until ``total`` records are there; the page that crosses is kept whole."""
+def within_budget(pages: DataFrame, total: int | None) -> DataFrame:
+    """Pages fetched until ``total`` records are there; the page that crosses is kept whole. Without
+    a ``total`` all pages."""
     counted = running_records(pages)
+    if total is None:
+        return counted
     return counted.filter(F.col("collected") - F.col("n_entries") < total)
 
 
-def until_stop(pages: DataFrame, types: list[str]) -> DataFrame:
-    """Pages of the given types before the first empty page and up to the first without a next link.
-
-    The stop pages are one row per requested type, which bounds what is broadcast.
-    """
-    asked = pages.filter(F.col("resource_type").isin(types))
+def until_stop(pages: DataFrame, types: list[str] | None = None) -> DataFrame:
+    """Pages before the first empty page and up to the first without a next link, of all types or
+    of the given ones. The stop pages are one row per type."""
+    asked = pages if types is None else pages.filter(F.col("resource_type").isin(types))
     stops = asked.groupBy(F.col("resource_type").alias("_type")).agg(
         F.min(F.when(F.col("n_entries") == 0, F.col("page"))).alias("_empty"),
         F.min(F.when(F.col("next_url").isNull(), F.col("page"))).alias("_last"),
     )
     return (
-        asked.join(F.broadcast(stops), F.col("resource_type") == F.col("_type"))
+        asked.join(stops, F.col("resource_type") == F.col("_type"))
         .filter(
             F.coalesce(F.col("page") < F.col("_empty"), F.lit(True))
             & F.coalesce(F.col("page") <= F.col("_last"), F.lit(True))

@@ -58,6 +58,12 @@ def kpis(activity: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
+def n_flagged(activity: DataFrame) -> DataFrame:
+    """One row: the number of flagged observations."""
+    total = F.coalesce(F.sum("n"), F.lit(0)).alias("n_flagged")
+    return flagged(activity).agg(total)
+
+
 def audit_list(timeline: DataFrame, n: int = 10) -> DataFrame:
     """The newest flagged observations."""
     return newest_first(flagged(timeline)).limit(n).select(AUDIT_COLUMNS)
@@ -68,5 +74,5 @@ def preview(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
 
 
 def is_empty(df: DataFrame) -> DataFrame:
-    """One row telling whether ``df`` has none; reads no more than one row."""
+    """One row telling whether ``df`` has none; each task stops at its first row."""
     return df.limit(1).agg((F.count("*") == 0).alias("is_empty"))

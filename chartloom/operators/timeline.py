@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.functions.flags import clinical_flag
+from chartloom.functions.flags import clinical_flag, clinical_flag_sql
 from chartloom.functions.typed import to_date, to_number, to_utc
 from chartloom.schemas import TIMELINE_COLUMNS
 
@@ -38,6 +38,24 @@ def timeline(patients: DataFrame, observations: DataFrame, terms: DataFrame) ->
     return named.join(people, "patient_fhir_id").select(TIMELINE_COLUMNS)
 
 
+def timeline_sql(patients: str, observations: str, terms: str) -> str:
+    """The timeline over three tables as SQL text, for a view in a catalog."""
+    value = "CASE WHEN NOT isnan(o.result_value) THEN o.result_value END"
+    special = {
+        "test_name": f"coalesce(t.display_name, '{UNKNOWN_TEST}')",
+        "clinical_flag": clinical_flag_sql("o.loinc_code", "t.display_name", f"({value})"),
+        "result_value": value,
+        "gender": "p.gender",
+        "birth_date": "p.birth_date",
+    }
+    columns = ", ".join(f"{special.get(c, f'o.{c}')} AS {c}" for c in TIMELINE_COLUMNS)
+    return (
+        f"SELECT {columns} FROM {observations} o "
+        f"JOIN {patients} p ON p.patient_fhir_id = o.patient_fhir_id "
+        f"LEFT JOIN {terms} t ON t.loinc_code = o.loinc_code"
+    )
+
+
 def newest_first(df: DataFrame) -> DataFrame:
     """By the time text, missing last; ids break ties."""
     return df.orderBy(F.desc_nulls_last("effective_datetime"), "obs_id")

@@ -10,13 +10,16 @@ from chartloom.session import materialize
 
 
 def audit(patients: DataFrame, observations: DataFrame, terms: DataFrame) -> dict[str, DataFrame]:
-    """Flag breakdown, newest flagged observations, and whether there are none."""
-    rows = timeline(patients, observations, terms)
-    counts = reports.activity(patients, observations, terms)
+    """Flag breakdown, newest flagged observations, their number and whether there are none.
+
+    All but the short list come from the counts, which are made once and stored.
+    """
+    counts = materialize(reports.activity(patients, observations, terms), "activity")
     return {
         "flag_breakdown": reports.value_counts(counts, "clinical_flag", "n"),
-        "flagged": reports.audit_list(rows),
-        "none_flagged": reports.is_empty(reports.flagged(rows)),
+        "flagged": reports.audit_list(timeline(patients, observations, terms)),
+        "n_flagged": reports.n_flagged(counts),
+        "none_flagged": reports.is_empty(reports.flagged(counts)),
     }
 
 

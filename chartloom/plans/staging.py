@@ -12,7 +12,7 @@ from chartloom.operators.nested import observation_fields, of_type, patient_fiel
 from chartloom.schemas import LINEAGE, STAGED_OBSERVATION, STAGED_PATIENT
 from chartloom.session import materialize
 from chartloom.sinks.files import log_rejects, write_staging
-from chartloom.sources.bundles import empty_files, read_bundles
+from chartloom.sources.bundles import empty_files, is_missing, read_bundles
 
 
 def stage_patients(bundles: DataFrame) -> DataFrame:
@@ -30,15 +30,19 @@ class Staged:
     patients: DataFrame
     observations: DataFrame
     rejects: DataFrame
+    found: bool = True  # whether there was any input
 
     def export(
         self, patients_path: str, observations_path: str, rejects_path: str, in_order: bool = False
-    ) -> None:
-        """Write the staging files and append to the rejects log.
+    ) -> bool:
+        """Write the staging files and append to the rejects log; whether that was done. Without any
+        input, as from a mistyped path, an earlier export stays as it is.
 
         ``in_order`` sorts the files by source position, for a load from these files, which takes
         the first of repeated records. A load from the frames themselves does not need it.
         """
+        if not self.found:
+            return False
         for df, columns, path in (
             (self.patients, STAGED_PATIENT, patients_path),
             (self.observations, STAGED_OBSERVATION, observations_path),
@@ -46,6 +50,7 @@ class Staged:
             ordered = df.orderBy(*LINEAGE) if in_order else df
             write_staging(ordered.select(columns), path)
         log_rejects(self.rejects, rejects_path)
+        return True
 
 
 def routed(bundles: DataFrame) -> DataFrame:
@@ -90,7 +95,10 @@ def stage_governed(
 ) -> Staged:
     """Staged bundle files, files of no bytes among the rejects."""
     staged = stage_bundles(read_bundles(spark, *paths, names=names, multi_line=multi_line))
+    none = staged.patients.isEmpty() and staged.observations.isEmpty()
     if multi_line:
         events = gov.corrupt_files(empty_files(spark, *paths, names=names))
         staged.rejects = staged.rejects.unionByName(events)
+    if none and staged.rejects.isEmpty():
+        staged.found = not is_missing(spark, *paths, names=names)
     return staged

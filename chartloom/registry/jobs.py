@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +13,14 @@ from chartloom.plans import inspection, reports
 from chartloom.plans.constraints import violations
 from chartloom.plans.fetched import chain_report, land_chain
 from chartloom.plans.load import delete_patients, load_tables
-from chartloom.plans.staging import stage_governed
+from chartloom.plans.staging import stage_bundles, stage_governed
 from chartloom.registry import roles
 from chartloom.registry.landing import bundles, landing
 from chartloom.registry.landing import pages as raw_pages
 from chartloom.registry.timeline import parts
-from chartloom.schemas import STAGED_OBSERVATION, STAGED_PATIENT, TIMELINE_COLUMNS
+from chartloom.schemas import STAGED_OBSERVATION, STAGED_PATIENT, TIMELINE_COLUMNS, TIMELINE_VIEW
 from chartloom.session import work_path
+from chartloom.sinks.files import write_staging
 from chartloom.sinks.tables import Tables
 from chartloom.sources.staging_csv import read_staging
 
@@ -45,8 +47,7 @@ def _sizes(frames: dict[str, DataFrame]) -> DataFrame:
 
 def _sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Staged records with repeats: every reading comes twice, the second time with no value."""
-    people = roles.table(spark, sf_dir, "customer").filter("c_acctbal > 0")
-    people = people.selectExpr("0 AS pass", "c_custkey AS place", *roles.PATIENT)
+    people = roles.table(spark, sf_dir, "customer").selectExpr("0 AS pass", "c_custkey AS place", *roles.PATIENT)
     events = roles.table(spark, sf_dir, "events")
     reference = f"{roles.DIRTY_REFERENCE} AS patient_reference"
     staged = events.selectExpr("0 AS pass", "event_id AS place", *roles.OBSERVATION, reference)
@@ -177,7 +178,7 @@ def job_inspect_paging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_land_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages landed within the budget, and the length of what they hold."""
+    """Number and range of the pages landed within the budget."""
     path = work_path(spark, "chain")
     land_chain(raw_pages(spark, sf_dir), path, BUDGET)
     landed = spark.read.parquet(path)
@@ -186,6 +187,49 @@ def job_land_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def land_all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without a budget every page of a chain lands, and one of no type and number too. The two pages
+    that follow the end of each chain in the landing are reported as left out."""
+    raw = raw_pages(spark, sf_dir)
+    lone = raw.filter("page = 1").select(
+        F.lit("unnamed").alias("resource_type"), F.lit(None).cast("bigint").alias("page"), "payload"
+    )
+    path = work_path(spark, "all-pages")
+    report = land_chain(raw.unionByName(lone), path)
+    found = spark.read.parquet(path).groupBy("resource_type").agg(F.count("*").alias("n_pages"))
+    return report.join(found, "resource_type")
+
+
+def missing_input_keeps_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export, and after it one of a folder that does not exist: the first is still there."""
+    places = [work_path(spark, name) for name in ("patients", "observations", "rejects")]
+    stage_bundles(bundles(spark, sf_dir, "patient")).export(*places)
+    stage_governed(spark, work_path(spark, "mistyped")).export(*places)
+    return read_staging(spark, places[0]).select(*STAGED_PATIENT)
+
+
+def job_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging files to tables: what the loaded timeline holds."""
+    people, readings = _sources(spark, sf_dir)
+    paths = [work_path(spark, name) for name in ("patients", "observations")]
+    write_staging(people.orderBy("place").select(*STAGED_PATIENT), paths[0])
+    write_staging(readings.orderBy("pass", "place").select(*STAGED_OBSERVATION), paths[1])
+    tables = _tables(spark)
+    load_tables(tables, read_staging(spark, paths[0]), read_staging(spark, paths[1]))
+    return tables.timeline()
+
+
+def catalog_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lasting view over tables declared in a database of their own."""
+    tables = _tables(spark)
+    load_tables(tables, *_sources(spark, sf_dir), order=["pass", "place"])
+    database = f"chartloom_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{work_path(spark, database)}'")
+    tables.declare(database)
+    tables.create_lasting_view(database)
+    return spark.table(f"{database}.{TIMELINE_VIEW}")
+
+
 def constraint_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables filled without any cleaning: patients in debt missing, those with little twice."""
     tables = _tables(spark)
@@ -211,6 +255,10 @@ QUERIES = {
     "job_timeline_reports": job_timeline_reports,
     "job_inspect_paging": job_inspect_paging,
     "job_land_chain": job_land_chain,
+    "land_all_pages": land_all_pages,
+    "missing_input_keeps_export": missing_input_keeps_export,
+    "job_csv_load": job_csv_load,
+    "catalog_view": catalog_view,
     "constraint_audit": constraint_audit,
 }
 
@@ -299,6 +347,14 @@ UNION ALL SELECT 'fhir_observations', 'patient_fhir_id', 'FOREIGN KEY', id, coun
 FROM reading WHERE id NOT IN (SELECT id FROM patient) GROUP BY id
 UNION ALL SELECT 'fhir_observations', 'loinc_code', 'FOREIGN KEY', loinc_code, count(*)
 FROM reading WHERE loinc_code NOT IN (SELECT loinc_code FROM term) GROUP BY loinc_code""",
+    "land_all_pages": f"""{_RUNNING}
+SELECT kind AS resource_type, count(*) AS landed, 2 AS left_out, count(*) AS n_pages
+FROM running GROUP BY kind
+UNION ALL SELECT 'unnamed', count(*), 0, count(*) FROM running WHERE page = 1
+HAVING count(*) > 0""",
+    "missing_input_keeps_export": f"SELECT {', '.join(roles.PATIENT)} FROM customer",
+    "job_csv_load": f"{_LOAD} {roles.timeline_sql('loaded')}",
+    "catalog_view": f"{_LOAD} {roles.timeline_sql('loaded')}",
     "job_land_chain": f"""{_RUNNING}
 SELECT kind AS resource_type, count(*) AS n_pages, min(page) AS first, max(page) AS last
 FROM running WHERE so_far - n < {BUDGET} GROUP BY kind""",

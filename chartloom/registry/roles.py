@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chartloom.functions.flags import FLAG_RULES
-
 PATIENT = [
     "CAST(c_custkey AS STRING) AS patient_fhir_id",
     "CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE lower(c_mktsegment) END AS gender",
@@ -62,10 +60,11 @@ _REST = [
 ]
 # As parsed from bundles: ids and references may be missing.
 RAW_OBSERVATION = [f"{_ID} AS obs_id", f"{_REFERENCE} AS patient_reference", *_REST]
-# As loaded: complete ids, references cleaned.
+# As loaded: complete ids, references cleaned, some to patients outside the register.
 OBSERVATION = [
     "CAST(event_id AS STRING) AS obs_id",
-    "CAST(user_id AS STRING) AS patient_fhir_id",
+    "CASE WHEN event_type = 'signup' AND value > 60 THEN 'gone-' || CAST(user_id AS STRING)"
+    " ELSE CAST(user_id AS STRING) END AS patient_fhir_id",
     *_REST,
 ]
 # References as they come in, with blanks around them and prefixes.
@@ -83,15 +82,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The register: customers with money in their account, so that some references miss."""
-    return table(spark, sf_dir, "customer").filter("c_acctbal > 0").selectExpr(*PATIENT)
+    """The register: all customers."""
+    return table(spark, sf_dir, "customer").selectExpr(*PATIENT)
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr("event_id", *OBSERVATION)
 
 
-PATIENT_SQL = f"SELECT {', '.join(PATIENT)} FROM customer WHERE c_acctbal > 0"
+PATIENT_SQL = f"SELECT {', '.join(PATIENT)} FROM customer"
 OBSERVATION_SQL = f"SELECT event_id, {', '.join(OBSERVATION)} FROM events"
 RAW_SQL = f"SELECT event_id, {', '.join(RAW_OBSERVATION)} FROM events"
 TERM_SQL = """
@@ -103,24 +102,33 @@ SELECT loinc_code, coalesce(display_name, 'Unknown Display Name') AS display_nam
 # Patients, observations and terms as common table expressions.
 BASE = f"WITH pat AS ({PATIENT_SQL}), obs AS ({OBSERVATION_SQL}), terms AS ({TERM_SQL})"
 
-_RULES = ", ".join(
-    f"({place}, '{code}', '{name}', '{sign}', {limit}, '{flag}')"
-    for place, (code, name, sign, limit, flag) in enumerate(FLAG_RULES)
-)
+# Fixed values, written out here a second time on purpose: codes, names, limits and flags.
+_FLAG = """CASE
+  WHEN (contains(reading.loinc_code, '8480-6') OR contains(lower(display_name), 'systolic'))
+       AND result_value > 140 THEN 'High Blood Pressure'
+  WHEN (contains(reading.loinc_code, '8480-6') OR contains(lower(display_name), 'systolic'))
+       AND result_value < 90 THEN 'Low Blood Pressure'
+  WHEN (contains(reading.loinc_code, '8462-4') OR contains(lower(display_name), 'diastolic'))
+       AND result_value > 90 THEN 'High Blood Pressure'
+  WHEN (contains(reading.loinc_code, '39156-5') OR contains(lower(display_name), 'body mass index'))
+       AND result_value >= 30 THEN 'Obese'
+  WHEN (contains(reading.loinc_code, '39156-5') OR contains(lower(display_name), 'body mass index'))
+       AND result_value >= 25 THEN 'Overweight'
+  WHEN (contains(reading.loinc_code, '8867-4') OR contains(lower(display_name), 'heart rate'))
+       AND result_value > 100 THEN 'Tachycardia'
+  WHEN (contains(reading.loinc_code, '8867-4') OR contains(lower(display_name), 'heart rate'))
+       AND result_value < 60 THEN 'Bradycardia'
+  WHEN (contains(reading.loinc_code, '8310-5') OR contains(lower(display_name), 'body temperature'))
+       AND result_value > 38 THEN 'Fever'
+  ELSE 'Normal / Unflagged' END"""
 
 
 def timeline_sql(readings: str = "obs", names: str = "terms") -> str:
-    """The timeline in SQL: the rules as a table, of which the first that applies gives the flag."""
+    """The timeline in SQL."""
     return f"""
 SELECT pat.patient_fhir_id, gender, birth_date, obs_id, reading.loinc_code,
        coalesce(display_name, 'Unknown Test') AS test_name, result_value, unit, effective_datetime,
-       coalesce((SELECT arg_min(flag, place)
-                 FROM (VALUES {_RULES}) AS rule(place, code_part, name_part, sign, cut, flag)
-                 WHERE (contains(reading.loinc_code, code_part)
-                        OR contains(lower(display_name), name_part))
-                   AND CASE sign WHEN '>' THEN result_value > cut WHEN '<' THEN result_value < cut
-                       ELSE result_value >= cut END),
-                'Normal / Unflagged') AS clinical_flag
+       {_FLAG} AS clinical_flag
 FROM (SELECT * EXCLUDE (display_name) FROM {readings}) AS reading
 JOIN pat USING (patient_fhir_id)
 LEFT JOIN {names} AS named ON named.loinc_code = reading.loinc_code"""

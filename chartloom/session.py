@@ -29,21 +29,29 @@ SETTINGS = {
 _MB = 1 << 20
 
 
-def sized(input_bytes: int) -> dict[str, str]:
-    """Task sizes for a job over ``input_bytes``.
-
-    Shuffle partitions grow with the input, to some 256 MB each, which a task can sort in memory;
-    adaptive execution merges those that turn out small. Past a few terabytes scan tasks grow as
-    well, since a shuffle has scan tasks times partitions many blocks.
+def sized(input_bytes: int, task_bytes: int = 256 * _MB) -> dict[str, str]:
+    """Task sizes for a job over ``input_bytes``: some ``task_bytes`` for each scan task and shuffle
+    partition, which a task can sort in memory. Adaptive execution merges partitions that turn out
+    small but never adds any, so they must grow with the input.
     """
-    partitions = min(max(200, input_bytes // (256 * _MB)), 50_000)
-    scan = 128 * _MB if input_bytes < 4 * _MB * _MB else 512 * _MB
     return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(scan),
+        "spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // task_bytes))),
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
     }
 
 
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the files below ``paths``; patterns and missing paths count as nothing. Totals come
+    from the file system, no file name reaches the driver's Python."""
+    conf, total = spark.sparkContext._jsc.hadoopConfiguration(), 0
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = folder.getFileSystem(conf)
+        if system.exists(folder):
+            total += system.getContentSummary(folder).getLength()
+    return total
+
+
 def build_session(
     app_name: str = "chartloom", input_bytes: int | None = None, **extra: str
 ) -> SparkSession:

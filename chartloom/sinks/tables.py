@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartloom.operators.timeline import timeline
+from chartloom.operators.timeline import timeline, timeline_sql
 from chartloom.schemas import TABLES, TIMELINE_VIEW
 
 
@@ -64,6 +64,14 @@ class Tables:
                 f"USING parquet LOCATION '{self.path(name)}'"
             )
 
+    def create_lasting_view(self, database: str = "default") -> None:
+        """The timeline as a view in the catalog, over declared tables, for any later session."""
+        parts = ("fhir_patients", "fhir_observations", "terminology_lookup")
+        people, readings, terms = (f"{database}.{name}" for name in parts)
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {database}.{TIMELINE_VIEW} AS {timeline_sql(people, readings, terms)}"
+        )
+
     def timeline(self) -> DataFrame:
         return timeline(
             self.read("fhir_patients"),

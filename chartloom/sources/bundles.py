@@ -39,6 +39,12 @@ def _load(reader: DataFrameReader, paths: list[str], names: str | None) -> DataF
     return reader.load(found) if found else None
 
 
+def is_missing(spark: SparkSession, *paths: str, names: str | None = None) -> bool:
+    """Whether there is no file with content at all."""
+    raw = _load(spark.read.format("text"), list(paths), names)
+    return raw is None or raw.isEmpty()
+
+
 def _plain(name: Column) -> Column:
     """A file name without URL escapes."""
     decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))

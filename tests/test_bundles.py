@@ -8,6 +8,7 @@ from records import bundle, coded, observation, patient, rows, write
 
 from chartloom.operators import governance as gov
 from chartloom.operators import nested, paging
+from chartloom.operators.conform import keep_first
 from chartloom.plans.fetched import chain_report, land_chain
 from chartloom.plans.inspection import inspect_observations, inspect_patients
 from chartloom.plans.staging import (
@@ -342,7 +343,10 @@ def test_land_the_kept_pages(spark, tmp_path):
         for page, n in enumerate(sizes, 1)
     ]
     pages = spark.createDataFrame(made, "resource_type string, page int, payload string")
-    land_chain(pages, str(tmp_path / "kept"), total=5)
+    report = land_chain(pages, str(tmp_path / "kept"), total=5, types=["patient", "observation"])
+    assert rows(report, "resource_type", "landed", "left_out") == [
+        ("device", 0, 1), ("observation", 1, 2), ("patient", 3, 1)
+    ]
     stored = spark.read.parquet(str(tmp_path / "kept"))
     assert rows(stored, "resource_type", "page") == [("observation", 1), ("patient", 1), ("patient", 2), ("patient", 3)]
     assert {r.payload for r in stored.collect()} <= {m[2] for m in made}
@@ -364,3 +368,32 @@ def test_new_files_are_staged_once(spark, tmp_path):
     assert rows(found.patients, "patient_fhir_id") == [("p1",)]
     assert rows(found.observations, "obs_id") == [("o1",), ("o2",)]
     assert rows(found.rejects, "rule") == [("CORRUPT_FILE",), ("MISSING_ID",)]
+
+
+def test_files_of_one_name(spark, tmp_path):
+    """An empty file is rejected though its namesake is good; the first path wins, at any size."""
+    for pad in (0, 5000):
+        root = tmp_path / str(pad)
+        for folder in ("x", "y", "z"):
+            (root / folder).mkdir(parents=True)
+        (root / "x" / "page.json").write_text(json.dumps(bundle(patient("p1", gender="x"))))
+        text = json.dumps(bundle(patient("p1", gender="y")))
+        (root / "y" / "page.json").write_text(text + " " * pad)
+        (root / "z" / "page.json").write_text("")
+        staged = stage_governed(spark, *(str(root / f) for f in "xyz"), names="*.json")
+        assert rows(staged.rejects, "rule", "file_name") == [("CORRUPT_FILE", "page.json")]
+        first = keep_first(staged.patients, ["patient_fhir_id"], LINEAGE)
+        assert rows(first, "gender") == [("x",)]
+
+
+def test_land_everything(spark, tmp_path):
+    """Neither a budget nor a choice of types by default, and no page without a number is lost."""
+    following = [{"relation": "next", "url": "u"}]
+    page = json.dumps(bundle(*[patient(str(j)) for j in range(10)], links=following))
+    made = [("Patient", n, page) for n in range(1, 21)] + [("Condition", 1, page), ("unnamed", None, page)]
+    pages = spark.createDataFrame(made, "resource_type string, page int, payload string")
+    report = land_chain(pages, str(tmp_path / "all"))
+    assert rows(report, "resource_type", "landed", "left_out") == [
+        ("condition", 1, 0), ("patient", 20, 0), ("unnamed", 1, 0)
+    ]
+    assert spark.read.parquet(str(tmp_path / "all")).count() == 22

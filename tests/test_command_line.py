@@ -23,9 +23,10 @@ def test_all_jobs(spark, tmp_path, capsys):
     landed, out, tables = (str(tmp_path / n) for n in ("landed", "out", "tables"))
     main(["inspect", raw, "--names", "*_page_*.json"])
     assert "o00" in capsys.readouterr().out
-    main(["land", raw, landed, "--total", "500"])
+    main(["land", raw, landed])
+    assert "unnamed" in capsys.readouterr().out
     main(["stage", landed, out, "--landed"])
-    assert "rejects: 1" in capsys.readouterr().out
+    assert "rejects: 2" in capsys.readouterr().out  # a patient without id, and the notes
     # Staging files are in source order.
     staged = read_staging(spark, f"{out}/observations").orderBy("src_file", "src_offset", "src_row")
     assert staged.columns[: len(STAGED_OBSERVATION)] == STAGED_OBSERVATION
@@ -40,8 +41,10 @@ def test_all_jobs(spark, tmp_path, capsys):
     assert rows(logged, "rule", "resource_id") == [("ORPHAN_PATIENT", "x")]
     main(["check", tables])
     assert "PRIMARY KEY" not in capsys.readouterr().out
-    main(["audit", tables])
+    main(["audit", tables, "--rows", "1", "--out", f"{out}/audit"])
     assert "Fever" in capsys.readouterr().out
+    assert spark.read.parquet(f"{out}/audit/flagged").count() == 10
+    assert spark.read.parquet(f"{out}/audit/n_flagged").first().n_flagged == 40
     main(["dashboard", tables])
     assert "total_patients" in capsys.readouterr().out
 
@@ -51,3 +54,13 @@ def test_direct_staging_gives_the_same(spark, tmp_path, capsys):
     main(["stage", raw, str(tmp_path / "out"), "--names", "*.json"])
     printed = capsys.readouterr().out
     assert "valid patients: 1" in printed and "rejects: 1" in printed
+
+
+def test_missing_input_keeps_the_last_export(spark, tmp_path, capsys):
+    raw = write(tmp_path / "raw", a=bundle(patient("p1"), observation("o1")))
+    out = str(tmp_path / "out")
+    main(["stage", raw, out])
+    for place, names in ((f"{raw}-mistyped", "*"), (raw, "*.jsn")):
+        main(["stage", place, out, "--names", names])
+        assert "nothing written" in capsys.readouterr().out
+    assert read_staging(spark, f"{out}/patients").count() == 1

@@ -85,3 +85,37 @@ def test_na_tokens(spark):
     assert one(spark, na_to_null, [*NA_TOKENS, "na", "0", "N/A ", None]) == [None] * len(
         NA_TOKENS
     ) + ["na", "0", "N/A ", None]
+
+
+def test_flag_labels(spark):
+    """Each rule's label, written out."""
+    cases = [
+        ("8480-6", None, 141.0, "High Blood Pressure"),
+        ("8480-6", None, 89.0, "Low Blood Pressure"),
+        (None, "Diastolic", 91.0, "High Blood Pressure"),
+        ("39156-5", None, 30.0, "Obese"),
+        (None, "Body Mass Index", 29.9, "Overweight"),
+        ("39156-5", None, 24.9, "Normal / Unflagged"),
+        ("8867-4", None, 101.0, "Tachycardia"),
+        (None, "heart rate", 59.0, "Bradycardia"),
+        ("8310-5", None, 38.1, "Fever"),
+    ]
+    df = spark.createDataFrame(cases, "c string, n string, v double, want string")
+    got = df.select("want", clinical_flag(F.col("c"), F.col("n"), F.col("v")).alias("got"))
+    assert all(r.want == r.got for r in got.collect())
+
+
+def test_zones_in_every_form(spark, conf):
+    for zone in ("UTC", "America/New_York"):
+        conf("spark.sql.session.timeZone", zone)
+        texts = ["+02", "-05", "+2:00", "Z", "Z ", " UTC", "+0200", "+02:00 ", "", " "]
+        got = one(spark, to_utc, [f"2024-10-06T10:04:48{t}" for t in texts])
+        assert [g.hour for g in got] == [8, 15, 8, 10, 10, 10, 8, 8, 10, 10]
+        assert one(spark, to_utc, ["2024-10-06T10:04:48 Europe/Paris"])[0].hour == 8
+        assert [g.day for g in one(spark, to_utc, ["2024-10-06", "2024-10-6"])] == [6, 6]
+
+
+def test_numbers_with_suffix_or_without_end(spark):
+    assert one(spark, to_number, ["150d", "150f", "1.5D ", "1e400", "-1e400", "Infinity", "1e3", " 7 "]) == [
+        *[None] * 6, 1000.0, 7.0
+    ]

@@ -309,3 +309,11 @@ def test_reports_of_nothing(spark, tmp_path):
     assert report_plans.audit(*given)["none_flagged"].collect()[0][0]
     counts = reports.activity(*given)
     assert rows(reports.kpis(counts, approximate=True)) == [(0, 0, 0, 0)]
+
+
+def test_headers_in_another_order_stop_the_load(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("obs_id,patient_reference,unit\no1,p1,kg\n")
+    (tmp_path / "b.csv").write_text("patient_reference,obs_id,unit\np2,o2,kg\n")
+    for multi_line in (True, False):
+        with pytest.raises(Exception, match="(?i)header"):
+            read_staging(spark, str(tmp_path), multi_line=multi_line).collect()

@@ -172,13 +172,20 @@ def test_scan_reads_only_what_is_asked(spark):
 
 
 @pytest.mark.parametrize(
-    "size,partitions,scan_mb",
-    [(10**9, 200, 128), (10**12, 3725, 128), (10**14, 50_000, 512)],
+    "size,task_mb,partitions",
+    [(10**9, 256, 200), (10**12, 256, 3726), (10**14, 256, 372_530), (10**14, 1024, 93_133)],
 )
-def test_task_sizes(size, partitions, scan_mb):
-    found = session.sized(size)
+def test_task_sizes(size, task_mb, partitions):
+    found = session.sized(size, task_mb << 20)
     assert found["spark.sql.shuffle.partitions"] == str(partitions)
-    assert found["spark.sql.files.maxPartitionBytes"] == str(scan_mb << 20)
+    assert found["spark.sql.files.maxPartitionBytes"] == str(task_mb << 20)
+
+
+def test_input_bytes(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x").write_text("12345")
+    (tmp_path / "y").write_text("123")
+    assert session.input_bytes(spark, str(tmp_path), str(tmp_path / "none")) == 8
 
 
 def test_short_lists_are_not_sorted_whole(spark):

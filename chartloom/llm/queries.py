@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chartloom.llm import chat, imatch, langid, mixing, packing, pieces, probminhash, quality, superkmer, toxicity
 from chartloom.llm.cluster import ship
+from chartloom.llm.oracles import SQL  # noqa: F401
 
 
 #: Where the vocabularies lie, on the driver and on every executor.
@@ -74,4 +75,3 @@ QUERIES = {
     "op9_prefix_targets": op9_prefix_targets,
     "op10_recurrent_language_id": op10_recurrent_language_id,
 }
-SQL: dict[str, str] = {}

@@ -36,7 +36,8 @@ def load_tables(
 ) -> Loaded:
     """Clean, keep the first record per id, derive terms, load; a second run gives the same.
 
-    Old observations go first and new ones come last, so none is ever without its patient.
+    The new tables are written beside the old ones and take their place at the end, all three, so
+    that a load that fails leaves the old ones.
 
     Observations of unknown patients are not loaded but returned as quarantine rows. With
     ``on_no_match='reassign'``, and only if no reference at all matches a patient, observations
@@ -48,11 +49,11 @@ def load_tables(
     order = order or [c for c in LINEAGE if c in observations.columns]
     if not order:
         raise ValueError("name the columns that tell which of repeated records is first")
-    tables.clear("fhir_observations")
+    new = tables.beside()
 
     people = keep_first(clean_patients(patients), ["patient_fhir_id"], order)
-    tables.replace("fhir_patients", people)
-    people = tables.read("fhir_patients")
+    new.replace("fhir_patients", people)
+    people = new.read("fhir_patients")
 
     # One shuffle by id, one join; both kinds of row are stored, by kind, and read from there.
     needed = dict.fromkeys([*OBSERVATIONS.fieldNames(), "display_name", "src_file", *order])
@@ -60,13 +61,14 @@ def load_tables(
     marked = mark_parent(keep_first(cleaned, ["obs_id"], order), people, "patient_fhir_id", "known")
     stored = materialize(marked, "observations", ["known"])
     terms = terminology(stored, order).filter("loinc_code IS NOT NULL")
-    tables.replace("terminology_lookup", terms)
+    new.replace("terminology_lookup", terms)
 
     known = stored.filter("known")
     reassign = on_no_match == "reassign" and known.isEmpty()
     if reassign:
         known = reassign_round_robin(pick(stored, OBSERVATIONS.fieldNames()), people)
-    tables.replace("fhir_observations", known)
+    new.replace("fhir_observations", known)
+    tables.take(new)
     orphans = stored.filter("NOT known")
     return Loaded(orphan_rejects(orphans.limit(0) if reassign else orphans), reassign)
 
@@ -74,10 +76,11 @@ def load_tables(
 def delete_patients(tables: Tables, deleted: DataFrame) -> None:
     """Delete patients (``patient_fhir_id``) and with them their observations.
 
-    Survivors are stored before a table is overwritten, since a table cannot be read and replaced
-    in one job.
+    Survivors are written once, beside the old tables, and take their place when both are there.
     """
+    new = tables.beside()
     gone = materialize(deleted.select("patient_fhir_id"), "deleted")
     for name in ("fhir_observations", "fhir_patients"):
         left = cascade_delete(tables.read(name), gone, "patient_fhir_id")
-        tables.replace(name, materialize(left, "survivors"))
+        new.replace(name, left)
+    tables.take(new)

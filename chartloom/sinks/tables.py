@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +46,23 @@ class Tables:
         """Reset and reload; ``df`` must not read the table it replaces."""
         fit(df, TABLES[name]).write.mode("overwrite").parquet(self.path(name))
 
+    def beside(self) -> Tables:
+        """An empty set of tables in a folder of its own below the same root."""
+        return Tables(self.spark, f"{self.root}/_next-{uuid.uuid4().hex}")
+
+    def take(self, other: Tables) -> None:
+        """Put the tables that ``other`` has in the place of these, children first. Folders are only
+        renamed, so that a job that fails before leaves the tables as they are."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        system = path(self.root).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for name in reversed(TABLES):
+            if system.exists(path(other.path(name))):
+                system.delete(path(self.path(name)), True)
+                if not system.rename(path(other.path(name)), path(self.path(name))):
+                    raise OSError(f"{name} is still in {other.root}")
+            self.spark.catalog.refreshByPath(self.path(name))
+        system.delete(path(other.root), True)
+
     def clear(self, name: str) -> None:
         self.replace(name, self.spark.createDataFrame([], TABLES[name]))
 

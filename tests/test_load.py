@@ -317,3 +317,27 @@ def test_headers_in_another_order_stop_the_load(spark, tmp_path):
     for multi_line in (True, False):
         with pytest.raises(Exception, match="(?i)header"):
             read_staging(spark, str(tmp_path), multi_line=multi_line).collect()
+
+
+def test_failed_load_keeps_the_old_tables(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path / "tables"))
+
+    def given(gender):
+        people = spark.createDataFrame([("p1", gender, "1", None, 0)], "patient_fhir_id string, gender string, birth_date string, postal_code string, n int")
+        seen = spark.createDataFrame(
+            [("o1", "p1", "c", "C", 1.0, "u", "2024", 0)],
+            "obs_id string, patient_reference string, loinc_code string, display_name string, result_value double, unit string, effective_datetime string, n int",
+        )
+        return people, seen
+
+    load_tables(tables, *given("old"), order=["n"])
+    people, seen = given("new")
+    broken = seen.withColumn("unit", F.raise_error(F.lit("lost half-way")))
+    with pytest.raises(Exception, match="half-way"):
+        load_tables(tables, people, broken, order=["n"])
+    assert [r.gender for r in tables.read("fhir_patients").collect()] == ["old"]
+    assert tables.read("fhir_observations").count() == tables.read("terminology_lookup").count() == 1
+    load_tables(tables, people, seen, order=["n"])
+    assert [r.gender for r in tables.read("fhir_patients").collect()] == ["new"]
+    delete_patients(tables, spark.createDataFrame([("p1",)], "patient_fhir_id string"))
+    assert tables.read("fhir_patients").count() == tables.read("fhir_observations").count() == 0

@@ -36,11 +36,11 @@ from chartloom.session import materialize
 WINDOW = 50
 MINIMISER = 8
 #: Super-k-mers of one minimiser in one bucket, beyond which it is dealt to several.
-BUCKET = 10_000
+BUCKET = 1_000
 #: Windows in one super-k-mer; a text that repeats itself is cut after so many.
-LONGEST = 512
+LONGEST = 64
 #: Bytes of packed strings that are sorted at once, in whole buckets.
-SORT_BYTES = 4 << 20
+SORT_BYTES = 1 << 20
 
 _LAST = (1 << 63) - 1
 
@@ -312,7 +312,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     by one space, with n_chars to match; other rows stay as they are. A text that loses all of its
     words goes."""
     inner = [c for c in docs.columns if c not in ("text", "doc_id")]
-    packed = docs.select("doc_id", "text", F.struct(*(f"`{c}`" for c in inner)).alias("rest"))
+    packed = docs.select("doc_id", "text", F.struct(F.lit(0), *(f"`{c}`" for c in inner)).alias("rest"))
     rows = _joined(packed).select("doc_id", "text", "rest", "gone")
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     short = rows.mapInArrow(

@@ -13,8 +13,8 @@ Equal texts (same words) become one node first. Nodes that share a band are cand
 compared, on whole texts, with the most central text of its bucket. A pair is linked where the exact
 J, or the exact Jaccard similarity of the distinct elements, reaches 0.8; pairs whose registers agree
 far too little for that are not fetched. Only buckets whose members are then still in different
-components go on: with 64 pivots (all members, in a bucket up to that size), and larger buckets with
-64 others as long as a round finds a link. Members of one component are never compared again, so
+components go on: with 16 pivots (all members, in a bucket up to that size), and larger buckets with
+16 others as long as a round finds a link. Members of one component are never compared again, so
 copies are not expanded into pairs. Classes are the components of the links.
 
 Nulls: a null text is an empty one; texts without a word are equal to each other. A null doc_id is
@@ -44,10 +44,12 @@ SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 REGISTERS = BANDS * ROWS
 #: Pivots of a bucket in the rounds after the first.
-PIVOTS = 64
+PIVOTS = 16
 #: Of the 64 registers, how many must agree in their last byte for a pair to be compared. At a
-#: similarity of 0.8 fewer do with a chance of one in a million.
-AGREEING = 36
+#: similarity of 0.8 fewer do with a chance of one in 2 000.
+AGREEING = 40
+#: Elements of texts that a verifying task keeps at hand, as a pivot meets many texts.
+RECENT_BYTES = 32 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -182,26 +184,26 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The likeness of each (a, b, text_a, text_b); elements of recent pivots are kept at hand."""
     recent: OrderedDict[bytes, tuple] = OrderedDict()
+    held = 0
 
     def elements(node, text):
+        nonlocal held
         if node not in recent:
             words = T.Words(*T.texts(pa.array([text], pa.large_string())))
-            recent[node] = shingles(words, words.hashes(), 0)
-            if len(recent) > 32:
-                recent.popitem(last=False)
+            recent[node] = found = shingles(words, words.hashes(), 0)
+            held += found[0].nbytes * 2
+            while held > RECENT_BYTES and len(recent) > 2:
+                held -= recent.popitem(last=False)[1][0].nbytes * 2
         recent.move_to_end(node)
         return recent[node]
 
     for batch in T.slices(batches, "text_b"):
-        a, b, text_a, text_b = (
-            batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")
-        )
-        both = T.Words(*T.texts(pa.array(text_b, pa.large_string())))
-        hashes = both.hashes()
+        rows = zip(*(batch.column(c).to_pylist() for c in ("a", "text_a", "b", "text_b")), strict=True)
         like = []
-        for i in range(len(a)):
-            pair = elements(a[i], text_a[i]), shingles(both, hashes, i)
-            like.append(max(similarity(*pair), plain_similarity(*pair)))
+        for a, text_a, b, text_b in rows:
+            pair = elements(a, text_a), elements(b, text_b)
+            plain = plain_similarity(*pair)
+            like.append(plain if plain >= SIMILARITY else similarity(*pair))
         kept = batch.select(["a", "a_label", "b", "b_label"])
         yield pa.RecordBatch.from_arrays(
             [*kept.columns, pa.array(like, pa.float64())], names=[*kept.schema.names, "likeness"]
@@ -224,7 +226,8 @@ def _central(members: DataFrame) -> DataFrame:
 
 def _pairs(members: DataFrame, number: int) -> DataFrame:
     """Members of unsettled buckets next to the pivots of their bucket, where the components differ
-    and the sketches agree enough.
+    and the sketches agree enough. After round 0 the members of a bucket's largest component are met
+    by the others only, as pivots.
 
     ``members``: node, sketch, label, band, value, n, central. Round 0 has one pivot per bucket, the
     most central text; later ones have ``PIVOTS``, in an order of the round's own. These are all of a
@@ -238,11 +241,11 @@ def _pairs(members: DataFrame, number: int) -> DataFrame:
         left = members
         order = [F.desc("central"), "node"]
     else:
-        open_ = members.groupBy("band", "value").agg(
-            F.min("label").alias("l"), F.max("label").alias("h")
+        parts = members.groupBy("band", "value", "label").agg(F.count("*").alias("c"))
+        open_ = parts.groupBy("band", "value").agg(
+            F.max(F.struct("c", "label"))["label"].alias("main"), F.count("*").alias("parts")
         )
-        open_ = open_.where(F.col("l") != F.col("h")).select("band", "value")
-        left = members.join(open_, ["band", "value"])
+        left = members.join(open_.where("parts > 1"), ["band", "value"])
         order = [F.xxhash64("node", "band", F.lit(number))]
     place = F.row_number().over(bucket.orderBy(*order))
     pivots = left.withColumn("place", place).where(F.col("place") <= (PIVOTS if number else 1))
@@ -255,7 +258,8 @@ def _pairs(members: DataFrame, number: int) -> DataFrame:
     )
     same = (F.col("band") == F.col("p_band")) & (F.col("value") == F.col("p_value"))
     near = _agreeing("sketch", "p_sketch") >= AGREEING
-    met = left.join(p, same & (F.col("label") != F.col("p_label")) & near)
+    outside = left if number == 0 else left.where(F.col("label") != F.col("main"))
+    met = outside.join(p, same & (F.col("label") != F.col("p_label")) & near)
     first = F.col("node") < F.col("p")
     return met.select(
         F.when(first, F.col("node")).otherwise(F.col("p")).alias("a"),

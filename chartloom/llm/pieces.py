@@ -7,9 +7,10 @@ start at each place come from one Aho-Corasick pass), check it against the piece
 the two afresh, and where no piece fits, give up the last one and mark the place as failed. A place
 is reached in one way only, so a bit per place is enough and none is tried twice.
 
-No piece has a space mark after another character, so no merge crosses the start of a run of space
-marks: a text is encoded run of spaces and word by word, and short stretches are remembered in a
-bounded table per task. Characters without a piece become one piece for each of their bytes.
+A merge makes a piece, so none crosses a place that no piece of the model lies across. No piece has a
+space mark after another character, and if none has a Latin letter next to another character, texts
+are cut there as well. Stretches between cuts are encoded one by one, and short ones are
+remembered in a bounded table. Characters without a piece become one piece for each of their bytes.
 
 Nulls: a null text is an empty one, which has no ids. Any text decodes to what the library decodes.
 Repeated rows are encoded alike; an empty table gives an empty result; other columns are not read.
@@ -19,7 +20,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
@@ -35,11 +35,38 @@ from chartloom.llm import text as T
 MARK = "▁"
 #: What the library shows for its unknown piece.
 UNKNOWN = " ⁇ "
-#: Stretches of at most REMEMBER_CHARS characters are remembered, REMEMBER of them per task.
-REMEMBER = 200_000
+#: Stretches of at most REMEMBER_CHARS characters are remembered, REMEMBER in each generation.
+REMEMBER = 120_000
 REMEMBER_CHARS = 48
 PAIRS = 300_000
-_STRETCH = re.compile(f"{MARK}*[^{MARK}]*")
+#: Space marks with the Latin letters, or with the other characters, after them; or up to the next.
+_LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+_FINE = re.compile(f"{MARK}*[{_LATIN}]+|{MARK}*[^{_LATIN}{MARK}]+|{MARK}+")
+_COARSE = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+
+
+class Remembered:
+    """A bounded table of short stretches in two generations: when the younger is full, the older
+    is given up, and what was used since is in the younger again."""
+
+    def __init__(self):
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, stretch: str):
+        found = self.young.get(stretch)
+        if found is None:
+            found = self.old.get(stretch)
+            if found is not None:
+                self.keep(stretch, found)
+        return found
+
+    def keep(self, stretch: str, value):
+        if len(stretch) <= REMEMBER_CHARS:
+            if len(self.young) >= REMEMBER:
+                self.young, self.old = {}, self.young
+            self.young[stretch] = value
+        return value
 
 
 class Pieces:
@@ -49,7 +76,6 @@ class Pieces:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.piece, self.rank, self.byte = {}, {}, {}
         self.shown: list[str | int | None] = []
-        self.automaton = ahocorasick.Automaton()
         for i in range(model.get_piece_size()):
             name = model.id_to_piece(i)
             if model.is_byte(i):
@@ -64,17 +90,22 @@ class Pieces:
                     raise ValueError("a piece with a space mark inside: stretches would depend on each other")
                 self.piece[name], self.rank[name] = i, -model.get_score(i)
                 self.shown.append(name.replace(MARK, " "))
-                self.automaton.add_word(name, (len(name) - 1, name))
+        # A piece that merging its own characters does not give never occurs.
+        self.automaton = ahocorasick.Automaton()
+        reached = {name for name in self.piece if self.merge(name) == [name]}
+        for name in reached:
+            self.automaton.add_word(name, (len(name) - 1, name))
         self.automaton.make_automaton()
         #: The longest piece that is the beginning of a piece.
         self.shorter: dict[str, str] = {}
-        for name in self.piece:
+        for name in reached:
             begins = (name[:n] for n in range(len(name) - 1, 0, -1))
-            if (found := next((b for b in begins if b in self.piece), None)) is not None:
+            if (found := next((b for b in begins if b in reached), None)) is not None:
                 self.shorter[name] = found
-        self.remembered: dict[str, tuple[int, ...]] = {}
+        fine = all(_FINE.fullmatch(name) and len(_FINE.findall(name)) == 1 for name in reached)
+        self.stretch = _FINE if fine else _COARSE
+        self.remembered: Remembered = Remembered()
         self.apart = lru_cache(PAIRS)(self._apart)
-        self.whole = lru_cache(len(self.piece))(lambda name: self.merge(name) == [name])
 
     def merge(self, text: str) -> list[str]:
         """Join the best-scored neighbours, the leftmost of equals, until none can be joined."""
@@ -116,33 +147,27 @@ class Pieces:
         longest: dict[int, str] = {}
         for end, (back, name) in self.automaton.iter(text):
             longest[end - back] = name  # from one place, longer pieces end later
-        failed = bytearray((len(text) >> 3) + 1)
+        apart, shorter, size = self.apart, self.shorter, len(text)
+        failed = bytearray((size >> 3) + 1)
         taken: list[str] = []
-        place, option = 0, longest.get(0) or text[:1]
-        while place < len(text):
-            last = taken[-1] if taken else None
+        place, last, option = 0, None, longest.get(0) or text[:1]
+        while place < size:
             while option is not None:
                 end = place + len(option)
-                if not failed[end >> 3] >> (end & 7) & 1 and self.fits(last, option):
+                if not failed[end >> 3] >> (end & 7) & 1 and (last is None or apart(last, option)):
                     break
-                option = self.shorter.get(option)
+                option = shorter.get(option)
             if option is None:
                 failed[place >> 3] |= 1 << (place & 7)
                 gone = taken.pop()
-                place, option = place - len(gone), self.shorter.get(gone)
+                place, option = place - len(gone), shorter.get(gone)
+                last = taken[-1] if taken else None
             else:
                 taken.append(option)
-                place = end
+                place, last = end, option
                 option = longest.get(place) or text[place : place + 1]
         return taken
 
-    def fits(self, last: str | None, name: str) -> bool:
-        if name not in self.piece:
-            return True
-        if not self.whole(name):
-            return False
-        return last is None or last not in self.piece or self.apart(last, name)
-
     def fresh_ids(self, stretch: str) -> tuple[int, ...]:
         found: list[int] = []
         for p in self.backtrack(stretch):
@@ -153,18 +178,13 @@ class Pieces:
     def ids(self, stretch: str) -> tuple[int, ...]:
         known = self.remembered.get(stretch)
         if known is None:
-            known = self.fresh_ids(stretch)
-            if len(stretch) <= REMEMBER_CHARS:
-                if len(self.remembered) >= REMEMBER:
-                    self.remembered.clear()
-                self.remembered[stretch] = known
+            known = self.remembered.keep(stretch, self.fresh_ids(stretch))
         return known
 
     def stretches(self, text: str) -> list[str]:
-        """Each run of spaces with the word after it; the library puts a space in front."""
-        if not text:
-            return []
-        return _STRETCH.findall(MARK + text.replace(" ", MARK))[:-1]
+        """The text, with the space that the library puts in front, cut where no piece could lie
+        across: before space marks, and between Latin letters and others if no piece has both."""
+        return self.stretch.findall(MARK + text.replace(" ", MARK)) if text else []
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
@@ -172,9 +192,9 @@ class Pieces:
             out += self.ids(s)
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        """Pieces with spaces for marks, bytes of neighbouring byte pieces as UTF-8 (one replacement
-        mark for each byte that is not), and without the space in front."""
+    def spelled(self, ids) -> list[str]:
+        """Pieces with spaces for marks, and bytes of neighbouring byte pieces as UTF-8, one
+        replacement mark for each byte that is not."""
         out: list[str] = []
         pending = bytearray()
         for i in ids:
@@ -188,7 +208,11 @@ class Pieces:
             out.append(shown)
         if pending:
             out.append(_characters(bytes(pending)))
-        joined = "".join(out)
+        return out
+
+    def decode(self, ids: list[int]) -> str:
+        """The text of any ids, without the space in front."""
+        joined = "".join(self.spelled(ids))
         first = next((self.shown[i] for i in ids if self.shown[i] != ""), None)
         opens = isinstance(first, str) and first.startswith(" ") and first != UNKNOWN
         return joined[1:] if opens else joined
@@ -224,35 +248,23 @@ def load(path: str) -> Pieces:
 def _digests(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
-        # What a stretch adds to the digests: number of ids, their decimals, its decoded text.
-        known: dict[str, tuple[int, str, str | None]] = {}
-
-        def part(stretch: str) -> tuple[int, str, str | None]:
-            found = known.get(stretch)
-            if found is None:
-                ids = model.fresh_ids(stretch)
-                # Bytes may belong to a character only together with the next stretch's, and the
-                # first stretch loses its space, so only stretches of plain pieces decode alone.
-                plain = all(isinstance(model.shown[i], str) for i in ids)
-                alone = "".join(model.shown[i] for i in ids) if plain else None
-                found = (len(ids), ",".join(map(str, ids)), alone)
-                if len(stretch) <= REMEMBER_CHARS:
-                    if len(known) >= REMEMBER:
-                        known.clear()
-                    known[stretch] = found
-            return found
+        # What a stretch adds to the digests: number of ids, their decimals, its decoded text. Bytes
+        # of one character always belong to one stretch, so stretches decode one by one.
+        known = Remembered()
+
+        def part(stretch: str) -> tuple[int, str, str]:
+            ids = model.fresh_ids(stretch)
+            shown = "".join(model.spelled(ids))
+            return known.keep(stretch, (len(ids), ",".join(map(str, ids)), shown))
 
         for batch in T.slices(batches):
             counts, ids, decoded = [], [], []
             for text in batch.column("text").to_pylist():
-                parts = [part(s) for s in model.stretches(text or "")]
+                get = known.young.get
+                parts = [get(s) or known.get(s) or part(s) for s in model.stretches(text or "")]
                 counts.append(sum([p[0] for p in parts]))
-                listed = ",".join([p[1] for p in parts])
-                ids.append(hashlib.sha256(listed.encode()).hexdigest())
-                if any([p[2] is None for p in parts]):
-                    shown = model.decode(array("i", map(int, listed.split(","))).tolist())
-                else:
-                    shown = "".join([p[2] for p in parts])[1:]
+                ids.append(hashlib.sha256(",".join([p[1] for p in parts]).encode()).hexdigest())
+                shown = "".join([p[2] for p in parts])[1:]
                 decoded.append(hashlib.sha256(shown.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids), pa.array(decoded)],
@@ -275,16 +287,12 @@ class Arrays:
 
     def __init__(self, model: Pieces, kind: np.dtype):
         self.model, self.kind = model, kind
-        self.known: dict[str, np.ndarray] = {}
+        self.known = Remembered()
 
     def _stretch(self, stretch: str) -> np.ndarray:
         found = self.known.get(stretch)
         if found is None:
-            found = np.array(self.model.fresh_ids(stretch), self.kind)
-            if len(stretch) <= REMEMBER_CHARS:
-                if len(self.known) >= REMEMBER:
-                    self.known.clear()
-                self.known[stretch] = found
+            found = self.known.keep(stretch, np.array(self.model.fresh_ids(stretch), self.kind))
         return found
 
     def ids(self, text: str | None, *more: int) -> np.ndarray:

@@ -13,9 +13,9 @@ Equal texts (same words) become one node first. Nodes that share a band are cand
 compared, on whole texts, with the most central text of its bucket. A pair is linked where the exact
 J, or the exact Jaccard similarity of the distinct elements, reaches 0.8; pairs whose registers agree
 far too little for that are not fetched. Only buckets whose members are then still in different
-components go on: with 16 pivots (all members, in a bucket up to that size), and larger buckets with
-16 others as long as a round finds a link. Members of one component are never compared again, so
-copies are not expanded into pairs. Classes are the components of the links.
+components go on: buckets of up to 16 members in full, larger ones by a prefix filter (see ``_rest``),
+which meets every pair that can reach 0.8. Members of one component are never compared again, so copies are not expanded
+into pairs. Classes are the components of the links.
 
 Nulls: a null text is an empty one; texts without a word are equal to each other. A null doc_id is
 carried, and never names a class that has another id. Repeated rows are equal texts. An empty table
@@ -43,7 +43,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 REGISTERS = BANDS * ROWS
-#: Pivots of a bucket in the rounds after the first.
+#: Nodes of a bucket up to which all its pairs are compared; larger ones go through a prefix filter.
 PIVOTS = 16
 #: Of the 64 registers, how many must agree in their last byte for a pair to be compared. At a
 #: similarity of 0.8 fewer do with a chance of one in 2 000.
@@ -161,14 +161,23 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def plain_similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Exact Jaccard similarity of the distinct elements."""
-    common = len(np.intersect1d(a[0], b[0], assume_unique=True))
+    common = len(_common(a, b)[0])
     return common / max(1, len(a[0]) + len(b[0]) - common)
 
 
+def _common(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the common elements in both; elements are sorted."""
+    if not len(a[0]) or not len(b[0]):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    to = np.searchsorted(b[0], a[0])
+    at = np.flatnonzero(b[0][np.minimum(to, len(b[0]) - 1)] == a[0])
+    return at, to[at]
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Exact probability Jaccard similarity of two sets of (elements, weights)."""
-    common, at, bt = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    if not len(common):
+    at, bt = _common(a, b)
+    if not len(at):
         return 0.0
     x, y = a[1][at].astype(float), b[1][bt].astype(float)
     only_x, only_y = a[1].sum() - x.sum(), b[1].sum() - y.sum()
@@ -181,6 +190,17 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(np.sum(1.0 / (from_x[low] / x + upto_y[low] / y)))
 
 
+def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """The plain similarity or, where that is under ``SIMILARITY``, the other one; a bound of it (see
+    ``_rest``) where that is under as well."""
+    at, bt = _common(a, b)
+    plain = len(at) / max(1, len(a[0]) + len(b[0]) - len(at))
+    if plain >= SIMILARITY or not len(at):
+        return plain
+    bound = 1.0 / (a[1].sum() / a[1][at].sum() + b[1].sum() / b[1][bt].sum() - 1.0)
+    return bound if bound < SIMILARITY - 1e-9 else similarity(a, b)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The likeness of each (a, b, text_a, text_b); elements of recent pivots are kept at hand."""
     recent: OrderedDict[bytes, tuple] = OrderedDict()
@@ -201,9 +221,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = zip(*(batch.column(c).to_pylist() for c in ("a", "text_a", "b", "text_b")), strict=True)
         like = []
         for a, text_a, b, text_b in rows:
-            pair = elements(a, text_a), elements(b, text_b)
-            plain = plain_similarity(*pair)
-            like.append(plain if plain >= SIMILARITY else similarity(*pair))
+            like.append(likeness(elements(a, text_a), elements(b, text_b)))
         kept = batch.select(["a", "a_label", "b", "b_label"])
         yield pa.RecordBatch.from_arrays(
             [*kept.columns, pa.array(like, pa.float64())], names=[*kept.schema.names, "likeness"]
@@ -224,31 +242,30 @@ def _central(members: DataFrame) -> DataFrame:
     return members.join(central, "node")
 
 
+def _open(members: DataFrame) -> DataFrame:
+    """``members`` of buckets that several components meet in, with the bucket's largest: ``main``."""
+    parts = members.groupBy("band", "value", "label").agg(F.count("*").alias("c"))
+    open_ = parts.groupBy("band", "value").agg(
+        F.max(F.struct("c", "label"))["label"].alias("main"), F.count("*").alias("parts")
+    )
+    return members.join(open_.where("parts > 1"), ["band", "value"])
+
+
 def _pairs(members: DataFrame, number: int) -> DataFrame:
     """Members of unsettled buckets next to the pivots of their bucket, where the components differ
     and the sketches agree enough. After round 0 the members of a bucket's largest component are met
     by the others only, as pivots.
 
     ``members``: node, sketch, label, band, value, n, central. Round 0 has one pivot per bucket, the
-    most central text; later ones have ``PIVOTS``, in an order of the round's own. These are all of a
-    bucket's members where it has no more, so that only larger ones go on after round 1. Pivots are
-    picked before any join, and what a bucket adds is linear in its members.
+    most central text; in round 1 all members are pivots, in buckets of up to ``PIVOTS``. Larger ones
+    go on in ``_rest``.
     """
-    bucket = W.partitionBy("band", "value")
-    if number > 1:
-        members = members.where(F.col("n") > PIVOTS)
     if number == 0:
         left = members
-        order = [F.desc("central"), "node"]
+        place = F.row_number().over(W.partitionBy("band", "value").orderBy(F.desc("central"), "node"))
+        pivots = left.withColumn("place", place).where("place = 1")
     else:
-        parts = members.groupBy("band", "value", "label").agg(F.count("*").alias("c"))
-        open_ = parts.groupBy("band", "value").agg(
-            F.max(F.struct("c", "label"))["label"].alias("main"), F.count("*").alias("parts")
-        )
-        left = members.join(open_.where("parts > 1"), ["band", "value"])
-        order = [F.xxhash64("node", "band", F.lit(number))]
-    place = F.row_number().over(bucket.orderBy(*order))
-    pivots = left.withColumn("place", place).where(F.col("place") <= (PIVOTS if number else 1))
+        left = pivots = _open(members.where(F.col("n") <= PIVOTS))
     p = pivots.select(
         F.col("band").alias("p_band"),
         F.col("value").alias("p_value"),
@@ -259,7 +276,11 @@ def _pairs(members: DataFrame, number: int) -> DataFrame:
     same = (F.col("band") == F.col("p_band")) & (F.col("value") == F.col("p_value"))
     near = _agreeing("sketch", "p_sketch") >= AGREEING
     outside = left if number == 0 else left.where(F.col("label") != F.col("main"))
-    met = outside.join(p, same & (F.col("label") != F.col("p_label")) & near)
+    return _ordered(outside.join(p, same & (F.col("label") != F.col("p_label")) & near))
+
+
+def _ordered(met: DataFrame) -> DataFrame:
+    """Each pair (node, p) once, smaller node first."""
     first = F.col("node") < F.col("p")
     return met.select(
         F.when(first, F.col("node")).otherwise(F.col("p")).alias("a"),
@@ -269,6 +290,74 @@ def _pairs(members: DataFrame, number: int) -> DataFrame:
     ).distinct()
 
 
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, element, weight, mass, kinds) of (node, text): all weights and all elements of it."""
+    for batch in T.slices(batches):
+        words = T.words_of(batch)
+        hashes = words.hashes()
+        for i in range(batch.num_rows):
+            elements, weights = shingles(words, hashes, i)
+            n = len(elements)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([batch.column("node")[i].as_py()] * n, pa.binary()),
+                    pa.array(elements.view(np.int64)),
+                    pa.array(weights.astype(np.int64)),
+                    pa.array(np.full(n, weights.sum(), np.int64)),
+                    pa.array(np.full(n, n, np.int64)),
+                ],
+                names=["node", "element", "weight", "mass", "kinds"],
+            )
+
+
+def _rest(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of different components in buckets of more than ``PIVOTS`` nodes, all that can reach
+    ``SIMILARITY`` t among those whose sketches agree enough.
+
+    With shares a and b of two texts' weights on common elements, J is 1 / (1/a + 1/b - 1) at most
+    (and is that for the plain similarity, with shares of the distinct elements). So where it reaches
+    t, both shares reach t and one reaches 2t / (1 + t). In any common order of elements, the first
+    common one then has at least that share of its text at and after it. Rare elements come first, so
+    that what a template's texts all have in common brings together only those near t. An element of
+    one text alone is in no pair and only takes its place in the order.
+    """
+    left = _open(members.where(F.col("n") > PIVOTS))
+    nodes = materialize(
+        left.groupBy("node").agg(
+            F.first("label").alias("label"),
+            F.first("sketch").alias("sketch"),
+            F.max(F.col("label") != F.col("main")).alias("outside"),
+        ),
+        "apart",
+    )
+    own = texts.join(nodes.select("node"), "node").select("node", "text").mapInArrow(
+        _elements, "node binary, element long, weight long, mass long, kinds long"
+    )
+    own = materialize(own, "elements")
+    common = own.groupBy("element").agg(F.count("*").alias("df")).where("df > 1")
+    behind = W.partitionBy("node").orderBy("df", "element").rowsBetween(0, W.unboundedFollowing)
+    share = F.greatest(
+        F.sum("weight").over(behind) / F.col("mass"), F.count("*").over(behind) / F.col("kinds")
+    )
+    prefix = (
+        own.join(common, "element")
+        .withColumn("share", share + 1e-9)
+        .where(F.col("share") >= SIMILARITY)
+        .select("node", "element", (F.col("share") >= 2 * SIMILARITY / (1 + SIMILARITY)).alias("short"))
+    )
+    prefix = materialize(prefix.join(nodes, "node"), "prefixes")
+    p = prefix.select(
+        F.col("element").alias("p_element"),
+        F.col("short").alias("p_short"),
+        F.col("node").alias("p"),
+        F.col("label").alias("p_label"),
+        F.col("sketch").alias("p_sketch"),
+    )
+    same = (F.col("element") == F.col("p_element")) & (F.col("short") | F.col("p_short"))
+    near = _agreeing("sketch", "p_sketch") >= AGREEING
+    return _ordered(prefix.where("outside").join(p, same & (F.col("label") != F.col("p_label")) & near))
+
+
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, text) for (node, owner): one text per node, that of the row with the owner's id."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -315,16 +404,13 @@ def classes(docs: DataFrame) -> DataFrame:
     members = materialize(_central(members).withColumn("label", F.col("node")), "members")
     wanted = materialize(owners.join(members.select("node").distinct(), "node"), "wanted")
     texts = materialize(_texts(docs, wanted), "texts")
-    degrees, compared, number = [], None, 0
-    while True:
-        pairs = _pairs(members, number)
+    degrees, compared = [], None
+    for number in range(3):
+        pairs = _pairs(members, number) if number < 2 else _rest(members, texts)
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         if pairs.isEmpty():
-            if number:
-                break
-            number += 1
             continue
         links = materialize(_links(texts, pairs), "links")
         if not links.isEmpty():
@@ -337,11 +423,8 @@ def classes(docs: DataFrame) -> DataFrame:
                 .drop("to"),
                 "members",
             )
-        elif number > 1:
-            break
         done = pairs.select("a", "b")
         compared = done if compared is None else compared.unionByName(done)
-        number += 1
     labels = members.select("node", "label").distinct()
     named = owners.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     rank = F.struct(F.col("owner").isNull().alias("none"), "owner", "node")

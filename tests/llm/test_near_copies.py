@@ -123,6 +123,23 @@ def test_one_big_group(table):
     assert {r.class_id for r in got} == {0}
 
 
+def family(n, pairs):
+    """Texts of one template, J 0.77 to each other, and a text at 0.81 for each number in ``pairs``."""
+    base, texts = prose.text(200, 7, 100_000).split(" "), []
+    for i in range(n):
+        texts.append([*base[:90], *(f"own{i}x{k}" for k in range(21)), *base[111:]])
+    texts += [[*texts[i][:95], *(f"new{i}x{k}" for k in range(16)), *base[111:]] for i in pairs]
+    return [" ".join(t) for t in texts]
+
+
+def test_large_bucket_of_many_components(table, monkeypatch):
+    """Hundreds of nodes in a bucket, nearly all of them in components of their own."""
+    monkeypatch.setattr(P, "PIVOTS", 1)
+    rows = [(i, t, "en", "a") for i, t in enumerate(family(300, range(0, 300, 6)))]
+    got = P.near_copies(table(rows)).collect()
+    assert sorted((r.doc_id, r.class_id) for r in got) == brute(rows)
+
+
 def test_hostile(hostile, nothing):
     got = P.near_copies(hostile)
     assert got.count() == hostile.count()

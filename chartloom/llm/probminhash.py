@@ -13,7 +13,7 @@ Equal texts (same words) become one node first. Nodes that share a band are cand
 compared, on whole texts, with the most central text of its bucket. A pair is linked where the exact
 J, or the exact Jaccard similarity of the distinct elements, reaches 0.8; pairs whose registers agree
 far too little for that are not fetched. Only buckets whose members are then still in different
-components go on: buckets of up to 16 members in full, larger ones by a prefix filter (see ``_rest``),
+components go on: buckets of up to 64 members in full, larger ones by a prefix filter (see ``_rest``),
 which meets every pair that can reach 0.8. Members of one component are never compared again, so copies are not expanded
 into pairs. Classes are the components of the links.
 
@@ -44,10 +44,10 @@ SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 REGISTERS = BANDS * ROWS
 #: Nodes of a bucket up to which all its pairs are compared; larger ones go through a prefix filter.
-PIVOTS = 16
+PIVOTS = 64
 #: Of the 64 registers, how many must agree in their last byte for a pair to be compared. At a
-#: similarity of 0.8 fewer do with a chance of one in 2 000.
-AGREEING = 40
+#: similarity of 0.8 fewer do with a chance of four in a million.
+AGREEING = 36
 #: Elements of texts that a verifying task keeps at hand, as a pivot meets many texts.
 RECENT_BYTES = 32 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)

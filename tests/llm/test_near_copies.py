@@ -140,6 +140,17 @@ def test_large_bucket_of_many_components(table, monkeypatch):
     assert sorted((r.doc_id, r.class_id) for r in got) == brute(rows)
 
 
+def test_pairs_of_a_bucket_of_forty(spark):
+    """All pairs are met, also where 38 of 64 registers agree."""
+    rows = []
+    for i in range(40):
+        own = np.full(P.REGISTERS, 0, np.uint8)
+        own[38:] = i + 1
+        rows.append((bytes([i]), own.view(np.int64).tolist(), bytes([i]), 0, 1, 40, 40))
+    kind = "node binary, sketch array<bigint>, label binary, band int, value long, n long, central long"
+    assert P._pairs(spark.createDataFrame(rows, kind), 1).count() == 40 * 39 // 2
+
+
 def test_hostile(hostile, nothing):
     got = P.near_copies(hostile)
     assert got.count() == hostile.count()

@@ -9,6 +9,10 @@ register with the probability Jaccard similarity
 
     J = sum over common d of 1 / sum over d' of max(x[d'] / x[d], y[d'] / y[d]).
 
+That can be far below the plain Jaccard similarity of the distinct elements where one element occurs
+very often, so a text with repeated elements has a second signature, with all weights 1. Both cut into
+bands of the same kind, as without repeated elements the two are the same.
+
 Equal texts (same words) become one node first. Nodes that share a band are candidates; each is
 compared, on whole texts, with the most central text of its bucket. A pair is linked where the exact
 J, or the exact Jaccard similarity of the distinct elements, reaches 0.8; pairs whose registers agree
@@ -126,6 +130,13 @@ def _agreeing(a: str, b: str) -> Column:
     return F.expr(f"{REGISTERS} - ({' + '.join(differing(i) for i in range(REGISTERS // 8))})")
 
 
+def _near() -> Column:
+    """Whether the sketches of either similarity agree enough; ``plain`` is null where it is the same."""
+    plain = _agreeing("coalesce(plain, sketch)", "coalesce(p_plain, p_sketch)") >= AGREEING
+    other = F.col("plain").isNotNull() | F.col("p_plain").isNotNull()
+    return (_agreeing("sketch", "p_sketch") >= AGREEING) | (other & plain)
+
+
 def _digest(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
@@ -145,17 +156,22 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in T.slices(batches):
         words = T.words_of(batch)
         hashes, first = words.hashes(), words.first
-        nodes, found, sketches = [], [], []
+        nodes, found, sketches, plains = [], [], [], []
         for i in range(batch.num_rows):
             nodes.append(_digest(hashes[first[i] : first[i + 1]]))
             elements, weights = shingles(words, hashes, i)
             owner = signature(elements, weights) if len(elements) else None
             found.append([] if owner is None else bands(owner).tolist())
             sketches.append([] if owner is None else sketch(owner).tolist())
-        lists = [pa.array(x, pa.list_(pa.int64())) for x in (found, sketches)]
+            plains.append(None)
+            if owner is not None and weights.max() > 1:
+                plain = signature(elements, np.ones_like(weights))
+                found[-1] += bands(plain).tolist()
+                plains[-1] = sketch(plain).tolist()
+        lists = [pa.array(x, pa.list_(pa.int64())) for x in (found, sketches, plains)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(nodes, pa.binary()), *lists],
-            names=["doc_id", "node", "bands", "sketch"],
+            names=["doc_id", "node", "bands", "sketch", "plain"],
         )
 
 
@@ -229,8 +245,9 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shared(found: DataFrame) -> DataFrame:
-    """(node, sketch, band, value, n) of all bands that several nodes have in common: ``n``."""
-    banded = found.select("node", "sketch", F.posexplode("bands").alias("band", "value")).distinct()
+    """(node, sketch, plain, band, value, n) of all bands that several nodes have in common: ``n``."""
+    banded = found.select("node", "sketch", "plain", F.posexplode("bands").alias("band", "value"))
+    banded = banded.withColumn("band", F.col("band") % BANDS).distinct()
     common = banded.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
     return banded.join(common, ["band", "value"])
 
@@ -256,7 +273,7 @@ def _pairs(members: DataFrame, number: int) -> DataFrame:
     and the sketches agree enough. After round 0 the members of a bucket's largest component are met
     by the others only, as pivots.
 
-    ``members``: node, sketch, label, band, value, n, central. Round 0 has one pivot per bucket, the
+    ``members``: node, sketch, plain, label, band, value, n, central. Round 0 has one pivot per bucket, the
     most central text; in round 1 all members are pivots, in buckets of up to ``PIVOTS``. Larger ones
     go on in ``_rest``.
     """
@@ -272,11 +289,11 @@ def _pairs(members: DataFrame, number: int) -> DataFrame:
         F.col("node").alias("p"),
         F.col("label").alias("p_label"),
         F.col("sketch").alias("p_sketch"),
+        F.col("plain").alias("p_plain"),
     )
     same = (F.col("band") == F.col("p_band")) & (F.col("value") == F.col("p_value"))
-    near = _agreeing("sketch", "p_sketch") >= AGREEING
     outside = left if number == 0 else left.where(F.col("label") != F.col("main"))
-    return _ordered(outside.join(p, same & (F.col("label") != F.col("p_label")) & near))
+    return _ordered(outside.join(p, same & (F.col("label") != F.col("p_label")) & _near()))
 
 
 def _ordered(met: DataFrame) -> DataFrame:
@@ -326,6 +343,7 @@ def _rest(members: DataFrame, texts: DataFrame) -> DataFrame:
         left.groupBy("node").agg(
             F.first("label").alias("label"),
             F.first("sketch").alias("sketch"),
+            F.first("plain").alias("plain"),
             F.max(F.col("label") != F.col("main")).alias("outside"),
         ),
         "apart",
@@ -352,10 +370,10 @@ def _rest(members: DataFrame, texts: DataFrame) -> DataFrame:
         F.col("node").alias("p"),
         F.col("label").alias("p_label"),
         F.col("sketch").alias("p_sketch"),
+        F.col("plain").alias("p_plain"),
     )
     same = (F.col("element") == F.col("p_element")) & (F.col("short") | F.col("p_short"))
-    near = _agreeing("sketch", "p_sketch") >= AGREEING
-    return _ordered(prefix.where("outside").join(p, same & (F.col("label") != F.col("p_label")) & near))
+    return _ordered(prefix.where("outside").join(p, same & (F.col("label") != F.col("p_label")) & _near()))
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -392,7 +410,7 @@ def classes(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = materialize(
         docs.select("doc_id", "text").mapInArrow(
-            _signatures, f"doc_id {kind}, node binary, bands array<bigint>, sketch array<bigint>"
+            _signatures, f"doc_id {kind}, node binary, bands array<bigint>, sketch array<bigint>, plain array<bigint>"
         ),
         "signatures",
     )

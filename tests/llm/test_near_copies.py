@@ -137,7 +137,18 @@ def test_large_bucket_of_many_components(table, monkeypatch):
     monkeypatch.setattr(P, "PIVOTS", 1)
     rows = [(i, t, "en", "a") for i, t in enumerate(family(300, range(0, 300, 6)))]
     got = P.near_copies(table(rows)).collect()
+    want = {300 + k: i for k, i in enumerate(range(0, 300, 6))}
+    assert {r.doc_id: r.class_id for r in got} == {i: want.get(i, i) for i in range(len(rows))}
+
+
+def test_much_repeated_phrase(table):
+    """Plain similarity 0.95, weighted one 0.25."""
+    texts = [prose.text(200, i, 100_000) for i in range(8)]
+    texts += [f"{t} {' '.join(prose.words(6, 50 + i) * 100)}" for i, t in enumerate(texts)]
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    got = P.near_copies(table(rows)).collect()
     assert sorted((r.doc_id, r.class_id) for r in got) == brute(rows)
+    assert {r.class_size for r in got} == {2}
 
 
 def test_pairs_of_a_bucket_of_forty(spark):
@@ -146,8 +157,8 @@ def test_pairs_of_a_bucket_of_forty(spark):
     for i in range(40):
         own = np.full(P.REGISTERS, 0, np.uint8)
         own[38:] = i + 1
-        rows.append((bytes([i]), own.view(np.int64).tolist(), bytes([i]), 0, 1, 40, 40))
-    kind = "node binary, sketch array<bigint>, label binary, band int, value long, n long, central long"
+        rows.append((bytes([i]), own.view(np.int64).tolist(), None, bytes([i]), 0, 1, 40, 40))
+    kind = "node binary, sketch array<bigint>, plain array<bigint>, label binary, band int, value long, n long, central long"
     assert P._pairs(spark.createDataFrame(rows, kind), 1).count() == 40 * 39 // 2
 
 

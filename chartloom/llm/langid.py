@@ -198,18 +198,27 @@ def probabilities(model: Model, words: T.Words) -> np.ndarray:
 
 
 def sample(docs: DataFrame) -> DataFrame:
-    """doc_id, lang and text of the bounded sample; ids are chosen before texts are moved."""
+    """doc_id, lang and text of the bounded sample; ids are chosen before texts are moved. Repeated
+    rows count once, and an id's further texts come after the first ones of all ids."""
     known = F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     able = docs.where(known & F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
     order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
         able.select("doc_id", "lang")
+        .distinct()
         .withColumn("n", F.row_number().over(order))
         .where(F.col("n") <= PER_LANG)
         .select("doc_id", "lang")
-        .distinct()
     )
-    return able.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    found = able.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).distinct()
+    place = F.row_number().over(W.partitionBy("lang", "doc_id").orderBy("text"))
+    again = W.partitionBy("lang").orderBy("place", F.xxhash64("doc_id"), "doc_id", "text")
+    return (
+        found.withColumn("place", place)
+        .withColumn("n", F.row_number().over(again))
+        .where(F.col("n") <= PER_LANG)
+        .select("doc_id", "lang", "text")
+    )
 
 
 def fit(docs: DataFrame) -> Model:

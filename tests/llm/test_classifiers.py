@@ -131,3 +131,11 @@ def test_hostile(spark, hostile, nothing, table):
         assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
     assert all(r.predicted == 0 for r in toxicity.report(hostile, none).collect())
     assert toxicity.report(nothing, some).count() == 0
+
+
+def test_one_repeated_id_does_not_fill_the_sample(table, monkeypatch):
+    monkeypatch.setattr(langid, "PER_LANG", 5)
+    ids = [(i, f"text {i}", "en", "a") for i in range(60)]
+    rows = [row for row in ids for _ in range(40)]
+    got = langid.sample(table(rows)).collect()
+    assert len(got) == len({r.doc_id for r in got}) == 5

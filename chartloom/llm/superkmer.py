@@ -210,9 +210,21 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _once(keyed: DataFrame) -> DataFrame:
+    """One row per (doc, version); only keys that several rows have are grouped with their texts."""
+    key = ["doc", "version"]
+    again = materialize(keyed.groupBy(key).count().where("count > 1").select(key), "repeated")
+    if again.isEmpty():
+        return keyed
+    one = keyed.join(again, key, "left_semi").groupBy(key).agg(F.first("text").alias("text"))
+    return keyed.join(again, key, "left_anti").unionByName(one)
+
+
 def stretches(docs: DataFrame) -> DataFrame:
     """(doc, version, gone): for each text that loses words, the stretches [start, stop) of word
-    numbers, in no order and possibly overlapping. ``docs`` has doc, version and text."""
+    numbers, in no order and possibly overlapping. ``docs`` has doc, version and text. Repeated rows
+    have the same stretches and are cut once, so that no bucket grows with them."""
+    docs = _once(docs)
     thin = materialize(
         docs.mapInArrow(
             _thin, "doc long, version long, minimiser long, start int, size int"

@@ -72,3 +72,9 @@ def test_hostile(hostile, nothing):
     assert got.count() == hostile.count()
     assert K.remove_repeats(hostile).columns == hostile.columns
     assert K.report(nothing).count() == K.remove_repeats(nothing).count() == 0
+
+
+def test_repeated_rows_are_cut_once(table):
+    rows = [(None, "the same text", "en", "a")] * 50 + [(1, "the same text", "en", "a"), (2, None, "en", "a"), (2, None, "en", "a")]
+    once = K._once(K._keyed(table(rows)).select("doc", "version", "text"))
+    assert sorted((r.doc == 1, r.text or "") for r in once.collect()) == [(False, ""), (False, "the same text"), (True, "the same text")]

@@ -91,8 +91,39 @@ SELECT conv_id, count(*) AS n_turns,
        count(*) FILTER (ends_example) AS n_examples
 FROM running GROUP BY conv_id"""
 
+SEARCH = r"""
+WITH given AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+occurring AS (
+  SELECT rid, doc_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM given),
+counted AS (SELECT rid, doc_id, term, count(*) AS tf FROM occurring GROUP BY ALL),
+lengths AS (SELECT rid, count(*) AS n FROM occurring GROUP BY rid),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, totals GROUP BY term),
+items AS (SELECT row_number() OVER () AS item, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+asked AS (
+  SELECT DISTINCT item, item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM items),
+scored AS (
+  SELECT item, item_id, c.rid, c.doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked a JOIN counted c ON c.term = a.term JOIN weights ON weights.term = c.term
+       JOIN lengths ON lengths.rid = c.rid, totals
+  GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
 SQL = {
     "op2_quality_rules": QUALITY,
     "op7_super_kmers": REPEATS,
     "op9_prefix_targets": CHAT,
+    "op11_bit_sliced_search": SEARCH,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chartloom.llm import chat, imatch, langid, mixing, packing, pieces, probminhash, quality, superkmer, toxicity
+from chartloom.llm import bitslices, chat, imatch, langid, mixing, packing, pieces, probminhash, quality, superkmer, toxicity
 from chartloom.llm.cluster import ship
 from chartloom.llm.oracles import SQL  # noqa: F401
 
@@ -63,6 +63,10 @@ def op10_recurrent_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(_table(spark, sf_dir, "documents"))
 
 
+def op11_bit_sliced_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslices.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_packed_ids": op1_packed_ids,
     "op2_quality_rules": op2_quality_rules,
@@ -74,4 +78,5 @@ QUERIES = {
     "op8_convolutional_toxicity": op8_convolutional_toxicity,
     "op9_prefix_targets": op9_prefix_targets,
     "op10_recurrent_language_id": op10_recurrent_language_id,
+    "op11_bit_sliced_search": op11_bit_sliced_search,
 }

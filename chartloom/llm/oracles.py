@@ -121,9 +121,36 @@ ranked AS (
   FROM scored WHERE score > 0)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
 
+JACCARD = r"""
+WITH RECURSIVE given AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+split AS (
+  SELECT rid, doc_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS words
+  FROM given),
+shingles AS (
+  SELECT DISTINCT rid, array_to_string(words[i:i + 2], ' ') AS s
+  FROM (SELECT rid, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM split WHERE len(words) > 0)),
+sizes AS (SELECT rid, count(*) AS n FROM shingles GROUP BY rid),
+pairs AS (
+  SELECT a.rid AS x, b.rid AS y, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.rid < b.rid GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.rid = x JOIN sizes q ON q.rid = y
+  WHERE 100 * shared >= 90 * (p.n + q.n - shared)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (
+  SELECT rid AS start, rid AS at FROM split
+  UNION SELECT start, y FROM reached JOIN ways ON x = at),
+least AS (
+  SELECT start, min(doc_id) AS component_id FROM reached JOIN split ON rid = at GROUP BY start)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM split LEFT JOIN sizes ON sizes.rid = split.rid JOIN least ON start = split.rid"""
+
 SQL = {
     "op2_quality_rules": QUALITY,
     "op7_super_kmers": REPEATS,
     "op9_prefix_targets": CHAT,
     "op11_bit_sliced_search": SEARCH,
+    "op12_token_combinations": JACCARD,
 }

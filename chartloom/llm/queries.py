@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chartloom.llm import bitslices, chat, imatch, langid, mixing, packing, pieces, probminhash, quality, superkmer, toxicity
+from chartloom.llm import bitslices, chat, combinations, imatch, langid, mixing, packing, pieces, probminhash, quality, superkmer, toxicity, whitening
 from chartloom.llm.cluster import ship
 from chartloom.llm.oracles import SQL  # noqa: F401
 
@@ -67,6 +67,15 @@ def op11_bit_sliced_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslices.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_token_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = combinations.join(_table(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
+def op13_qd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_packed_ids": op1_packed_ids,
     "op2_quality_rules": op2_quality_rules,
@@ -79,4 +88,6 @@ QUERIES = {
     "op9_prefix_targets": op9_prefix_targets,
     "op10_recurrent_language_id": op10_recurrent_language_id,
     "op11_bit_sliced_search": op11_bit_sliced_search,
+    "op12_token_combinations": op12_token_combinations,
+    "op13_qd_whitening": op13_qd_whitening,
 }

@@ -19,8 +19,10 @@ with the prefix and not with its square; sizes are bracketed by powers of two fo
 near the end of a bracket signs in the next as well.
 
 Members of a signature are compared with the one of them that lacks least; what is then still in different
-components, and can link by size and by the elements it shares, is compared in full.
-Comparing is exact, on whole sets. Shingles are told apart by 64 bits.
+components is compared in full, where it can link by size, by the elements it shares with any set, and
+by a bitmap that says of how many elements, at least, two sets differ. None of these leaves out a pair
+that links. Of two sets the one that is not larger has the signature in a shorter prefix, as it must
+have more in common with the other. Comparing is exact, on whole sets. Shingles are told apart by 64 bits.
 
 Nulls: a null text has no elements and links with nothing, like a text without words; its component is
 its own id. A null doc_id is carried and names no component that has another id. Repeated rows are
@@ -30,12 +32,12 @@ equal sets. An empty table gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations as choose
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.llm import text as T
@@ -51,6 +53,8 @@ SAMPLE = 0.2
 CLASSES = ((32, 1), (4096, 2), (1 << 62, 3))
 #: Elements of a set for each group of a class; sets of fewer than ``SINGLE`` have single tokens only.
 GROUP, SINGLE = 32, 16
+#: Bits of the parity bitmaps that tell sets apart before they are compared.
+PARITY_BITS = 512
 _GOLD = 0x9E3779B97F4A7C15
 #: In the sieves two elements may pass for one, that only keeps more.
 _SHORT = np.uint64((1 << 48) - 1)
@@ -134,12 +138,13 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return noded.join(w, same).groupBy("num").agg(F.first("text").alias("text"))
 
 
-def _sieve(sets: DataFrame) -> DataFrame:
+def _sieve(sets: DataFrame, *of_element: str) -> DataFrame:
     """(num, n, found) of the ``sets`` (num, n, elements) whose elements but the few that may be missing
-    occur in another set; ``found``: these elements and how many sets have them."""
+    occur in another set; ``found``: these elements, and how many sets have them if that is asked for."""
     flat = sets.select("num", F.explode("elements").alias("element"))
     common = materialize(flat.groupBy("element").agg(F.count("*").alias("df")).where("df > 1"), "common")
-    found = flat.join(common, "element").groupBy("num").agg(F.collect_list(F.struct("df", "element")).alias("found"))
+    wanted = F.struct(*of_element) if of_element else F.col("element")
+    found = flat.join(common, "element").groupBy("num").agg(F.collect_list(wanted).alias("found"))
     least = F.ceil(F.col("n") * SIMILARITY / 100)
     return sets.select("num", "n").join(found, "num").where(F.size("found") >= least)
 
@@ -149,12 +154,12 @@ def brackets(n: int) -> list[int]:
     return sorted({n.bit_length() - 1, (n * 100 // SIMILARITY).bit_length() - 1})
 
 
-def groups(elements: np.ndarray, df: np.ndarray, bracket: int) -> tuple[np.ndarray, np.ndarray]:
+def groups(elements: np.ndarray, df: np.ndarray, bracket: int, classes=CLASSES) -> tuple[np.ndarray, np.ndarray]:
     """Tokens in a signature of each element, and its group; a rare element is in no group."""
     if 1 << bracket < SINGLE:
         return np.ones(len(df), np.int64), np.zeros(len(df), np.int64)
-    kind = np.searchsorted([most for most, _ in CLASSES], df)
-    k = np.array([size for _, size in CLASSES])[kind]
+    kind = np.searchsorted([most for most, _ in classes], df)
+    k = np.array([size for _, size in classes])[kind]
     parts = max(1, (1 << bracket) // GROUP)
     return k, kind * parts + (T.mix(elements) % np.uint64(parts)).astype(np.int64)
 
@@ -170,59 +175,91 @@ def prefix(k: np.ndarray, group: np.ndarray, need: int) -> int:
     return min(len(k), int(np.searchsorted(counted, need)) + 1)
 
 
-def signatures(elements: np.ndarray, df: np.ndarray, n: int) -> np.ndarray:
-    """Signatures of a set of ``n`` elements, of which ``elements`` occur in ``df`` sets each, several.
-    Those of one set alone come first in the order; if they are too many, there is no signature."""
-    need = may_lack(n) + 1 - (n - len(elements))
+def least_common(n: int, larger: bool) -> int:
+    """How many of its ``n`` elements a set has in common with any partner it links with, at least; more
+    if the partner is not smaller."""
+    return -(-n * 2 * SIMILARITY // (100 + SIMILARITY)) if larger else -(-n * SIMILARITY // 100)
+
+
+def signatures(elements: np.ndarray, df: np.ndarray, n: int, classes=CLASSES) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of a set of ``n`` elements, of which ``elements`` occur in ``df`` sets each, several,
+    and which of them meet partners that are not smaller: the prefix for these is shorter.
+
+    Elements of one set alone come first in the order; if they are too many, there is no signature.
+    """
+    unique = n - len(elements)
+    need, short_need = (n - least_common(n, larger) + 1 - unique for larger in (False, True))
     if need <= 0:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0, bool)
     order = np.lexsort((elements, df))
     elements, df = elements[order], df[order]
-    out = []
+    made, short = [], []
     for bracket in brackets(n):
-        k, group = groups(elements, df, bracket)
+        k, group = groups(elements, df, bracket, classes)
         to = prefix(k, group, need)
+        short_to = prefix(k, group, short_need) if short_need > 0 else 0
         salt = np.uint64((bracket + 1) * _GOLD & 0xFFFFFFFFFFFFFFFF)
         own = T.mix(elements[:to] ^ salt)
-        out.append(own[k[:to] == 1])
-        for g in np.unique(group[:to][k[:to] > 1]):
-            at = np.flatnonzero((group[:to] == g) & (k[:to] > 1))
+        for g in np.unique(group[:to]):
+            at = np.flatnonzero(group[:to] == g)
             size = int(k[at[0]])
-            if len(at) >= size:
-                chosen = np.array(list(choose(own[at].tolist(), size)), np.uint64)
-                value = np.zeros(len(chosen), np.uint64)
-                for column in chosen.T:
-                    value = T.mix((value ^ column) * np.uint64(_GOLD))
-                out.append(value)
-    return np.unique(np.concatenate(out))
-
-
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(signature, num, n, common) of (num, n, found)."""
-    for batch in batches:
-        found = batch.column("found")
-        df, elements = (found.values.field(c).to_numpy(False) for c in ("df", "element"))
-        ends = found.offsets.to_numpy()
-        for i in range(batch.num_rows):
-            own = slice(ends[i], ends[i + 1])
-            n = batch.column("n")[i].as_py()
-            made = signatures(elements[own].view(np.uint64), df[own], n)
-            fixed = (np.full(len(made), x, np.int64) for x in (batch.column("num")[i].as_py(), n, ends[i + 1] - ends[i]))
-            columns = [pa.array(made.view(np.int64)), *(pa.array(x) for x in fixed)]
-            yield pa.RecordBatch.from_arrays(columns, names=["signature", "num", "n", "common"])
-
-
-def _can_link(n, common, p_n, p_common):
-    """Whether two sizes, and the elements that each shares with any set, allow enough common ones."""
-    most = F.least(common, p_common)
-    return F.lit(100) * most >= F.lit(SIMILARITY) * (n + p_n - most)
+            if len(at) < size:
+                continue
+            chosen = np.array(list(choose(at.tolist(), size)), np.int64)
+            value = np.zeros(len(chosen), np.uint64)
+            for column in chosen.T:
+                value = T.mix((value ^ own[column]) * np.uint64(_GOLD))
+            made.append(value)
+            short.append(chosen[:, -1] < short_to)
+    made, short = np.concatenate(made), np.concatenate(short)
+    order = np.lexsort((~short, made))
+    first = np.append(True, made[order][1:] != made[order][:-1])
+    return made[order][first], short[order][first]
+
+
+def parity(elements: np.ndarray) -> np.ndarray:
+    """Of each of ``PARITY_BITS`` bits whether an odd number of elements falls on it. Two sets' bits differ
+    in no more places than their elements do."""
+    fallen = np.bincount((T.mix(elements ^ np.uint64(_GOLD)) % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits((fallen & 1).astype(bool)).view(np.int64)
+
+
+def _signed(classes) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(signature, short, num, n, common, bits) of (num, n, found)."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column("found")
+            df, elements = (found.values.field(c).to_numpy(False) for c in ("df", "element"))
+            ends = found.offsets.to_numpy()
+            for i in range(batch.num_rows):
+                own = slice(ends[i], ends[i + 1])
+                num, n = (batch.column(c)[i].as_py() for c in ("num", "n"))
+                keys = elements[own].view(np.uint64)
+                made, short = signatures(keys, df[own], n, classes)
+                fixed = (np.full(len(made), x, np.int64) for x in (num, n, len(keys)))
+                bits = pa.array([parity(keys)] * len(made), pa.list_(pa.int64()))
+                columns = [pa.array(made.view(np.int64)), pa.array(short), *(pa.array(x) for x in fixed), bits]
+                yield pa.RecordBatch.from_arrays(columns, names=["signature", "short", "num", "n", "common", "bits"])
+
+    return sign
+
+
+def _can_link() -> Column:
+    """Whether two sizes, the elements that each shares with any set and the bits that differ allow
+    enough common ones."""
+    differing = sum(F.bit_count(F.get("bits", F.lit(i)).bitwiseXOR(F.get("p_bits", F.lit(i)))) for i in range(PARITY_BITS // 64))
+    most = F.least(F.col("common"), F.col("p_common"), F.floor((F.col("common") + F.col("p_common") - differing) / 2))
+    return F.lit(100) * most >= F.lit(SIMILARITY) * (F.col("n") + F.col("p_n") - most)
 
 
 def _met(members: DataFrame, others: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a signature in different components that can link, smaller number first."""
-    p = others.select("signature", *(F.col(c).alias(f"p_{c}") for c in ("num", "n", "common", "label")))
+    """Pairs (a, b) of a signature in different components that can link, smaller number first. The one
+    that is not larger has the signature in its shorter prefix."""
+    p = others.select("signature", *(F.col(c).alias(f"p_{c}") for c in ("num", "n", "short", "common", "bits", "label")))
+    short = (F.col("short") & (F.col("n") <= F.col("p_n"))) | (F.col("p_short") & (F.col("p_n") <= F.col("n")))
     joined = members.join(p, "signature").where(
-        (F.col("label") != F.col("p_label")) & _can_link(*(F.col(c) for c in ("n", "common", "p_n", "p_common")))
+        (F.col("label") != F.col("p_label")) & short & _can_link()
     )
     return joined.select(
         F.least("num", "p_num").alias("a"), F.greatest("num", "p_num").alias("b")
@@ -231,7 +268,7 @@ def _met(members: DataFrame, others: DataFrame) -> DataFrame:
 
 def _pivots(members: DataFrame) -> DataFrame:
     """Of each signature the member with the fewest elements that no other set has."""
-    first = F.struct(F.col("n") - F.col("common"), "num", "n", "common", "label")
+    first = F.struct(F.col("n") - F.col("common"), "num", "n", "short", "common", "bits", "label")
     return members.groupBy("signature").agg(F.min(first).alias("p")).select("signature", "p.*")
 
 
@@ -255,7 +292,7 @@ def _links(sets: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _merge(sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """(num, label) of sets that link with others, and the links found on the way."""
-    signed = sets.select("num", "n", "found").mapInArrow(_signed, "signature long, num long, n long, common long")
+    signed = sets.select("num", "n", "found").mapInArrow(_signed(CLASSES), "signature long, short boolean, num long, n long, common long, bits array<bigint>")
     signed = materialize(signed, "signed")
     several = signed.groupBy("signature").agg(F.count("*").alias("c")).where("c > 1").select("signature")
     members = materialize(signed.join(several, "signature").withColumn("label", F.col("num")), "members")
@@ -293,8 +330,8 @@ def join(docs: DataFrame) -> DataFrame:
     wanted = materialize(wanted, "wanted")
     own = _texts(docs, wanted).mapInArrow(_elements, "num long, elements array<bigint>")
     sets = materialize(own.withColumn("n", F.size("elements").cast("long")), "sets")
-    sets = materialize(_sieve(sets), "sieved").select("num", "n", F.col("found.element").alias("elements"))
-    sets = materialize(_sieve(sets), "sieved")
+    sets = materialize(_sieve(sets), "sieved").withColumnRenamed("found", "elements")
+    sets = materialize(_sieve(sets, "df", "element"), "sieved")
     merged, links = _merge(sets)
     if merged is None:
         named = owners.select("node", F.col("owner").alias("component_id"), F.lit(0).cast("long").alias("n_links"))

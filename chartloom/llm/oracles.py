@@ -140,12 +140,12 @@ links AS (
   WHERE 100 * shared >= 90 * (p.n + q.n - shared)),
 ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reached AS (
-  SELECT rid AS start, rid AS at FROM split
-  UNION SELECT start, y FROM reached JOIN ways ON x = at),
+  SELECT rid AS origin, rid AS place FROM split
+  UNION SELECT origin, y FROM reached JOIN ways ON x = place),
 least AS (
-  SELECT start, min(doc_id) AS component_id FROM reached JOIN split ON rid = at GROUP BY start)
+  SELECT origin, min(doc_id) AS component_id FROM reached JOIN split ON rid = place GROUP BY origin)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
-FROM split LEFT JOIN sizes ON sizes.rid = split.rid JOIN least ON start = split.rid"""
+FROM split LEFT JOIN sizes ON sizes.rid = split.rid JOIN least ON origin = split.rid"""
 
 SQL = {
     "op2_quality_rules": QUALITY,

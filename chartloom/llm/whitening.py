@@ -94,12 +94,12 @@ def _triangle(rows: np.ndarray) -> np.ndarray:
     return np.linalg.qr(rows, mode="r")
 
 
-def _triangles(n: int, sums: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _triangles(n: int, sums: list[int], block: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = np.zeros((0, len(sums)))
         for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK):
-                over = numerators(_rows(batch.slice(at, BLOCK)), n, sums)
+            for at in range(0, batch.num_rows, block):
+                over = numerators(_rows(batch.slice(at, block)), n, sums)
                 r = _triangle(np.vstack([r, over.astype(float) / n]))
         if len(r):
             yield _packed(r)
@@ -131,7 +131,7 @@ def _fan(d: int) -> int:
 def triangle(fit: DataFrame, n: int, sums: list[int]) -> np.ndarray:
     """R of the centred fit list, square."""
     d = len(sums)
-    parts = materialize(fit.mapInArrow(_triangles(n, sums), "r binary"), "triangles")
+    parts = materialize(fit.mapInArrow(_triangles(n, sums, BLOCK), "r binary"), "triangles")
     while (left := parts.count()) > _fan(d):
         parts = parts.repartition(-(-left // _fan(d))).mapInArrow(_meet(d), "r binary")
         parts = materialize(parts, "triangles")

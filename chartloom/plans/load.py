@@ -14,9 +14,10 @@ from chartloom.operators.conform import (
     terminology,
 )
 from chartloom.operators.governance import orphan_rejects
-from chartloom.operators.integrity import cascade_delete, mark_parent, reassign_round_robin
+from chartloom.operators.integrity import mark_parent, reassign_round_robin
 from chartloom.schemas import LINEAGE, OBSERVATIONS
 from chartloom.session import materialize
+from chartloom.sinks.segments import delete_keys, replace_segmented, segments_for
 from chartloom.sinks.tables import Tables
 
 
@@ -36,8 +37,8 @@ def load_tables(
 ) -> Loaded:
     """Clean, keep the first record per id, derive terms, load; a second run gives the same.
 
-    The new tables are written beside the old ones and take their place at the end, all three, so
-    that a load that fails leaves the old ones.
+    The new tables are published as one version at the end, so that a load that fails leaves the old
+    ones, and no reader sees tables of different loads.
 
     Observations of unknown patients are not loaded but returned as quarantine rows. With
     ``on_no_match='reassign'``, and only if no reference at all matches a patient, observations
@@ -49,7 +50,7 @@ def load_tables(
     order = order or [c for c in LINEAGE if c in observations.columns]
     if not order:
         raise ValueError("name the columns that tell which of repeated records is first")
-    new = tables.beside()
+    new = tables.change()
 
     people = keep_first(clean_patients(patients), ["patient_fhir_id"], order)
     new.replace("fhir_patients", people)
@@ -68,19 +69,29 @@ def load_tables(
     if reassign:
         known = reassign_round_robin(pick(stored, OBSERVATIONS.fieldNames()), people)
     new.replace("fhir_observations", known)
-    tables.take(new)
+    new.publish()
     orphans = stored.filter("NOT known")
     return Loaded(orphan_rejects(orphans.limit(0) if reassign else orphans), reassign)
 
 
-def delete_patients(tables: Tables, deleted: DataFrame) -> None:
-    """Delete patients (``patient_fhir_id``) and with them their observations.
+def cluster(tables: Tables, segments: int | None = None) -> None:
+    """Put patients and observations into segments by patient, so that deletions rewrite few files.
+    ``tables`` have a table of segment filters (``schemas.SEGMENTED_TABLES``)."""
+    with tables.change() as new:
+        for name in ("fhir_observations", "fhir_patients"):
+            rows = new.read(name)
+            replace_segmented(new, name, rows, "patient_fhir_id", segments or segments_for(rows.count()))
 
-    Survivors are written once, beside the old tables, and take their place when both are there.
+
+def delete_patients(tables: Tables, deleted: DataFrame) -> dict[str, dict[str, int]]:
+    """Delete patients (``patient_fhir_id``) and with them their observations, published together.
+
+    Of tables in segments only those segments are written that may hold one of these patients.
+    Returns for each table how many segments were rewritten, and how many taken over as they are.
     """
-    new = tables.beside()
     gone = materialize(deleted.select("patient_fhir_id"), "deleted")
-    for name in ("fhir_observations", "fhir_patients"):
-        left = cascade_delete(tables.read(name), gone, "patient_fhir_id")
-        new.replace(name, left)
-    tables.take(new)
+    with tables.change() as new:
+        return {
+            name: delete_keys(new, name, gone, "patient_fhir_id")
+            for name in ("fhir_observations", "fhir_patients")
+        }

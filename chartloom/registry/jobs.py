@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,40 +13,61 @@ from chartloom.operators import paging
 from chartloom.plans import inspection, reports
 from chartloom.plans.constraints import violations
 from chartloom.plans.fetched import chain_report, land_chain
-from chartloom.plans.load import delete_patients, load_tables
+from chartloom.plans.load import cluster, delete_patients, load_tables
 from chartloom.plans.staging import stage_bundles, stage_governed
 from chartloom.registry import roles
 from chartloom.registry.landing import bundles, landing
 from chartloom.registry.landing import pages as raw_pages
 from chartloom.registry.timeline import parts
-from chartloom.schemas import STAGED_OBSERVATION, STAGED_PATIENT, TIMELINE_COLUMNS, TIMELINE_VIEW
+from chartloom.schemas import (
+    SEGMENTED_TABLES,
+    STAGED_OBSERVATION,
+    STAGED_PATIENT,
+    TIMELINE_COLUMNS,
+    TIMELINE_VIEW,
+)
 from chartloom.session import work_path
 from chartloom.sinks.files import write_staging
 from chartloom.sinks.tables import Tables
 from chartloom.sources.staging_csv import read_staging
 
 
-BUDGET = 750
+BUDGET, SEGMENTS = 750, 40
 
 
 def _tables(spark: SparkSession) -> Tables:
     return Tables(spark, work_path(spark, "tables"))
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
+def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _sizes(frames: dict[str, DataFrame]) -> DataFrame:
-    return _union(
-        [
-            df.agg(F.count("*").alias("n")).withColumn("output", F.lit(name))
-            for name, df in frames.items()
-        ]
-    )
+_SHAPES = {
+    "fhir_patients": ("patient_fhir_id", [None, None, "gender", "birth_date", "postal_code", None]),
+    "terminology_lookup": ("loinc_code", [None, None, "display_name", None, None, None]),
+    "fhir_observations": (
+        "obs_id",
+        ["patient_fhir_id", "loinc_code", "unit", "effective_datetime", None, "result_value"],
+    ),
+}
+_CONTENT = {"patient": "string", "code": "string", "one": "string", "two": "string", "three": "string", "value": "double"}
 
 
-def _sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _content(output: str, key: str, df: DataFrame, columns: list[str | None]) -> DataFrame:
+    """Whole rows of any table in one shape, so that several tables make one result."""
+    named = [
+        (F.lit(None) if c is None else F.col(c)).cast(kind).alias(name)
+        for c, (name, kind) in zip(columns, _CONTENT.items(), strict=True)
+    ]
+    return df.select(F.lit(output).alias("output"), F.col(key).alias("key"), *named)
+
+
+def contents(tables: Tables) -> DataFrame:
+    return union([_content(name, key, tables.read(name), columns) for name, (key, columns) in _SHAPES.items()])
+
+
+def sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Staged records with repeats: every reading comes twice, the second time with no value."""
     people = roles.table(spark, sf_dir, "customer").selectExpr("0 AS pass", "c_custkey AS place", *roles.PATIENT)
     events = roles.table(spark, sf_dir, "events")
@@ -67,19 +89,35 @@ def table_append_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts of the three tables after loading twice."""
+    """The three tables after loading twice."""
     tables = _tables(spark)
-    people, readings = _sources(spark, sf_dir)
+    people, readings = sources(spark, sf_dir)
     for _ in range(2):
         load_tables(tables, people, readings, ["pass", "place"])
-    names = ("fhir_patients", "terminology_lookup", "fhir_observations")
-    return _sizes({name: tables.read(name) for name in names})
+    return contents(tables)
+
+
+def reload_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows a reader sees that began before the second of three loads (of half the patients, of
+    all, and of one that fails half-way), and what one sees that begins after them."""
+    tables = _tables(spark)
+    people, readings = sources(spark, sf_dir)
+    load_tables(tables, people.where("place % 2 = 0"), readings, ["pass", "place"])
+    before = tables.pinned()
+    load_tables(tables, people, readings, ["pass", "place"])
+    broken = F.when(F.col("pass") == 0, F.raise_error(F.lit("lost half-way")))
+    try:
+        load_tables(tables, people, readings.withColumn("unit", broken.cast("string")), ["pass", "place"])
+    except SparkRuntimeException:
+        pass
+    old, new = (contents(t).withColumn("seen", F.lit(name)) for t, name in ((before, "old"), (tables, "new")))
+    return old.unionByName(new)
 
 
 def job_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The loaded observations and, marked, the orphans kept out."""
     tables = _tables(spark)
-    result = load_tables(tables, *_sources(spark, sf_dir), ["pass", "place"])
+    result = load_tables(tables, *sources(spark, sf_dir), ["pass", "place"])
     rows = tables.read("fhir_observations").drop("created_at").withColumn("rule", F.lit("LOADED"))
     kept = ["obs_id", "rule", "patient_fhir_id", "loinc_code", "result_value"]
     orphans = result.orphans.select(
@@ -95,7 +133,7 @@ def job_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def job_load_reassign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """References that match nobody: dealt out in turn at load, seen through the timeline view."""
     tables = _tables(spark)
-    people, readings = _sources(spark, sf_dir)
+    people, readings = sources(spark, sf_dir)
     foreign = readings.withColumn("patient_reference", F.concat(F.lit("Group/"), "place"))
     load_tables(tables, people, foreign, ["pass", "place"], on_no_match="reassign", null_code="nan")
     tables.create_view()
@@ -103,27 +141,47 @@ def job_load_reassign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Table sizes after the patients of one segment are deleted with their observations."""
+    """The tables after the patients of one segment are deleted with their observations."""
     tables = _tables(spark)
-    load_tables(tables, *_sources(spark, sf_dir), ["pass", "place"])
+    load_tables(tables, *sources(spark, sf_dir), ["pass", "place"])
     delete_patients(tables, tables.read("fhir_patients").filter("gender = 'building'"))
-    names = ("fhir_patients", "fhir_observations")
-    return _sizes({name: tables.read(name) for name in names})
+    return contents(tables)
+
+
+def delete_prunes_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables, in segments by patient, after two deletions of three patients each; and whether more
+    segments were written for these than there are patients."""
+    tables = Tables(spark, work_path(spark, "tables"), schemas=SEGMENTED_TABLES)
+    load_tables(tables, *sources(spark, sf_dir), ["pass", "place"])
+    cluster(tables, SEGMENTS)
+    told = []
+    for last in (3, 6):
+        gone = tables.read("fhir_patients").where(f"CAST(patient_fhir_id AS BIGINT) BETWEEN {last - 2} AND {last}")
+        told.append(delete_patients(tables, gone))
+    few = all(t["rewritten"] <= 3 and t["kept"] > SEGMENTS // 2 for d in told for t in d.values())
+    none = [F.lit(None).cast(kind).alias(name) for name, kind in _CONTENT.items() if name != "one"]
+    state = spark.range(1).select(
+        F.lit("segments").alias("output"), F.lit("few rewritten").alias("key"), F.lit(str(few)).alias("one"), *none
+    )
+    return contents(tables).unionByName(state)
 
 
 def job_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Governed staging, CSV export and reading back; rejects per rule."""
+    """Governed staging, CSV export and reading back, with the rejects logged."""
     staged = stage_governed(spark, f"{landing(spark, sf_dir)}/resource_type=*", multi_line=False)
     out = work_path(spark, "export")
     staged.export(f"{out}/patients", f"{out}/observations", f"{out}/rejects")
-    sizes = _sizes(
-        {
-            "patients": read_staging(spark, f"{out}/patients").select(STAGED_PATIENT),
-            "observations": read_staging(spark, f"{out}/observations").select(STAGED_OBSERVATION),
-        }
+    people = read_staging(spark, f"{out}/patients").select(STAGED_PATIENT)
+    readings = read_staging(spark, f"{out}/observations", numeric=("result_value",))
+    logged = spark.read.parquet(f"{out}/rejects")
+    told = ["patient_reference", "loinc_code", "unit", "effective_datetime", "display_name", "result_value"]
+    return union(
+        [
+            _content("patients", "patient_fhir_id", people, _SHAPES["fhir_patients"][1]),
+            _content("observations", "obs_id", readings.select(STAGED_OBSERVATION), told),
+            _content("rejects", "resource_id", logged, [None, "rule", "severity", "resource_type", None, None]),
+        ]
     )
-    logged = spark.read.parquet(f"{out}/rejects").groupBy(F.col("rule").alias("output"))
-    return sizes.unionByName(logged.agg(F.count("*").alias("n")))
 
 
 def job_staged_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +203,7 @@ def job_timeline_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     kpis = board["kpis"].unpivot([], board["kpis"].columns, "item", "n")
     typed = board["timeline"].agg(F.count("effective_datetime").alias("n"))
-    return _union(
+    return union(
         [
             counts("flag_breakdown", audit["flag_breakdown"], "clinical_flag"),
             counts("flag_distribution", board["flag_distribution"], "clinical_flag"),
@@ -167,7 +225,7 @@ def job_inspect_paging(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("sample").alias("report"), F.lit("patient").alias("resource_type"), "n"
     )
     page = F.col("bundle_id")
-    pages = _union(
+    pages = union(
         [
             paging.page_table(bundles(spark, sf_dir, kind), F.lit(kind), page)
             for kind in ("observation", "patient")
@@ -210,7 +268,7 @@ def missing_input_keeps_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging files to tables: what the loaded timeline holds."""
-    people, readings = _sources(spark, sf_dir)
+    people, readings = sources(spark, sf_dir)
     paths = [work_path(spark, name) for name in ("patients", "observations")]
     write_staging(people.orderBy("place").select(*STAGED_PATIENT), paths[0])
     write_staging(readings.orderBy("pass", "place").select(*STAGED_OBSERVATION), paths[1])
@@ -222,7 +280,7 @@ def job_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lasting view over tables declared in a database of their own."""
     tables = _tables(spark)
-    load_tables(tables, *_sources(spark, sf_dir), order=["pass", "place"])
+    load_tables(tables, *sources(spark, sf_dir), order=["pass", "place"])
     database = f"chartloom_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{work_path(spark, database)}'")
     tables.declare(database)
@@ -247,11 +305,13 @@ def constraint_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "table_append_defaults": table_append_defaults,
     "reload_idempotent": reload_idempotent,
+    "reload_versions": reload_versions,
     "job_staging": job_staging,
     "job_staged_load": job_staged_load,
     "job_load": job_load,
     "job_load_reassign": job_load_reassign,
     "job_delete": job_delete,
+    "delete_prunes_files": delete_prunes_files,
     "job_timeline_reports": job_timeline_reports,
     "job_inspect_paging": job_inspect_paging,
     "job_land_chain": job_land_chain,
@@ -268,9 +328,20 @@ _RULE = (
     " WHEN coalesce(patient_reference, '') = '' THEN 'MISSING_SUBJECT' END"
 )
 # Observations as loaded; Location references find no patient.
-_LOAD = f"""{roles.BASE}, loaded AS (
+LOAD_SQL = f"""{roles.BASE}, loaded AS (
   SELECT o.* FROM obs o JOIN events e ON e.event_id = o.event_id
   WHERE e.event_type <> 'signup' AND o.patient_fhir_id IN (SELECT patient_fhir_id FROM pat))"""
+
+
+def contents_sql(patients: str = "pat", terms: str = "terms", loaded: str = "loaded") -> str:
+    return f"""
+SELECT 'fhir_patients' AS output, patient_fhir_id AS key, NULL AS patient, NULL AS code, gender AS one,
+       birth_date AS two, postal_code AS three, CAST(NULL AS DOUBLE) AS value FROM {patients}
+UNION ALL SELECT 'terminology_lookup', loinc_code, NULL, NULL, display_name, NULL, NULL, NULL FROM {terms}
+UNION ALL SELECT 'fhir_observations', obs_id, patient_fhir_id, loinc_code, unit, effective_datetime, NULL,
+       result_value FROM {loaded}"""
+
+
 _RUNNING = """
 WITH page AS (SELECT 'observation' AS kind, event_id // 100 AS page, count(*) AS n FROM events GROUP BY 2
   UNION ALL SELECT 'patient', c_custkey // 100, count(*) FROM customer GROUP BY 2),
@@ -282,15 +353,22 @@ WITH pat AS (SELECT {', '.join(roles.PATIENT)} FROM customer)
 SELECT patient_fhir_id, gender, CAST(NULL AS VARCHAR) AS birth_date,
        CAST(NULL AS VARCHAR) AS postal_code, true AS stamped FROM pat
 UNION ALL SELECT patient_fhir_id, NULL, NULL, postal_code, true FROM pat""",
-    "reload_idempotent": f"""{_LOAD}
-SELECT 'fhir_patients' AS output, count(*) AS n FROM pat
-UNION ALL SELECT 'terminology_lookup', count(*) FROM terms
-UNION ALL SELECT 'fhir_observations', count(*) FROM loaded""",
+    "reload_idempotent": f"{LOAD_SQL}{contents_sql()}",
+    "reload_versions": f"""{LOAD_SQL}, half AS (
+  SELECT * FROM pat WHERE CAST(patient_fhir_id AS BIGINT) % 2 = 0),
+half_loaded AS (SELECT * FROM loaded WHERE patient_fhir_id IN (SELECT patient_fhir_id FROM half)),
+half_terms AS (SELECT * FROM terms)
+SELECT 'old' AS seen, * FROM ({contents_sql('half', 'half_terms', 'half_loaded')})
+UNION ALL SELECT 'new', * FROM ({contents_sql()})""",
     "job_staging": f"""
 WITH {_RAW}, tagged AS (SELECT *, {_RULE} AS rule FROM raw)
-SELECT 'patients' AS output, count(*) AS n FROM customer
-UNION ALL SELECT 'observations', count(*) FROM tagged WHERE rule IS NULL
-UNION ALL SELECT rule, count(*) FROM tagged WHERE rule IS NOT NULL GROUP BY rule""",
+SELECT 'patients' AS output, CAST(c_custkey AS VARCHAR) AS key, NULL AS patient, NULL AS code,
+       gender AS one, birth_date AS two, postal_code AS three, CAST(NULL AS DOUBLE) AS value
+FROM (SELECT c_custkey, {', '.join(roles.PATIENT)} FROM customer)
+UNION ALL SELECT 'observations', obs_id, patient_reference, loinc_code, unit, effective_datetime, display_name,
+       result_value FROM tagged WHERE rule IS NULL
+UNION ALL SELECT 'rejects', obs_id, NULL, rule, 'WARNING', 'Observation', NULL, NULL
+FROM tagged WHERE rule IS NOT NULL""",
     "job_staged_load": f"""
 WITH {_RAW}, pat AS (SELECT {', '.join(roles.PATIENT)} FROM customer),
 obs AS (SELECT *, replace(replace(patient_reference, 'Patient/', ''), 'urn:uuid:', '')
@@ -298,7 +376,7 @@ obs AS (SELECT *, replace(replace(patient_reference, 'Patient/', ''), 'urn:uuid:
         FROM raw WHERE coalesce(obs_id, '') <> '' AND coalesce(patient_reference, '') <> ''),
 terms AS ({roles.TERM_SQL}), tl AS ({roles.timeline_sql()})
 SELECT loinc_code, clinical_flag, count(*) AS n FROM tl GROUP BY loinc_code, clinical_flag""",
-    "job_load": f"""{_LOAD}
+    "job_load": f"""{LOAD_SQL}
 SELECT obs_id, 'LOADED' AS rule, patient_fhir_id, loinc_code, result_value FROM loaded
 UNION ALL SELECT obs_id, 'ORPHAN_PATIENT', NULL, NULL, NULL FROM obs
 WHERE obs_id NOT IN (SELECT obs_id FROM loaded)""",
@@ -311,10 +389,13 @@ dealt AS (SELECT o.* REPLACE (p.patient_fhir_id AS patient_fhir_id)
 nan_terms AS (SELECT * FROM terms UNION ALL
               SELECT 'nan', 'Unknown Display Name' WHERE EXISTS (SELECT 1 FROM obs WHERE loinc_code IS NULL))
 {roles.timeline_sql("dealt", "nan_terms")}""",
-    "job_delete": f"""{_LOAD}
-SELECT 'fhir_patients' AS output, count(*) AS n FROM pat WHERE coalesce(gender, '') <> 'building'
-UNION ALL SELECT 'fhir_observations', count(*) FROM loaded WHERE patient_fhir_id NOT IN
-  (SELECT patient_fhir_id FROM pat WHERE gender = 'building')""",
+    "job_delete": f"""{LOAD_SQL}, stay AS (SELECT * FROM pat WHERE coalesce(gender, '') <> 'building'),
+left_over AS (SELECT * FROM loaded WHERE patient_fhir_id IN (SELECT patient_fhir_id FROM stay))
+{contents_sql('stay', 'terms', 'left_over')}""",
+    "delete_prunes_files": f"""{LOAD_SQL}, stay AS (SELECT * FROM pat WHERE CAST(patient_fhir_id AS BIGINT) NOT BETWEEN 1 AND 6),
+left_over AS (SELECT * FROM loaded WHERE patient_fhir_id IN (SELECT patient_fhir_id FROM stay))
+{contents_sql('stay', 'terms', 'left_over')}
+UNION ALL SELECT 'segments', 'few rewritten', NULL, NULL, 'True', NULL, NULL, NULL""",
     "job_timeline_reports": f"""{roles.TIMELINE_SQL},
 newest AS (SELECT * FROM tl WHERE clinical_flag <> 'Normal / Unflagged'
            ORDER BY effective_datetime DESC NULLS LAST, obs_id LIMIT 10)
@@ -353,8 +434,8 @@ FROM running GROUP BY kind
 UNION ALL SELECT 'unnamed', count(*), 0, count(*) FROM running WHERE page = 1
 HAVING count(*) > 0""",
     "missing_input_keeps_export": f"SELECT {', '.join(roles.PATIENT)} FROM customer",
-    "job_csv_load": f"{_LOAD} {roles.timeline_sql('loaded')}",
-    "catalog_view": f"{_LOAD} {roles.timeline_sql('loaded')}",
+    "job_csv_load": f"{LOAD_SQL} {roles.timeline_sql('loaded')}",
+    "catalog_view": f"{LOAD_SQL} {roles.timeline_sql('loaded')}",
     "job_land_chain": f"""{_RUNNING}
 SELECT kind AS resource_type, count(*) AS n_pages, min(page) AS first, max(page) AS last
 FROM running WHERE so_far - n < {BUDGET} GROUP BY kind""",

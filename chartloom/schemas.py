@@ -79,6 +79,39 @@ TABLES = {
     "terminology_lookup": TERMS,
     "fhir_observations": OBSERVATIONS,
 }
+# Observations whose patient is not there yet, whole and with their source.
+PARKED = T.StructType(
+    [
+        *(f for f in OBSERVATIONS if f.name != "created_at"),
+        T.StructField("display_name", T.StringType()),
+        T.StructField("src_file", T.StringType()),
+        T.StructField("src_path", T.StringType()),
+        T.StructField("src_row", T.LongType()),
+        T.StructField("batch_id", T.StringType()),
+    ]
+)
+LEDGER = _table(
+    ("batch_id", T.StringType()),
+    ("table_name", T.StringType()),
+    ("n_rows", T.LongType()),
+    ("applied_at", T.TimestampType()),
+)
+KEY_FILTER = _table(("block", T.LongType()), ("bits", T.BinaryType()), ("blocks", T.LongType()))
+SEGMENT_FILTERS = _table(
+    ("path", T.StringType()),
+    ("segments", T.IntegerType()),
+    ("blocks", T.LongType()),
+    ("segment", T.IntegerType()),
+    ("block", T.LongType()),
+    ("bits", T.BinaryType()),
+)
+SEGMENTED_TABLES = {**TABLES, "segment_filters": SEGMENT_FILTERS}
+BATCH_TABLES = {
+    **TABLES,
+    "parked_observations": PARKED,
+    "load_ledger": LEDGER,
+    "observation_key_filter": KEY_FILTER,
+}
 # Constraints of the stored tables (fixed values): table and column; for references also the parent.
 PRIMARY_KEYS = [
     ("fhir_patients", "patient_fhir_id"),

@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from chartloom.llm import text as T
 from chartloom.llm.components import components
+from chartloom.llm.prefilter import may_be_in
 from chartloom.session import materialize
 
 SHINGLE = 3
@@ -133,6 +134,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(num, text): one text of each wanted node, from a row with the node's smallest id."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     noded = docs.select("doc_id", "text").mapInArrow(_noded, f"doc_id {kind}, text string, node binary")
+    noded = may_be_in(noded, "node", wanted, "_wanted").where("_wanted").drop("_wanted")
     w = wanted.select(F.col("node").alias("w"), "owner", "num")
     same = (F.col("node") == F.col("w")) & F.col("doc_id").eqNullSafe(F.col("owner"))
     return noded.join(w, same).groupBy("num").agg(F.first("text").alias("text"))

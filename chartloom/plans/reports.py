@@ -9,12 +9,20 @@ from chartloom.operators.timeline import newest_first, normalise, timeline
 from chartloom.session import materialize
 
 
-def audit(patients: DataFrame, observations: DataFrame, terms: DataFrame) -> dict[str, DataFrame]:
+def counted(patients: DataFrame, observations: DataFrame, terms: DataFrame) -> DataFrame:
+    """The stored counts that all reports but the short list and the timeline come from."""
+    return materialize(reports.activity(patients, observations, terms), "activity")
+
+
+def audit(
+    patients: DataFrame, observations: DataFrame, terms: DataFrame, counts: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """Flag breakdown, newest flagged observations, their number and whether there are none.
 
-    All but the short list come from the counts, which are made once and stored.
+    All but the short list come from the ``counted`` counts, made here unless they are given.
     """
-    counts = materialize(reports.activity(patients, observations, terms), "activity")
+    if counts is None:
+        counts = counted(patients, observations, terms)
     return {
         "flag_breakdown": reports.value_counts(counts, "clinical_flag", "n"),
         "flagged": reports.audit_list(timeline(patients, observations, terms)),
@@ -24,10 +32,11 @@ def audit(patients: DataFrame, observations: DataFrame, terms: DataFrame) -> dic
 
 
 def dashboard(
-    patients: DataFrame, observations: DataFrame, terms: DataFrame
+    patients: DataFrame, observations: DataFrame, terms: DataFrame, counts: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """Typed timeline, indicators and two distributions; the counts are made once and stored."""
-    counts = materialize(reports.activity(patients, observations, terms), "activity")
+    """Typed timeline, indicators and two distributions, these from the ``counted`` counts."""
+    if counts is None:
+        counts = counted(patients, observations, terms)
     rows = timeline(patients, observations, terms)
     return {
         "timeline": normalise(newest_first(rows)),

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from chartloom.registry import batches, chains, conform, integrity, jobs, paging, reports, scan, timeline
+from chartloom.registry import batches, chains, conform, integrity, jobs, paging, reports, scan, shapes, timeline
 
 QUERIES: dict = {}
 SQL: dict = {}
-for _module in (timeline, reports, scan, conform, integrity, paging, chains, jobs, batches):
+for _module in (timeline, reports, scan, conform, integrity, paging, chains, jobs, batches, shapes):
     QUERIES.update(_module.QUERIES)
     SQL.update(_module.SQL)

@@ -54,7 +54,7 @@ _SHAPES = {
 _CONTENT = {"patient": "string", "code": "string", "one": "string", "two": "string", "three": "string", "value": "double"}
 
 
-def _content(output: str, key: str, df: DataFrame, columns: list[str | None]) -> DataFrame:
+def content(output: str, key: str, df: DataFrame, columns: list[str | None]) -> DataFrame:
     """Whole rows of any table in one shape, so that several tables make one result."""
     named = [
         (F.lit(None) if c is None else F.col(c)).cast(kind).alias(name)
@@ -64,7 +64,7 @@ def _content(output: str, key: str, df: DataFrame, columns: list[str | None]) ->
 
 
 def contents(tables: Tables) -> DataFrame:
-    return union([_content(name, key, tables.read(name), columns) for name, (key, columns) in _SHAPES.items()])
+    return union([content(name, key, tables.read(name), columns) for name, (key, columns) in _SHAPES.items()])
 
 
 def sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -177,9 +177,9 @@ def job_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = ["patient_reference", "loinc_code", "unit", "effective_datetime", "display_name", "result_value"]
     return union(
         [
-            _content("patients", "patient_fhir_id", people, _SHAPES["fhir_patients"][1]),
-            _content("observations", "obs_id", readings.select(STAGED_OBSERVATION), told),
-            _content("rejects", "resource_id", logged, [None, "rule", "severity", "resource_type", None, None]),
+            content("patients", "patient_fhir_id", people, _SHAPES["fhir_patients"][1]),
+            content("observations", "obs_id", readings.select(STAGED_OBSERVATION), told),
+            content("rejects", "resource_id", logged, [None, "rule", "severity", "resource_type", None, None]),
         ]
     )
 
@@ -196,7 +196,8 @@ def job_staged_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def job_timeline_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All audit and dashboard frames as (report, item, n)."""
     found = parts(spark, sf_dir)
-    audit, board = reports.audit(*found), reports.dashboard(*found)
+    activity = reports.counted(*found)
+    audit, board = reports.audit(*found, activity), reports.dashboard(*found, activity)
 
     def counts(report: str, df: DataFrame, column: str) -> DataFrame:
         return df.select(F.lit(report).alias("report"), F.col(column).alias("item"), "n")
@@ -210,6 +211,9 @@ def job_timeline_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
             counts("test_distribution", board["test_distribution"], "test_name"),
             kpis.select(F.lit("kpis").alias("report"), "item", "n"),
             typed.select(F.lit("timeline").alias("report"), F.lit("timed").alias("item"), "n"),
+            audit["n_flagged"].select(
+                F.lit("audit").alias("report"), F.lit("flagged").alias("item"), F.col("n_flagged").alias("n")
+            ),
             audit["flagged"]
             .groupBy("clinical_flag")
             .agg(F.count("*").alias("n"))
@@ -219,10 +223,18 @@ def job_timeline_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_inspect_paging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sampled entries per type, and the pages a budgeted fetch of both types keeps."""
-    sample = inspection.inspect_patients(bundles(spark, sf_dir, "Patient"))
-    sampled = sample.agg(F.count("*").alias("n")).select(
-        F.lit("sample").alias("report"), F.lit("patient").alias("resource_type"), "n"
+    """Sampled entries of both types, and the pages a budgeted fetch of both types keeps."""
+    samples = {
+        "patient": inspection.inspect_patients(bundles(spark, sf_dir, "Patient")),
+        "observation": inspection.inspect_observations(bundles(spark, sf_dir, "Observation")),
+    }
+    sampled = union(
+        [
+            sample.agg(F.count("*").alias("n")).select(
+                F.lit("sample").alias("report"), F.lit(kind).alias("resource_type"), "n"
+            )
+            for kind, sample in samples.items()
+        ]
     )
     page = F.col("bundle_id")
     pages = union(
@@ -408,6 +420,7 @@ UNION ALL SELECT 'kpis', 'flagged_observations', count(*) FROM tl
   WHERE clinical_flag <> 'Normal / Unflagged'
 UNION ALL SELECT 'kpis', 'tests_mapped', count(DISTINCT test_name) FROM tl
 UNION ALL SELECT 'timeline', 'timed', count(effective_datetime) FROM tl
+UNION ALL SELECT 'audit', 'flagged', count(*) FROM tl WHERE clinical_flag <> 'Normal / Unflagged'
 UNION ALL SELECT 'audit_list', clinical_flag, count(*) FROM newest GROUP BY clinical_flag""",
     "constraint_audit": f"""
 WITH obs AS ({roles.OBSERVATION_SQL}),
@@ -440,8 +453,8 @@ HAVING count(*) > 0""",
 SELECT kind AS resource_type, count(*) AS n_pages, min(page) AS first, max(page) AS last
 FROM running WHERE so_far - n < {BUDGET} GROUP BY kind""",
     "job_inspect_paging": f"""{_RUNNING}
-SELECT 'sample' AS report, 'patient' AS resource_type, CAST(sum(least(n, 3)) AS BIGINT) AS n
-FROM page WHERE kind = 'patient'
+SELECT 'sample' AS report, kind AS resource_type, CAST(sum(least(n, 3)) AS BIGINT) AS n
+FROM page GROUP BY kind
 UNION ALL
 SELECT 'collected', kind, CAST(max(so_far) AS BIGINT) FROM running WHERE so_far - n < {BUDGET} GROUP BY kind""",
 }

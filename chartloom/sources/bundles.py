@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.schemas import BUNDLE, ENTRY, LOOSE_BUNDLE
+from chartloom.sources import listing
 
 _EMPTY = (
     f"src_file STRING, src_path STRING, src_offset BIGINT, src_row BIGINT, bundle_id STRING, entry ARRAY<{ENTRY}>, "
@@ -171,18 +172,9 @@ def read_landed(spark: SparkSession, path: str, resource_type: str | None = None
 
 
 def empty_files(spark: SparkSession, *paths: str, names: str | None = None) -> DataFrame:
-    """Name and path of files of no bytes, which a scan passes over. No content is read.
-
-    The listing is the one that Spark keeps on the driver for the scan; files are told apart by
-    path, not by name."""
-    scan = _load(spark.read.format("binaryFile"), list(paths), names)
-    if scan is None:
-        return spark.createDataFrame([], "src_file string, src_path string")
-    listed = spark.createDataFrame([(name,) for name in scan.inputFiles()], "path string")
-
-    def whole(df: DataFrame) -> DataFrame:
-        # Paths of one file come with one or three slashes after the scheme.
-        path = _plain(F.regexp_replace("path", r"^(\w+):/+(?=[^/]*/)", "$1:/"))
-        return df.select(F.substring_index(path, "/", -1).alias("src_file"), path.alias("src_path"))
-
-    return whole(listed).join(whole(scan.select("path")), "src_path", "left_anti")
+    """Name and path of files of no bytes, which a scan passes over. No content is read, and no
+    listing passes through the driver: see ``sources.listing``."""
+    found = listing.files(spark, *paths).where("size = 0").select("src_file", "src_path")
+    if names is not None:
+        found = found.where(F.col("src_file").rlike(listing.pattern(names)))
+    return found

@@ -47,13 +47,19 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 REGISTERS = BANDS * ROWS
-#: Nodes of a bucket up to which all its pairs are compared; larger ones go through a prefix filter.
-PIVOTS = 64
+#: Nodes of a bucket up to which all its pairs are told apart by their sketches and bitmaps; larger
+#: buckets go through a prefix filter first.
+FULL = 4096
+#: Bits of the parity bitmaps.
+PARITY_BITS = 2048
 #: Of the 64 registers, how many must agree in their last byte for a pair to be compared. At a
 #: similarity of 0.8 fewer do with a chance of four in a million.
 AGREEING = 36
 #: Elements of texts that a verifying task keeps at hand, as a pivot meets many texts.
 RECENT_BYTES = 32 << 20
+#: What is compared of two nodes before their texts are: with a pivot, and where all are compared.
+COMPARED = ("sketch", "plain")
+DETAIL = ("kinds", "mass", "bits")
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -119,22 +125,49 @@ def sketch(owner: np.ndarray) -> np.ndarray:
 
 def _agreeing(a: str, b: str) -> Column:
     """How many bytes two sketches have in common, by bit operations on whole numbers."""
+    folded = "x"
+    for shift in (4, 2, 1):
+        folded = f"({folded} | shiftrightunsigned({folded}, {shift}))"
+    differing = f"bit_count({folded} & 72340172838076673)"  # 0x0101010101010101
+    words = f"zip_with({a}, {b}, (x, y) -> x ^ y)"
+    return F.expr(f"{REGISTERS} - aggregate({words}, 0, (n, x) -> n + {differing})")
 
-    def differing(i: int) -> str:
-        x = f"({a}[{i}] ^ {b}[{i}])"
-        x = f"({x} | shiftrightunsigned({x}, 4))"
-        x = f"({x} | shiftrightunsigned({x}, 2))"
-        x = f"({x} | shiftrightunsigned({x}, 1))"
-        return f"bit_count({x} & 72340172838076673)"  # 0x0101010101010101
 
-    return F.expr(f"{REGISTERS} - ({' + '.join(differing(i) for i in range(REGISTERS // 8))})")
+def parity(elements: np.ndarray) -> np.ndarray:
+    """Of each of ``PARITY_BITS`` bits whether an odd number of elements falls on it: two sets differ in
+    as many elements, at least, as these bits do."""
+    fallen = np.bincount((T.mix(elements ^ _GOLD) % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits((fallen & 1).astype(bool)).view(np.int64)
 
 
-def _near() -> Column:
-    """Whether the sketches of either similarity agree enough; ``plain`` is null where it is the same."""
+def _agree() -> tuple[Column, Column]:
+    """Whether enough registers agree, by the plain similarity and, where it is another, the weighted one.
+    ``plain`` is null where both are the same."""
+    other = F.col("plain").isNotNull() | F.col("p_plain").isNotNull()
     plain = _agreeing("coalesce(plain, sketch)", "coalesce(p_plain, p_sketch)") >= AGREEING
+    return plain, other & (_agreeing("sketch", "p_sketch") >= AGREEING)
+
+
+def _can_be_near() -> Column:
+    """Whether so many elements can be in common, by sizes and bitmaps, that the bound of a similarity
+    allows it, and enough registers agree. The first is the cheaper test, and nearly all pairs end there.
+
+    With c common elements at most, c = (sizes - differing bits) / 2. The plain similarity is c / (sizes - c).
+    For the other (see ``_rest``), 1/a + 1/b >= 4 / (a + b), and an element that is not in common takes
+    a weight of 1 at least from its text's share. Both turn into a greatest number of differing bits.
+    """
+    quick = F.expr(" + ".join(f"bit_count(get(bits, {i}) ^ get(p_bits, {i}))" for i in range(PARITY_BITS // 64)))
+    differing = F.expr("aggregate(zip_with(bits, p_bits, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)")
+    both = F.col("kinds") + F.col("p_kinds")
+    share = (1 - SIMILARITY) / (1 + SIMILARITY)
+    sizes = F.least("kinds", "p_kinds") >= SIMILARITY * F.greatest("kinds", "p_kinds")
+    many = F.when(sizes, both * share + 1e-6)
+    lost = F.col("kinds") / F.col("mass") + F.col("p_kinds") / F.col("p_mass") - 2 * share
     other = F.col("plain").isNotNull() | F.col("p_plain").isNotNull()
-    return (_agreeing("sketch", "p_sketch") >= AGREEING) | (other & plain)
+    heavy = F.when(other, both - 2 * lost / (1 / F.col("mass") + 1 / F.col("p_mass")) + 1e-6)
+    by_plain, by_weight = _agree()
+    allowed = F.coalesce(F.greatest(many, heavy), F.lit(-1.0))
+    return (quick <= allowed) & (((differing <= many) & by_plain) | ((differing <= heavy) & by_weight))
 
 
 def _digest(hashes: np.ndarray) -> bytes:
@@ -175,6 +208,23 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _details(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, kinds, mass, bits) of (node, text): how many elements, all weights, the bitmap."""
+    for batch in T.slices(batches):
+        words = T.words_of(batch)
+        hashes = words.hashes()
+        sets = [shingles(words, hashes, i) for i in range(batch.num_rows)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("node"),
+                pa.array([len(x) for x, _ in sets], pa.int64()),
+                pa.array([int(w.sum()) for _, w in sets], pa.int64()),
+                pa.array([parity(x) for x, _ in sets], pa.list_(pa.int64())),
+            ],
+            names=["node", *DETAIL],
+        )
+
+
 def plain_similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Exact Jaccard similarity of the distinct elements."""
     common = len(_common(a, b)[0])
@@ -245,9 +295,9 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shared(found: DataFrame) -> DataFrame:
-    """(node, sketch, plain, band, value, n) of all bands that several nodes have in common: ``n``."""
-    banded = found.select("node", "sketch", "plain", F.posexplode("bands").alias("band", "value"))
-    banded = banded.withColumn("band", F.col("band") % BANDS).distinct()
+    """(node, ``COMPARED``, band, value, n) of all bands that several nodes have in common: ``n``."""
+    banded = found.select("node", *COMPARED, F.posexplode("bands").alias("band", "value"))
+    banded = banded.withColumn("band", F.col("band") % BANDS).dropDuplicates(["node", "band", "value"])
     common = banded.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
     return banded.join(common, ["band", "value"])
 
@@ -268,32 +318,49 @@ def _open(members: DataFrame) -> DataFrame:
     return members.join(open_.where("parts > 1"), ["band", "value"])
 
 
-def _pairs(members: DataFrame, number: int) -> DataFrame:
+def _pairs(members: DataFrame, number: int, texts: DataFrame, full: int = FULL) -> DataFrame:
     """Members of unsettled buckets next to the pivots of their bucket, where the components differ
     and the sketches agree enough. After round 0 the members of a bucket's largest component are met
     by the others only, as pivots.
 
-    ``members``: node, sketch, plain, label, band, value, n, central. Round 0 has one pivot per bucket, the
-    most central text; in round 1 all members are pivots, in buckets of up to ``PIVOTS``. Larger ones
+    ``members``: node, ``COMPARED``, label, band, value, n, central. Round 0 has one pivot per bucket, the
+    most central text; in round 1 all members are pivots, in buckets of up to ``full``. Larger ones
     go on in ``_rest``.
     """
+    compared = COMPARED
     if number == 0:
         left = members
         place = F.row_number().over(W.partitionBy("band", "value").orderBy(F.desc("central"), "node"))
         pivots = left.withColumn("place", place).where("place = 1")
     else:
-        left = pivots = _open(members.where(F.col("n") <= PIVOTS))
+        left = materialize(_open(members.where(F.col("n") <= full)), "apart")
+        bucket = F.xxhash64("band", "value")
+        own = left.groupBy("node").agg(F.sort_array(F.collect_set(bucket)).alias("buckets"))
+        left = pivots = _detailed(left.join(own, "node").withColumn("bucket", bucket), texts)
+        compared = (*COMPARED, *DETAIL, "buckets")
     p = pivots.select(
         F.col("band").alias("p_band"),
         F.col("value").alias("p_value"),
         F.col("node").alias("p"),
         F.col("label").alias("p_label"),
-        F.col("sketch").alias("p_sketch"),
-        F.col("plain").alias("p_plain"),
+        *(F.col(c).alias(f"p_{c}") for c in compared),
     )
     same = (F.col("band") == F.col("p_band")) & (F.col("value") == F.col("p_value"))
     outside = left if number == 0 else left.where(F.col("label") != F.col("main"))
-    return _ordered(outside.join(p, same & (F.col("label") != F.col("p_label")) & _near()))
+    by_plain, by_weight = _agree()
+    if number == 0:
+        near = by_plain | by_weight
+    else:  # a pair that shares several buckets is met in one of them
+        near = _can_be_near() & (F.col("bucket") == F.get(F.array_intersect("buckets", "p_buckets"), F.lit(0)))
+    return _ordered(outside.join(p, same & (F.col("label") != F.col("p_label")) & near))
+
+
+def _detailed(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rows`` with the ``DETAIL`` of their nodes, stored."""
+    rows = materialize(rows, "apart")
+    wanted = texts.join(rows.select("node").distinct(), "node", "left_semi").select("node", "text")
+    detail = materialize(wanted.mapInArrow(_details, "node binary, kinds long, mass long, bits array<bigint>"), "details")
+    return materialize(rows.join(detail, "node"), "apart")
 
 
 def _ordered(met: DataFrame) -> DataFrame:
@@ -308,7 +375,7 @@ def _ordered(met: DataFrame) -> DataFrame:
 
 
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, element, weight, mass, kinds) of (node, text): all weights and all elements of it."""
+    """(node, element, weight, of_mass, of_kinds) of (node, text): all weights and all elements of it."""
     for batch in T.slices(batches):
         words = T.words_of(batch)
         hashes = words.hashes()
@@ -323,57 +390,47 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(np.full(n, weights.sum(), np.int64)),
                     pa.array(np.full(n, n, np.int64)),
                 ],
-                names=["node", "element", "weight", "mass", "kinds"],
+                names=["node", "element", "weight", "of_mass", "of_kinds"],
             )
 
 
-def _rest(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs of different components in buckets of more than ``PIVOTS`` nodes, all that can reach
+def _rest(members: DataFrame, texts: DataFrame, full: int = FULL) -> DataFrame:
+    """Pairs of different components in buckets of more than ``full`` nodes, all that can reach
     ``SIMILARITY`` t among those whose sketches agree enough.
 
     With shares a and b of two texts' weights on common elements, J is 1 / (1/a + 1/b - 1) at most
-    (and is that for the plain similarity, with shares of the distinct elements). So where it reaches
-    t, both shares reach t and one reaches 2t / (1 + t). In any common order of elements, the first
-    common one then has at least that share of its text at and after it. Rare elements come first, so
+    (and is that for the plain similarity, with shares of the distinct elements). In any common order of
+    elements, the first common one has at least these shares of the texts at and after it, so the pair
+    meets there, with shares that allow t, by one similarity or the other. Rare elements come first, so
     that what a template's texts all have in common brings together only those near t. An element of
     one text alone is in no pair and only takes its place in the order.
     """
-    left = _open(members.where(F.col("n") > PIVOTS))
-    nodes = materialize(
-        left.groupBy("node").agg(
-            F.first("label").alias("label"),
-            F.first("sketch").alias("sketch"),
-            F.first("plain").alias("plain"),
-            F.max(F.col("label") != F.col("main")).alias("outside"),
-        ),
-        "apart",
+    left = _open(members.where(F.col("n") > full))
+    nodes = left.groupBy("node").agg(
+        F.first("label").alias("label"),
+        *(F.first(c).alias(c) for c in COMPARED),
+        F.max(F.col("label") != F.col("main")).alias("outside"),
     )
+    nodes = _detailed(nodes, texts)
     own = texts.join(nodes.select("node"), "node").select("node", "text").mapInArrow(
-        _elements, "node binary, element long, weight long, mass long, kinds long"
+        _elements, "node binary, element long, weight long, of_mass long, of_kinds long"
     )
     own = materialize(own, "elements")
     common = own.groupBy("element").agg(F.count("*").alias("df")).where("df > 1")
     behind = W.partitionBy("node").orderBy("df", "element").rowsBetween(0, W.unboundedFollowing)
-    share = F.greatest(
-        F.sum("weight").over(behind) / F.col("mass"), F.count("*").over(behind) / F.col("kinds")
-    )
-    prefix = (
-        own.join(common, "element")
-        .withColumn("share", share + 1e-9)
-        .where(F.col("share") >= SIMILARITY)
-        .select("node", "element", (F.col("share") >= 2 * SIMILARITY / (1 + SIMILARITY)).alias("short"))
-    )
+    shares = {
+        "heavy": F.sum("weight").over(behind) / F.col("of_mass") + 1e-9,
+        "many": F.count("*").over(behind) / F.col("of_kinds") + 1e-9,
+    }
+    prefix = own.join(common, "element").withColumns(shares)
+    prefix = prefix.where(F.greatest("heavy", "many") >= SIMILARITY).select("node", "element", *shares)
     prefix = materialize(prefix.join(nodes, "node"), "prefixes")
     p = prefix.select(
-        F.col("element").alias("p_element"),
-        F.col("short").alias("p_short"),
-        F.col("node").alias("p"),
-        F.col("label").alias("p_label"),
-        F.col("sketch").alias("p_sketch"),
-        F.col("plain").alias("p_plain"),
+        F.col("node").alias("p"), *(F.col(c).alias(f"p_{c}") for c in ("element", "label", *shares, *COMPARED, *DETAIL))
     )
-    same = (F.col("element") == F.col("p_element")) & (F.col("short") | F.col("p_short"))
-    return _ordered(prefix.where("outside").join(p, same & (F.col("label") != F.col("p_label")) & _near()))
+    reach = [1 / F.col(c) + 1 / F.col(f"p_{c}") - 1 <= 1 / SIMILARITY for c in shares]
+    same = (F.col("element") == F.col("p_element")) & (reach[0] | reach[1])
+    return _ordered(prefix.where("outside").join(p, same & (F.col("label") != F.col("p_label")) & _can_be_near()))
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -424,7 +481,7 @@ def classes(docs: DataFrame) -> DataFrame:
     texts = materialize(_texts(docs, wanted), "texts")
     degrees, compared = [], None
     for number in range(3):
-        pairs = _pairs(members, number) if number < 2 else _rest(members, texts)
+        pairs = _pairs(members, number, texts, FULL) if number < 2 else _rest(members, texts, FULL)
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")

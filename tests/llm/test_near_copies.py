@@ -134,7 +134,7 @@ def family(n, pairs):
 
 def test_large_bucket_of_many_components(table, monkeypatch):
     """Hundreds of nodes in a bucket, nearly all of them in components of their own."""
-    monkeypatch.setattr(P, "PIVOTS", 1)
+    monkeypatch.setattr(P, "FULL", 1)
     rows = [(i, t, "en", "a") for i, t in enumerate(family(300, range(0, 300, 6)))]
     got = P.near_copies(table(rows)).collect()
     want = {300 + k: i for k, i in enumerate(range(0, 300, 6))}
@@ -152,14 +152,42 @@ def test_much_repeated_phrase(table):
 
 
 def test_pairs_of_a_bucket_of_forty(spark):
-    """All pairs are met, also where 38 of 64 registers agree."""
+    """All pairs are met, once, also where 38 of 64 registers agree."""
     rows = []
     for i in range(40):
         own = np.full(P.REGISTERS, 0, np.uint8)
         own[38:] = i + 1
-        rows.append((bytes([i]), own.view(np.int64).tolist(), None, bytes([i]), 0, 1, 40, 40))
+        for band in (3, 5):
+            rows.append((bytes([i]), own.view(np.int64).tolist(), None, bytes([i]), band, 1, 40, 40))
     kind = "node binary, sketch array<bigint>, plain array<bigint>, label binary, band int, value long, n long, central long"
-    assert P._pairs(spark.createDataFrame(rows, kind), 1).count() == 40 * 39 // 2
+    same = " ".join(f"w{i}" for i in range(50))
+    texts = spark.createDataFrame([(bytes([i]), same) for i in range(40)], "node binary, text string")
+    assert P._pairs(spark.createDataFrame(rows, kind), 1, texts).count() == 40 * 39 // 2
+
+
+def test_bitmaps_leave_out_no_near_pair(spark):
+    """The tests before texts are fetched hold for every pair that is near, with and without repeats."""
+    draw = np.random.default_rng(4)
+    rows, near = [], 0
+    for _ in range(500):
+        n = int(draw.integers(3, 500))
+        keys = np.unique(draw.integers(1, 2**63, n + n // 20).astype(np.uint64))
+        lost, new = draw.integers(0, n // 15 + 1, 2)
+        heavy = draw.random() < 0.5
+        weights = np.where(draw.random(len(keys)) < 0.1, draw.integers(1, 40, len(keys)), 1) if heavy else np.ones(len(keys), int)
+        a, b = (keys[lost:n], weights[lost:n]), (np.concatenate([keys[: n - new], keys[n:]]), np.concatenate([weights[: n - new], weights[n:]]))
+        if not len(a[0]) or not len(b[0]) or P.likeness(a, b) < P.SIMILARITY:
+            continue
+        near += 1
+        row = []
+        for e, w in (a, b):
+            plain = P.sketch(P.signature(e, np.ones_like(w))).tolist() if w.max() > 1 else None
+            row += [P.sketch(P.signature(e, w)).tolist(), plain, len(e), int(w.sum()), P.parity(e).tolist()]
+        rows.append(row)
+    kind = "sketch array<bigint>, plain array<bigint>, kinds long, mass long, bits array<bigint>"
+    kinds = kind + ", " + ", ".join(f"p_{c}" for c in kind.split(", "))
+    assert near > 150
+    assert spark.createDataFrame(rows, kinds).where(P._can_be_near()).count() == near
 
 
 def test_hostile(hostile, nothing):
@@ -173,3 +201,26 @@ def test_hostile(hostile, nothing):
     assert sum(r.doc_id == 6 for r in kept.collect()) == 1
     assert P.near_copies(nothing).count() == 0
     assert P.keep_one(nothing).count() == 0
+
+
+def test_recall_on_given_documents(spark):
+    """All pairs of the given table at 0.8 or more, by brute force over those that share an element."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, sets(r.text)) for r in docs.select("doc_id", "text").collect()]
+    at = defaultdict(set)
+    for i, (_, s) in enumerate(rows):
+        for e in s:
+            at[e].add(i)
+    shared = Counter()
+    for who in at.values():
+        who = sorted(who)
+        shared.update((a, b) for k, a in enumerate(who) for b in who[k + 1 :])
+    near = [
+        (rows[a][0], rows[b][0])
+        for (a, b), c in shared.items()
+        if 2 * c >= 0.5 * min(len(rows[a][1]), len(rows[b][1])) and max(likeness(rows[a][1], rows[b][1])) >= 0.8
+    ]
+    named = {r.doc_id: r.class_id for r in P.near_copies(docs).collect()}
+    found = sum(named[a] == named[b] for a, b in near)
+    assert len(near) > 50
+    assert found >= 0.99 * len(near)

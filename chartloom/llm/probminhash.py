@@ -319,40 +319,76 @@ def _open(members: DataFrame) -> DataFrame:
 
 
 def _pairs(members: DataFrame, number: int, texts: DataFrame, full: int = FULL) -> DataFrame:
-    """Members of unsettled buckets next to the pivots of their bucket, where the components differ
-    and the sketches agree enough. After round 0 the members of a bucket's largest component are met
-    by the others only, as pivots.
+    """Pairs of different components in unsettled buckets, whose sketches agree enough. In round 0 the members
+    meet the pivot of their bucket, its most central text; in round 1 all members of buckets of up to ``full``
+    each other. Larger ones go on in ``_rest``.
 
-    ``members``: node, ``COMPARED``, label, band, value, n, central. Round 0 has one pivot per bucket, the
-    most central text; in round 1 all members are pivots, in buckets of up to ``full``. Larger ones
-    go on in ``_rest``.
+    ``members``: node, ``COMPARED``, label, band, value, n, central.
     """
-    compared = COMPARED
-    if number == 0:
-        left = members
-        place = F.row_number().over(W.partitionBy("band", "value").orderBy(F.desc("central"), "node"))
-        pivots = left.withColumn("place", place).where("place = 1")
-    else:
+    if number:
         left = materialize(_open(members.where(F.col("n") <= full)), "apart")
         bucket = F.xxhash64("band", "value")
-        own = left.groupBy("node").agg(F.sort_array(F.collect_set(bucket)).alias("buckets"))
-        left = pivots = _detailed(left.join(own, "node").withColumn("bucket", bucket), texts)
-        compared = (*COMPARED, *DETAIL, "buckets")
-    p = pivots.select(
+        own = left.groupBy("node").agg(F.collect_set(bucket).alias("buckets"))
+        left = _detailed(left.join(own, "node").withColumn("bucket", bucket), texts)
+        left = left.withColumn("outside", F.col("label") != F.col("main"))
+        columns = ["node", "label", "outside", "bucket", "buckets", *COMPARED, *DETAIL]
+        groups = left.select("band", "value", *columns).groupBy("band", "value")
+        return groups.applyInArrow(_bucket_pairs, "a binary, b binary, a_label binary, b_label binary").distinct()
+    place = F.row_number().over(W.partitionBy("band", "value").orderBy(F.desc("central"), "node"))
+    p = members.withColumn("place", place).where("place = 1").select(
         F.col("band").alias("p_band"),
         F.col("value").alias("p_value"),
         F.col("node").alias("p"),
         F.col("label").alias("p_label"),
-        *(F.col(c).alias(f"p_{c}") for c in compared),
+        *(F.col(c).alias(f"p_{c}") for c in COMPARED),
     )
     same = (F.col("band") == F.col("p_band")) & (F.col("value") == F.col("p_value"))
-    outside = left if number == 0 else left.where(F.col("label") != F.col("main"))
     by_plain, by_weight = _agree()
-    if number == 0:
-        near = by_plain | by_weight
-    else:  # a pair that shares several buckets is met in one of them
-        near = _can_be_near() & (F.col("bucket") == F.get(F.array_intersect("buckets", "p_buckets"), F.lit(0)))
-    return _ordered(outside.join(p, same & (F.col("label") != F.col("p_label")) & near))
+    return _ordered(members.join(p, same & (F.col("label") != F.col("p_label")) & (by_plain | by_weight)))
+
+
+def _rows(column: pa.ChunkedArray, kind) -> np.ndarray:
+    """Lists of one length as rows of an array."""
+    column = column.combine_chunks()
+    return column.flatten().to_numpy(False).view(kind).reshape(len(column), -1)
+
+
+def _bucket_pairs(bucket: pa.Table) -> pa.Table:
+    """The pairs of one bucket, of ``FULL`` members at most, that may be near: the tests of ``_can_be_near``.
+    Members of the largest component meet the others only. A pair that shares several buckets comes
+    from one of them, that of the least number."""
+    nodes, labels = (bucket.column(c).to_pylist() for c in ("node", "label"))
+    sketch, bits = _rows(bucket.column("sketch"), np.uint8), _rows(bucket.column("bits"), np.uint64)
+    has_plain = bucket.column("plain").is_valid().to_numpy()
+    plain = sketch.copy()
+    if has_plain.any():
+        plain[has_plain] = _rows(bucket.column("plain").drop_null(), np.uint8)
+    kinds, mass, outside = (bucket.column(c).to_numpy() for c in ("kinds", "mass", "outside"))
+    own = bucket.column("bucket")[0].as_py()
+    shared = [set(x) for x in bucket.column("buckets").to_pylist()]
+    part = np.unique(np.array(labels, object), return_inverse=True)[1]
+    share = (1 - SIMILARITY) / (1 + SIMILARITY)
+    found = []
+    for i in range(len(nodes) - 1):
+        j = i + 1 + np.flatnonzero((part[i + 1 :] != part[i]) & (outside[i + 1 :] | outside[i]))
+        if not len(j):
+            continue
+        differing = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        both = kinds[j] + kinds[i]
+        alike = np.minimum(kinds[j], kinds[i]) >= SIMILARITY * np.maximum(kinds[j], kinds[i])
+        lost = kinds[j] / mass[j] + kinds[i] / mass[i] - 2 * share
+        many = alike & (differing <= both * share + 1e-6)
+        heavy = (has_plain[j] | has_plain[i]) & (differing <= both - 2 * lost / (1 / mass[j] + 1 / mass[i]) + 1e-6)
+        some = many | heavy
+        j, many, heavy = j[some], many[some], heavy[some]
+        agree = many & ((plain[j] == plain[i]).sum(axis=1) >= AGREEING)
+        agree |= heavy & ((sketch[j] == sketch[i]).sum(axis=1) >= AGREEING)
+        for k in j[agree].tolist():
+            if min(shared[i] & shared[k]) == own:
+                a, b = (i, k) if nodes[i] < nodes[k] else (k, i)
+                found.append((nodes[a], nodes[b], labels[a], labels[b]))
+    columns = list(zip(*found, strict=True)) or [[]] * 4
+    return pa.table({n: pa.array(c, pa.binary()) for n, c in zip(("a", "b", "a_label", "b_label"), columns, strict=True)})
 
 
 def _detailed(rows: DataFrame, texts: DataFrame) -> DataFrame:

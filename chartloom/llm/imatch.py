@@ -2,15 +2,17 @@
 document frequencies, one hash for each of several randomised subsets of the lexicon.
 
 Terms are runs of letters and digits, lower case in ASCII. Document frequencies are counted over all
-documents. The band leaves out terms in more than ``COMMON`` of the documents and terms in fewer than
-mean distinct terms per document / ``LEXICON``. Frequencies sum to documents * mean, so at most
-``LEXICON`` terms lie in the band, whatever the collection: that is the bound of what is broadcast.
+documents. The band leaves out terms in more than ``COMMON`` and in fewer than ``RARE`` of the documents
+(and those in one document alone): shares, so a term's place does not change with the size of the table.
+Frequencies sum to documents * mean distinct terms of one, so at most mean / ``RARE`` terms lie in the
+band, whatever the collection: that is the bound of what is broadcast.
 
 Each subset takes every lexicon term by a hash of term and subset, with a chance of 1/4, 1/16, 1/64
 or 1/256, so that texts of any length have subsets with a few of their terms. The likeness of two
 fingerprints is the share of equal hashes among the subsets that either text has a term in, which
-estimates how much of their terms they share. Texts without a term in the band are told apart by a
-hash of all their terms, or of their bytes if they have none.
+estimates how much of their terms they share. Texts that no subset has a term of, as those of a rare
+language or a few words, have subsets of all their terms instead; if these are empty as well, a hash of all
+their terms, or of their bytes if they have none.
 
 Nulls: a null text is an empty one; a null doc_id comes before all others. Rows with equal doc_id are
 ordered by text. An empty table gives an empty result. Other columns are not read.
@@ -32,7 +34,7 @@ from chartloom.llm import text as T
 from chartloom.session import materialize
 
 COMMON = 0.2
-LEXICON = 200_000
+RARE = 0.002
 #: Chance of a term to be in a subset, for each subset.
 CHANCES = [1 / 4] * 2 + [1 / 16] * 6 + [1 / 64] * 12 + [1 / 256] * 12
 NONE = "-" * 8
@@ -66,20 +68,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def lexicon(docs: DataFrame) -> np.ndarray:
-    """The sorted terms in the band, ``LEXICON`` at most."""
+    """The sorted terms in the band."""
     counted = docs.select("text").mapInArrow(_count, "term long, n long").groupBy("term").agg(
         F.sum("n").alias("df")
     )
     counted = materialize(counted, "frequencies")
-    n_docs, total = counted.agg(
-        F.sum(F.when(F.col("term").isNull(), F.col("df"))),
-        F.sum(F.when(F.col("term").isNotNull(), F.col("df"))),
-    ).first()
-    if not total:
+    n_docs = counted.where(F.col("term").isNull()).agg(F.sum("df")).first()[0]
+    if not n_docs:
         return np.zeros(0, np.uint64)
-    low, high = max(2, total / LEXICON), COMMON * n_docs
+    low, high = max(2, RARE * n_docs), COMMON * n_docs
     chosen = counted.where(F.col("term").isNotNull() & F.col("df").between(low, high)).select("term")
-    # between() on at most LEXICON terms: df >= total / LEXICON cannot hold for more.
     terms = chosen.toArrow().column("term").to_numpy()
     return np.sort(terms.view(np.uint64))
 
@@ -91,9 +89,19 @@ def _members(terms: np.ndarray) -> np.ndarray:
     return drawn < (np.array(CHANCES) * 2.0**53).astype(np.uint64)[None, :]
 
 
+def _subsets(terms: np.ndarray, members: np.ndarray) -> tuple[list[str], bool]:
+    """A hash of the terms in each subset, and whether any has one."""
+    counts = members.sum(axis=0)
+    hashes = [
+        hashlib.blake2b(terms[members[:, k]].tobytes(), digest_size=4).hexdigest() if counts[k] else NONE
+        for k in range(len(CHANCES))
+    ]
+    return hashes, bool(counts.any())
+
+
 def fingerprints(texts: list[str], band: np.ndarray, members: np.ndarray) -> list[str]:
-    """One string per text: eight hex digits for each subset, and eight for the text itself where
-    all subsets are empty."""
+    """One string per text: eight hex digits for each subset, and eight more where the subsets are not of
+    the band: of all terms, or of the text itself."""
     words = T.Words(*T.texts(pa.array(texts, pa.large_string())), T.TERM)
     text, term = _terms(words)
     if len(band):
@@ -106,16 +114,10 @@ def fingerprints(texts: list[str], band: np.ndarray, members: np.ndarray) -> lis
     for i in range(len(texts)):
         part = slice(edges[i], edges[i + 1])
         own = at[part][inside[part]]
-        own_terms, own_members = band[own], members[own]
-        counts = own_members.sum(axis=0)
-        parts = [
-            hashlib.blake2b(own_terms[own_members[:, k]].tobytes(), digest_size=4).hexdigest()
-            if counts[k]
-            else NONE
-            for k in range(len(CHANCES))
-        ]
-        if not counts.any():
-            rest = term[part].tobytes() or (texts[i] or "").encode()
+        parts, some = _subsets(band[own], members[own])
+        if not some:
+            parts, some = _subsets(term[part], _members(term[part]))
+            rest = b"all" if some else term[part].tobytes() or (texts[i] or "").encode()
             parts.append(hashlib.blake2b(rest, digest_size=4).hexdigest())
         out.append("".join(parts))
     return out

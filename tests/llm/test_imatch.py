@@ -29,14 +29,14 @@ def test_pairs_and_texts(table, hostile):
 
 def test_fingerprints_by_hand(table, monkeypatch):
     """Band, subsets and hashes, from dictionaries."""
-    monkeypatch.setattr(imatch, "LEXICON", 60)
-    texts = [prose.text(60, i, 90) for i in range(80)]
+    monkeypatch.setattr(imatch, "RARE", 0.06)
+    texts = [prose.text(60, i, 600) for i in range(80)]
     band = imatch.lexicon(table(texts))
     terms = [set(TERM.findall(t.lower())) for t in texts]
     df = Counter(w for t in terms for w in t)
-    low, high = max(2, sum(df.values()) / 60), imatch.COMMON * len(texts)
+    low, high = max(2, 0.06 * len(texts)), imatch.COMMON * len(texts)
     want = {w for w, n in df.items() if low <= n <= high}
-    assert len(band) == len(want) <= 60
+    assert 0 < len(band) == len(want)
     ids = {w: int(imatch.T.Words(*imatch.T.texts(imatch.pa.array([w])), imatch.T.TERM).hashes(True)[0]) for w in df}
     assert set(band.tolist()) == {ids[w] for w in want}
     members = imatch._members(band)
@@ -62,6 +62,24 @@ def test_likeness(table):
     assert math.isclose(imatch.likeness(a, c), imatch.likeness(c, a))
 
 
+def test_a_larger_table_keeps_the_band(table):
+    """Twice the documents, with the same shares: the same terms."""
+    texts = [prose.text(60, i, 3000) for i in range(600)]
+    once, twice = (imatch.lexicon(table(texts * k)) for k in (1, 2))
+    assert len(once) and set(once.tolist()) <= set(twice.tolist())
+    assert len(imatch.lexicon(table(texts * 4))) == len(twice)
+
+
+def test_texts_of_a_rare_language(table):
+    """No term in the band: subsets of all terms, so that a changed word does not change them all."""
+    texts = [prose.text(80, i, 300) for i in range(1200)]
+    rare = " ".join(f"rare{i}" for i in range(120))
+    band = imatch.lexicon(table([*texts, rare]))
+    a, b, c = imatch.fingerprints([rare, rare.replace("rare7 ", "other "), texts[0]], band, imatch._members(band))
+    assert a != b and 0.7 < imatch.likeness(a, b) < 1
+    assert imatch.likeness(a, c) < 0.2
+
+
 def test_nothing(nothing, table):
     assert imatch.report(nothing).count() == 0
     one = imatch.report(table(["only one text here"])).first()

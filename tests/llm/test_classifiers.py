@@ -139,3 +139,29 @@ def test_one_repeated_id_does_not_fill_the_sample(table, monkeypatch):
     rows = [row for row in ids for _ in range(40)]
     got = langid.sample(table(rows)).collect()
     assert len(got) == len({r.doc_id for r in got}) == 5
+
+
+def test_only_letters_have_a_language(table):
+    rows = [(i, f"some words of a language {i}", "en", "a") for i in range(30)]
+    rows += [(100 + i, t, None, "a") for i, t in enumerate(["²", "½ ①", "Ⅷ", "12 !", "ª", "日"])]
+    got = {r.doc_id: r.lang_pred for r in langid.report(table(rows)).collect()}
+    assert [got[100 + i] for i in range(6)] == ["und"] * 4 + ["en"] * 2
+
+
+def test_languages_learned_have_a_bound(table, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGS", 3)
+    rows = [(i, f"text {i}", f"l{(i % 32).bit_length()}", "a") for i in range(640)]
+    assert {r.lang for r in langid.sample(table(rows)).collect()} == {"l3", "l4", "l5"}
+
+
+def test_sample_of_a_class(spark, table, monkeypatch):
+    """The lowest hashes of each class, of which few meet in one task; labels other than 0 and 1 are none."""
+    monkeypatch.setattr(toxicity, "PER_CLASS", 20)
+    rows = [(i, f"text {i}", "en", "a") for i in range(3000)]
+    labels = spark.createDataFrame([(i, 1, 7 if i % 50 == 3 else int(i % 5 == 0)) for i in range(3000)], "doc_id long, quality int, toxic int")
+    got = toxicity.sample(table(rows), labels).collect()
+    drawn = labels.where("toxic IN (0, 1)").where(~toxicity.held_out(labels.doc_id)).selectExpr(
+        "doc_id", "toxic", "pmod(xxhash64(doc_id), 4294967296) AS h").collect()
+    for toxic in (0, 1):
+        want = sorted((r.h, r.doc_id) for r in drawn if r.toxic == toxic)[:20]
+        assert sorted(r.doc_id for r in got if r.toxic == toxic) == sorted(d for _, d in want)

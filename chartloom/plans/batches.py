@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from chartloom.operators import keyfilter
 from chartloom.operators.conform import clean_observations, clean_patients, keep_first, pick, terminology
 from chartloom.operators.integrity import duplicate_keys, mark_parent, missing_values, without_parent
+from chartloom.plans import maintained
 from chartloom.schemas import (
     BATCH_TABLES,
     FOREIGN_KEYS,
     LINEAGE,
+    MAINTAINED_TABLES,
     NOT_NULL,
     OBSERVATIONS,
     PARKED,
@@ -32,9 +34,10 @@ PUBLISHED, REFUSED, REPEATED = "published", "refused", "repeated"
 EXPECTED_KEYS = 1 << 20
 
 
-def batch_tables(spark: SparkSession, root: str) -> Tables:
-    """The stored tables with the ledger, the parked observations and the key filter."""
-    return Tables(spark, root, schemas=BATCH_TABLES)
+def batch_tables(spark: SparkSession, root: str, counted: bool = False) -> Tables:
+    """The stored tables with the ledger, the parked observations and the key filter; and, if asked for,
+    with the counts that reports come from."""
+    return Tables(spark, root, schemas=MAINTAINED_TABLES if counted else BATCH_TABLES)
 
 
 @dataclass
@@ -220,6 +223,9 @@ def load_batch(
     else:
         new.append("fhir_observations", released)
         new.replace("parked_observations", fit(back.where("NOT known"), PARKED).unionByName(orphans))
+    if maintained.kept(new):
+        columns = ["patient_fhir_id", "loinc_code", "result_value"]
+        maintained.add(new, arrivals.where("known").select(columns).unionByName(released.select(columns)), batch_id)
     _enter(new, batch_id, {"fhir_patients": people, "arrivals": arrivals, "released": released})
     new.publish()
     return Outcome(PUBLISHED)

@@ -15,6 +15,7 @@ from chartloom.operators.conform import (
 )
 from chartloom.operators.governance import orphan_rejects
 from chartloom.operators.integrity import mark_parent, reassign_round_robin
+from chartloom.plans import maintained
 from chartloom.schemas import LINEAGE, OBSERVATIONS
 from chartloom.session import materialize
 from chartloom.sinks.segments import delete_keys, replace_segmented, segments_for
@@ -91,6 +92,8 @@ def delete_patients(tables: Tables, deleted: DataFrame) -> dict[str, dict[str, i
     """
     gone = materialize(deleted.select("patient_fhir_id"), "deleted")
     with tables.change() as new:
+        if maintained.kept(new):
+            maintained.remove(new, gone, "deleted")
         return {
             name: delete_keys(new, name, gone, "patient_fhir_id")
             for name in ("fhir_observations", "fhir_patients")

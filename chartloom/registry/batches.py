@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chartloom.plans import maintained
 from chartloom.plans.batches import append_checked as append
 from chartloom.plans.batches import batch_tables, load_batch
+from chartloom.plans.load import delete_patients
 from chartloom.registry import roles
 from chartloom.registry.jobs import LOAD_SQL, contents, contents_sql, sources, union
 from chartloom.session import work_path
@@ -91,7 +93,52 @@ def append_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union([contents(tables).select("output", "key", "patient", "code"), states, broken])
 
 
+def _counted(spark: SparkSession, sf_dir: str) -> Tables:
+    """Tables with counts, after a load, a deletion and a second load."""
+    tables = batch_tables(spark, work_path(spark, "tables"), counted=True)
+    people, readings = sources(spark, sf_dir)
+    late = F.col("place") % 4 == 3
+    load_batch(tables, "first", people, readings.where(~late), ORDER)
+    delete_patients(tables, tables.read("fhir_patients").where("gender = 'building'"))
+    load_batch(tables, "second", people.limit(0), readings.where(late), ORDER)
+    return tables
+
+
+def dashboard_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dashboard's numbers from kept counts, after a load, a deletion and a second load."""
+    board = maintained.dashboard(_counted(spark, sf_dir))
+
+    def counts(report: str, column: str) -> DataFrame:
+        return board[report].select(F.lit(report).alias("report"), F.col(column).alias("item"), "n")
+
+    kpis = board["kpis"].unpivot([], board["kpis"].columns, "item", "n")
+    flagged = board["n_flagged"].select(F.lit("n_flagged").alias("report"), F.lit("flagged").alias("item"), F.col("n_flagged").alias("n"))
+    return union(
+        [
+            counts("flag_distribution", "clinical_flag"),
+            counts("test_distribution", "test_name"),
+            kpis.select(F.lit("kpis").alias("report"), "item", "n"),
+            flagged,
+        ]
+    )
+
+
+def distinct_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patients per flag, counted from the kept counts, and whether the united sketches of all batches
+    tell them within five of their standard errors."""
+    tables = _counted(spark, sf_dir)
+    exact = maintained.counts(tables)
+    each = exact.groupBy("clinical_flag").agg(F.count_distinct("patient_fhir_id").alias("exact"))
+    every = exact.agg(F.count_distinct("patient_fhir_id").alias("exact")).withColumn("clinical_flag", F.lit(None).cast("string"))
+    about = maintained.patients_per_flag(tables).withColumnRenamed("clinical_flag", "flag")
+    joined = each.unionByName(every).join(about, F.col("clinical_flag").eqNullSafe(F.col("flag")))
+    within = F.abs(F.col("patients") - F.col("exact")) <= F.lit(5 * maintained.SKETCH_ERROR) * F.col("exact") + 1
+    return joined.select("clinical_flag", F.col("exact").alias("patients"), within.alias("within"))
+
+
 QUERIES = {
+    "dashboard_maintained": dashboard_maintained,
+    "distinct_sketched": distinct_sketched,
     "incremental_load": incremental_load,
     "orphans_replayed": orphans_replayed,
     "append_checked": append_checked,
@@ -103,7 +150,27 @@ _BATCHED = f"""{LOAD_SQL}, batched AS (
   FROM obs JOIN events e USING (event_id)),
 batch_terms AS (SELECT loinc_code, coalesce(display_name, 'Unknown Display Name') AS display_name
   FROM batched WHERE rn = 1 AND loinc_code IS NOT NULL)"""
+_COUNTED = f"""{LOAD_SQL}, counted AS (
+  SELECT loinc_code, display_name,
+         row_number() OVER (PARTITION BY loinc_code ORDER BY CASE WHEN event_id % 4 = 3 THEN 1 ELSE 0 END, event_id) AS rn
+  FROM obs),
+count_terms AS (SELECT loinc_code, coalesce(display_name, 'Unknown Display Name') AS display_name
+  FROM counted WHERE rn = 1 AND loinc_code IS NOT NULL),
+stay AS (SELECT * FROM loaded WHERE patient_fhir_id IN (
+  SELECT patient_fhir_id FROM pat WHERE coalesce(gender, '') <> 'building')),
+tl AS ({roles.timeline_sql('stay', 'count_terms')})"""
 SQL = {
+    "dashboard_maintained": f"""{_COUNTED}
+SELECT 'flag_distribution' AS report, clinical_flag AS item, count(*) AS n FROM tl GROUP BY clinical_flag
+UNION ALL SELECT 'test_distribution', test_name, count(*) FROM tl GROUP BY test_name
+UNION ALL SELECT 'kpis', 'total_patients', count(DISTINCT patient_fhir_id) FROM tl
+UNION ALL SELECT 'kpis', 'total_observations', count(*) FROM tl
+UNION ALL SELECT 'kpis', 'flagged_observations', count(*) FROM tl WHERE clinical_flag <> 'Normal / Unflagged'
+UNION ALL SELECT 'kpis', 'tests_mapped', count(DISTINCT test_name) FROM tl
+UNION ALL SELECT 'n_flagged', 'flagged', count(*) FROM tl WHERE clinical_flag <> 'Normal / Unflagged'""",
+    "distinct_sketched": f"""{_COUNTED}
+SELECT clinical_flag, count(DISTINCT patient_fhir_id) AS patients, true AS within FROM tl GROUP BY clinical_flag
+UNION ALL SELECT NULL, count(DISTINCT patient_fhir_id), true FROM tl""",
     "incremental_load": f"{_BATCHED}{contents_sql('pat', 'batch_terms', 'loaded')}",
     "orphans_replayed": f"""{LOAD_SQL}{contents_sql()}
 UNION ALL SELECT 'parked_observations', CAST(event_id AS VARCHAR),

@@ -14,6 +14,7 @@ from chartloom.schemas import STAGED_OBSERVATION
 from chartloom.session import work_path
 from chartloom.sinks.files import write_staging
 from chartloom.sources.staging_csv import read_staging_any
+from chartloom.sources.variants import land_variants, read_variants, variant_entries, variant_observations
 
 _TOLD = ["patient_reference", "loinc_code", "unit", "effective_datetime", "display_name", "result_value"]
 
@@ -84,7 +85,20 @@ def csv_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(found.rejects.select(*none, F.col("message").alias("rejected")))
 
 
+def variant_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings by paths into landed variants. On even pages ``effectiveDateTime`` of clicks is there, but
+    null, beside an ``issued`` that is not to be taken."""
+    raw = pages(spark, sf_dir)
+    nulled = F.regexp_replace("payload", r'"effectiveDateTime":"[^"]*","issued"', '"effectiveDateTime":null,"issued"')
+    even = F.col("page") % 2 == 0
+    path = work_path(spark, "variants")
+    land_variants(raw.withColumn("payload", F.when(even, nulled).otherwise(F.col("payload"))), path)
+    found = variant_observations(variant_entries(read_variants(spark, path)))
+    return content("observations", "obs_id", found, _TOLD)
+
+
 QUERIES = {
+    "variant_fields": variant_fields,
     "job_staging_pages": job_staging_pages,
     "empty_files_rejected": empty_files_rejected,
     "csv_mixed_headers": csv_mixed_headers,
@@ -98,6 +112,11 @@ _RULE = (
     " WHEN coalesce(patient_reference, '') = '' THEN 'MISSING_SUBJECT' END"
 )
 SQL = {
+    "variant_fields": f"""
+SELECT 'observations' AS output, obs_id AS key, patient_reference AS patient, loinc_code AS code, unit AS one,
+       CASE WHEN event_type = 'click' AND event_id // 100 % 2 = 0 THEN NULL ELSE effective_datetime END AS two,
+       display_name AS three, result_value AS value
+FROM ({roles.RAW_SQL}) JOIN (SELECT event_id, event_type FROM events) USING (event_id)""",
     "job_staging_pages": f"""
 WITH raw AS (SELECT *, event_id // 100 AS page, {_RULE} AS rule FROM ({roles.RAW_SQL})),
 pages AS (SELECT page FROM raw UNION SELECT max(page) + 1 FROM raw UNION SELECT max(page) + 2 FROM raw)

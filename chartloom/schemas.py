@@ -112,6 +112,20 @@ BATCH_TABLES = {
     "load_ledger": LEDGER,
     "observation_key_filter": KEY_FILTER,
 }
+ACTIVITY = _table(
+    ("patient_fhir_id", T.StringType()),
+    ("test_name", T.StringType()),
+    ("clinical_flag", T.StringType()),
+    ("n", T.LongType()),
+    ("batch_id", T.StringType()),
+)
+SKETCHES = _table(("clinical_flag", T.StringType()), ("sketch", T.BinaryType()), ("batch_id", T.StringType()))
+MAINTAINED_TABLES = {
+    **SEGMENTED_TABLES,
+    **BATCH_TABLES,
+    "activity_deltas": ACTIVITY,
+    "patient_sketches": SKETCHES,
+}
 # Constraints of the stored tables (fixed values): table and column; for references also the parent.
 PRIMARY_KEYS = [
     ("fhir_patients", "patient_fhir_id"),

@@ -29,3 +29,8 @@ def to_number(c: Column) -> Column:
     number = c.try_cast("double")
     finite = ~F.isnan(number) & (F.abs(number) < float("inf"))
     return F.when(finite & ~c.cast("string").rlike(r"(?i)[df]\s*$"), number)
+
+
+def finite_sql(column: str) -> str:
+    """``to_number`` of a double column as SQL text."""
+    return f"CASE WHEN NOT isnan({column}) AND abs({column}) < double('infinity') THEN {column} END"

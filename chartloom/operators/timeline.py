@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.functions.flags import clinical_flag, clinical_flag_sql
-from chartloom.functions.typed import to_date, to_number, to_utc
+from chartloom.functions.typed import finite_sql, to_date, to_number, to_utc
 from chartloom.schemas import TIMELINE_COLUMNS
 
 UNKNOWN_TEST = "Unknown Test"
@@ -40,7 +40,7 @@ def timeline(patients: DataFrame, observations: DataFrame, terms: DataFrame) ->
 
 def timeline_sql(patients: str, observations: str, terms: str) -> str:
     """The timeline over three tables as SQL text, for a view in a catalog."""
-    value = "CASE WHEN NOT isnan(o.result_value) THEN o.result_value END"
+    value = finite_sql("o.result_value")
     special = {
         "test_name": f"coalesce(t.display_name, '{UNKNOWN_TEST}')",
         "clinical_flag": clinical_flag_sql("o.loinc_code", "t.display_name", f"({value})"),

@@ -21,8 +21,10 @@ _lines: dict[tuple[str, str], str] = {}
 
 
 def _quoted(c: str | Column) -> Column:
+    """Text as a JSON string, with what must be escaped escaped; NULL stays NULL."""
     text = F.col(c) if isinstance(c, str) else c
-    return F.concat(F.lit('"'), text, F.lit('"'))
+    listed = F.to_json(F.array(text))
+    return F.when(text.isNotNull(), F.substring(listed, F.lit(2), F.length(listed) - 2))
 
 
 def _member(name: str, value: Column) -> Column:

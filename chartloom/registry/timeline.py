@@ -36,11 +36,12 @@ def timeline_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest_first(timeline(spark, sf_dir))
 
 
-# One written form per event type: zone Z, offset, no zone, date only, unreadable.
+# Written forms by event type: zone Z, offsets in three forms, no zone, date only, unreadable.
 _TEXT = [
     "event_id",
     """CASE event_type WHEN 'click' THEN replace(CAST(ts AS STRING), ' ', 'T') || 'Z'
-         WHEN 'view' THEN replace(CAST(ts AS STRING), ' ', 'T') || '+02:00'
+         WHEN 'view' THEN replace(CAST(ts AS STRING), ' ', 'T') ||
+           CASE event_id % 3 WHEN 0 THEN '+02:00' WHEN 1 THEN '+02' ELSE '-05' END
          WHEN 'error' THEN CAST(ts AS STRING)
          WHEN 'signup' THEN substr(CAST(ts AS STRING), 1, 10)
          ELSE 'about ' || substr(CAST(ts AS STRING), 1, 10) END AS effective_datetime""",
@@ -48,6 +49,7 @@ _TEXT = [
          WHEN 'view' THEN substr(CAST(ts AS STRING), 1, 7) WHEN 'error' THEN 'unknown'
          ELSE substr(CAST(ts AS STRING), 1, 4) END AS birth_date""",
     """CASE event_type WHEN 'click' THEN 'NaN' WHEN 'view' THEN '>' || CAST(value AS STRING)
+         WHEN 'error' THEN CAST(value AS STRING) || 'd'
          ELSE CAST(value AS STRING) END AS result_value""",
 ]
 
@@ -77,9 +79,10 @@ SELECT event_id,
   CAST(CASE event_type WHEN 'click' THEN CAST(ts AS DATE)
     WHEN 'view' THEN CAST(date_trunc('month', ts) AS DATE) WHEN 'error' THEN NULL
     ELSE CAST(date_trunc('year', ts) AS DATE) END AS VARCHAR) AS birth_date,
-  CASE event_type WHEN 'click' THEN ts WHEN 'view' THEN ts - INTERVAL 2 HOUR
+  CASE event_type WHEN 'click' THEN ts 
+    WHEN 'view' THEN CASE WHEN event_id % 3 = 2 THEN ts + INTERVAL 5 HOUR ELSE ts - INTERVAL 2 HOUR END
     WHEN 'error' THEN ts WHEN 'signup' THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) END
     AS effective_datetime,
-  CASE WHEN event_type NOT IN ('click', 'view') THEN value END AS result_value
+  CASE WHEN event_type NOT IN ('click', 'view', 'error') THEN value END AS result_value
 FROM events""",
 }

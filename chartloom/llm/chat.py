@@ -15,8 +15,9 @@ A conversation's turns are sorted (by turn; ties by role, then text) inside a pa
 conversation and then streamed: a task holds one conversation's formatted text, not its rows. The
 examples of a conversation of n turns hold some n / 2 prefixes of it; that is the expansion asked for.
 
-Nulls: a null text or role is empty, a null turn comes first, rows with a null conv_id are one
-conversation. Repeated rows are repeated turns. An empty table gives no example. Other columns are
+Nulls: a null text or role is empty, a null turn comes first. A row with a null conv_id is in no known
+conversation: it is one of its own, of one turn, so however many such rows there are, they are spread over
+all tasks. Repeated rows are repeated turns. An empty table gives no example. Other columns are
 not read.
 """
 
@@ -116,7 +117,7 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for conv_id, role, text in zip(
             *(incoming.column(c).to_pylist() for c in ("conv_id", "role", "text")), strict=True
         ):
-            if not begun or conv_id != conv:
+            if not begun or conv_id is None or conv_id != conv:
                 if open_:
                     emit(context, None, None)
                 conv, context, turns, example, open_, begun = conv_id, "", 0, 0, False, True
@@ -142,7 +143,8 @@ def expand(conversations: DataFrame) -> DataFrame:
     in order, in one partition."""
     kind = conversations.schema["conv_id"].dataType.simpleString()
     turns = conversations.select("conv_id", "turn", "role", "text")
-    dealt = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    lone = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
+    dealt = turns.repartition("conv_id", lone).sortWithinPartitions("conv_id", "turn", "role", "text")
     return dealt.select("conv_id", "role", "text").mapInArrow(
         _expand,
         f"conv_id {kind}, example int, n_turns int, text string, loss_start long, loss_stop long",

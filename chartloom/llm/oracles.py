@@ -70,18 +70,19 @@ SELECT doc_id, len(words) AS n_words, coalesce(len(places), 0) AS n_removed,
 FROM split LEFT JOIN gone ON gone.rid = split.rid"""
 
 CHAT = r"""
-WITH turns AS (
+WITH given AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+turns AS (SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS lone FROM given),
 sized AS (
   SELECT *, length(concat('<|turn_start|>', role, chr(10), regexp_replace(text,
       '(<|\[)(\\*(?:\|turn_start\|>|\|turn_end\|>|\|endoftext\|>|\|startoftext\|>|\|im_start\|>|\|im_end\|>|s>|/s>|unk>|INST\]|/INST\]|<SYS>>|</SYS>>))',
       '\1\\\2', 'g'), '<|turn_end|>', chr(10))) AS n,
-    row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS from_end
+    row_number() OVER (PARTITION BY conv_id, lone ORDER BY turn DESC) AS from_end
   FROM turns),
 running AS (
-  SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY turn) AS so_far,
+  SELECT *, sum(n) OVER (PARTITION BY conv_id, lone ORDER BY turn) AS so_far,
          role = 'assistant' OR from_end = 1 AS ends_example FROM sized)
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
@@ -89,7 +90,7 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(so_far) FILTER (ends_example) AS BIGINT) AS formatted_chars,
        count(*) FILTER (ends_example) AS n_examples
-FROM running GROUP BY conv_id"""
+FROM running GROUP BY conv_id, lone"""
 
 SEARCH = r"""
 WITH given AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),

@@ -50,12 +50,14 @@ def test_examples(spark):
 def test_read_back(spark):
     given = [(1, 0, "user", None), (1, 1, "assistant", None), (2, None, None, "x"), (None, 3, "assistant", "y"), (None, 3, "assistant", "y"), (3, 1, "user", "q"), (3, 0, "assistant", "r")]
     df = chat.with_probe(spark, spark.createDataFrame(given, TURNS))
-    got = {r.conv_id: r for r in chat.report(chat.expand(df)).collect()}
+    found = chat.report(chat.expand(df)).collect()
+    assert sum(r.conv_id is None for r in found) == 2
+    got = {r.conv_id: r for r in found}
     probe = "</s>[INST] ok [/INST]"
     want = {
         1: [("user", ""), ("assistant", "")],
         2: [("", "x")],
-        None: [("assistant", "y")] * 2,
+        None: [("assistant", "y")],
         3: [("assistant", "r"), ("user", "q")],
         -7: [("user", probe), ("assistant", probe)],
     }
@@ -81,3 +83,16 @@ def test_long_conversation(spark, monkeypatch, flush):
 
 def test_nothing(spark):
     assert chat.report(chat.expand(spark.createDataFrame([], TURNS))).count() == 0
+
+
+def test_a_third_of_the_rows_without_a_conversation(spark, conf):
+    """They are spread over the tasks, and expanded one by one. Extra columns are not in the way."""
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    given = [(None, 1, "assistant", "same")] * 3000 + [(i % 500, i // 500, "user", f"t{i}") for i in range(6000)]
+    turns = spark.createDataFrame(given, TURNS).selectExpr("*", "'x' AS example", "1 AS n_turns", "2 AS lone")
+    examples = chat.expand(turns)
+    alone = examples.where("conv_id IS NULL")
+    assert alone.count() == 3000 and alone.where("n_turns <> 1 OR example <> 0").isEmpty()
+    spread = examples.selectExpr("conv_id", "spark_partition_id() AS p").where("conv_id IS NULL").groupBy("p").count().collect()
+    assert max(r["count"] for r in spread) < 1500
+    assert chat.report(examples).count() == 3500

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.llm import text as T
+from chartloom.llm.prefilter import may_be_in
 from chartloom.session import materialize
 
 WINDOW = 50
@@ -292,9 +293,15 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _joined(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``gone``. Only texts that may lose words are shuffled to meet their stretches."""
     keyed = _keyed(docs)
-    gone = materialize(stretches(keyed.select("doc", "version", "text")), "stretches")
-    return keyed.join(gone.hint("shuffle_hash"), ["doc", "version"], "left")
+    key = F.xxhash64("doc", "version")
+    gone = materialize(stretches(keyed.select("doc", "version", "text")).withColumn("key", key), "stretches")
+    marked = may_be_in(keyed.withColumn("key", key), "key", gone, "touched")
+    touched = marked.where("touched").drop("key", "touched").join(gone.drop("key"), ["doc", "version"], "left")
+    kind = dict(gone.dtypes)["gone"]
+    same = marked.where("NOT touched").drop("key", "touched").withColumn("gone", F.lit(None).cast(kind))
+    return touched.unionByName(same)
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from chartloom.llm import text as T
 from chartloom.llm.components import components
+from chartloom.llm.prefilter import may_be_in
 from chartloom.session import materialize
 
 SHINGLE = 5
@@ -475,9 +476,10 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     with_node = docs.select("doc_id", "text").mapInArrow(
         _nodes, f"doc_id {kind}, text string, node binary"
     )
+    with_node = may_be_in(with_node, "node", wanted, "_wanted").where("_wanted")
     w = wanted.select(F.col("node").alias("w"), "owner")
     same = (F.col("node") == F.col("w")) & F.col("doc_id").eqNullSafe(F.col("owner"))
-    return with_node.join(w.hint("shuffle_hash"), same).select("node", "text")
+    return with_node.join(w, same).select("node", "text")
 
 
 def _links(texts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -575,13 +577,16 @@ def keep_one(docs: DataFrame) -> DataFrame:
         ),
         "kept",
     )
-    gone = rows.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("node").alias("_gone"))
+    gone = rows.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("node").alias("_gone")).distinct()
+    gone = materialize(gone.withColumn("_key", F.xxhash64("_id", "_gone")), "gone")
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     packed = docs.select("doc_id", "text", F.struct(F.lit(0), *(f"`{c}`" for c in rest)).alias("rest"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in packed.schema)
-    with_node = packed.mapInArrow(_nodes, f"{kinds}, node binary")
+    with_node = packed.mapInArrow(_nodes, f"{kinds}, node binary").withColumn("_key", F.xxhash64("doc_id", "node"))
+    with_node = may_be_in(with_node, "_key", gone, "_may_go").drop("_key")
     same = (F.col("node") == F.col("_gone")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    left = with_node.join(gone.distinct(), same, "left_anti")
+    stays = with_node.where("_may_go").join(gone.drop("_key"), same, "left_anti")
+    left = stays.unionByName(with_node.where("NOT _may_go")).drop("_may_go")
     repeated = rows.where("kept").groupBy("node").count().where("count > 1")
     if not repeated.isEmpty():
         place = F.row_number().over(W.partitionBy("node").orderBy("text"))

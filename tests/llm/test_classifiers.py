@@ -165,3 +165,68 @@ def test_sample_of_a_class(spark, table, monkeypatch):
     for toxic in (0, 1):
         want = sorted((r.h, r.doc_id) for r in drawn if r.toxic == toxic)[:20]
         assert sorted(r.doc_id for r in got if r.toxic == toxic) == sorted(d for _, d in want)
+
+
+def _marked(spark, table, n=3000, words=60):
+    """Texts of which every fifth is toxic by one of many words; held-out ones have the same words."""
+    draw = np.random.default_rng(4)
+    plain = [f"plain{i}" for i in range(300)]
+    rows, labels = [], []
+    for i in range(n):
+        text = [plain[j] for j in draw.integers(0, 300, 30)]
+        if i % 5 == 0:
+            text[draw.integers(0, 30)] = f"{i // 5 % words}vile"
+        rows.append((i, " ".join(text), "en" if i % 2 else None, "a"))
+        labels.append((i, 1, int(i % 5 == 0)))
+    return table(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_every_labelled_text_is_learned_from(spark, table, monkeypatch):
+    """Words that a bounded sample has not met are known as well; parts of a table do not matter."""
+    monkeypatch.setattr(toxicity, "PER_CLASS", 20)
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 10)
+    monkeypatch.setattr(toxicity, "SHARD_BYTES", 1 << 17)
+    docs, labels = _marked(spark, table)
+    got = toxicity.report(docs.repartition(3), labels).orderBy("doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert sum(r.predicted == (r.doc_id % 5 == 0) for r in held) > 0.98 * len(held)
+    again = toxicity.report(docs.repartition(7), labels.repartition(5)).orderBy("doc_id").collect()
+    assert got == again
+
+
+def test_counts_of_all_shards(spark, table, monkeypatch):
+    """Shards hold every labelled text once, equal rows with their number, and counts are over all of them."""
+    monkeypatch.setattr(toxicity, "SHARD_BYTES", 1 << 14)
+    docs, labels = _marked(spark, table, 600)
+    long = table([(600, "vile " * 30_000, "fr", "a"), (602, None, "fr", "a")])
+    more = spark.createDataFrame([(600, 1, 1), (602, 1, 1), (1, 1, None), (4, 1, 7)], labels.schema)
+    docs, labels = docs.union(docs.where("doc_id % 3 = 0")).union(long), labels.where("doc_id NOT IN (1, 4)").union(more)
+    assert zlib.crc32(b"600") % 3 != 1
+    toxic = {r.doc_id: r.toxic for r in labels.where("toxic IN (0, 1)").collect()}
+    want = [(r, toxic[r.doc_id]) for r in docs.collect() if r.doc_id in toxic and r.text and zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+
+    rows = toxicity.labelled(docs, labels)
+    assert rows.selectExpr("sum(copies)").first()[0] == len(want)
+    packed = toxicity.shards(rows)
+    assert packed.count() > 5
+    spare = {r.doc_id for r in rows.where("spare").collect()}
+    trained = [(r.text, r.lang, y) for r, y in want if r.doc_id not in spare]
+    counted = packed.mapInArrow(toxicity._count, toxicity.COUNTED)
+    got = {(r.kind, r.lang, r.bucket): (r.clean, r.toxic) for r in counted.groupBy("kind", "lang", "bucket").sum("clean", "toxic").toDF("kind", "lang", "bucket", "clean", "toxic").collect()}
+    expected = {}
+    for text, lang, y in trained:
+        f = toxicity.features(T.Words(*T.texts(pa.array([text])), T.TERM))
+        for k in range(3):
+            for bucket in set(f.rows[:, k].tolist()):
+                now = expected.setdefault((k, None, bucket), [0, 0])
+                now[y] += 1
+        for bucket in f.langs.tolist() if lang else []:
+            expected.setdefault((3, lang, bucket), [0, 0])[0] += 1
+    assert got == {k: tuple(v) for k, v in expected.items()}
+
+
+def test_best_cut_of_counted_logits():
+    draw = np.random.default_rng(6)
+    z, y = draw.integers(0, 20, 40).astype(float), draw.integers(0, 2, 40)
+    copies = draw.integers(1, 4, 40)
+    assert toxicity._best(z, y, copies) == toxicity._best(np.repeat(z, copies), np.repeat(y, copies))
